@@ -14,6 +14,7 @@ With no key at all (one order over the whole table) slices are always used.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -26,6 +27,8 @@ from rillmark.columns import Names, micros, names
 # Rows one task should sort at most; a larger key is cut.
 SLICE_ROWS_CONF = "spark.rillmark.sliceRows"
 SLICE_ROWS = 4_000_000
+# Passed as ``slice_rows`` where the keys are known to be small: no count is made.
+KNOWN_SMALL = sys.maxsize
 # A table of at most this many rows is small enough to be copied to every executor.
 BROADCAST_ROWS = 100_000
 # Every round cuts the slices that are still too large again, by a finer grid.
@@ -47,6 +50,23 @@ def slice_rows_of(df: DataFrame, slice_rows: int | None) -> int:
     return int(df.sparkSession.conf.get(SLICE_ROWS_CONF, str(SLICE_ROWS)))
 
 
+def check_keys(df: DataFrame, keys: Names, slice_rows: int | None = None) -> int:
+    """The ``slice_rows`` to use after one count per key: ``KNOWN_SMALL`` if none is large.
+
+    An operator of several ordered steps asks once, on the narrow input, not at each step.
+    """
+    limit = slice_rows_of(df, slice_rows)
+    if limit == KNOWN_SMALL:
+        return limit
+    large = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    return KNOWN_SMALL if large.isEmpty() else limit
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a side table is short enough to copy everywhere; reads no further than the bound."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only where the row count is known and small; else Spark decides."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -68,6 +88,8 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
     """
     keys, order = names(keys), names(order)
     limit = slice_rows_of(df, slice_rows)
+    if limit == KNOWN_SMALL:
+        return Slices(df, [], 0)
     places = [micros(df, c) for c in order]
     slices: list[str] = []
     total = 0
