@@ -13,6 +13,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PART = T.StructType([T.StructField("word", T.StringType()), T.StructField("length", T.IntegerType())])
 
 HASH_SQL = """
 CREATE OR REPLACE TEMPORARY FUNCTION string_hash(s STRING) RETURNS INT RETURN CAST(aggregate(
@@ -34,12 +37,12 @@ def _java_hash(text: str | None) -> int | None:
     return h - (1 << 32) if h >= 1 << 31 else h
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def string_hash_arrow(text: pd.Series) -> pd.Series:
     return text.map(_java_hash).astype("Int32")
 
 
-@F.udtf(returnType="word string, length int")
+@F.udtf(returnType=PART)
 class SplitLengths:
     """Parts of a text between question marks, with their lengths."""
 

@@ -154,7 +154,12 @@ def fan_out(writers: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[D
     """A ``foreachBatch`` sink that sends each ``channel`` of a routed stream to its own writer."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        for name, writer in writers.items():
-            writer(df.filter(F.col("channel") == name).drop("channel"), batch_id)
+        # Kept while the channels are written, so the micro-batch is computed once.
+        df.persist()
+        try:
+            for name, writer in writers.items():
+                writer(df.filter(F.col("channel") == name).drop("channel"), batch_id)
+        finally:
+            df.unpersist()
 
     return write
