@@ -259,10 +259,10 @@ def f7(t: Tables) -> DataFrame:
     )
 
 
-@query("f8_trim_parse", f"SELECT event_id, {MS} AS ms, CAST(NULL AS BIGINT) AS bad FROM events")
+@query("f8_trim_parse", f"SELECT event_id, {MS} AS ms, TRUE AS unreadable FROM events")
 def f8(t: Tables) -> DataFrame:
     padded = F.concat(F.lit("  "), tm.epoch_ms("ts").cast("string"), F.lit("L "))
-    return t.events.select("event_id", tx.parse_long(padded).alias("ms"), tx.parse_long("event_type").alias("bad"))
+    return t.events.select("event_id", tx.parse_long(padded).alias("ms"), tx.parse_long("event_type").isNull().alias("unreadable"))
 
 
 @query("f9_length", "SELECT event_id, CAST(length(event_type) AS BIGINT) AS n FROM events")

@@ -212,11 +212,12 @@ def t9(t: Tables) -> DataFrame:
 
 
 @query("st1_prev_event", """
-    SELECT event_id, user_id, event_type, lag(event_id) OVER w AS prev_event_id, lag(event_type) OVER w AS prev_event_type
+    SELECT event_id, user_id, event_type, coalesce(lag(event_id) OVER w, -1) AS prev_event_id, lag(event_type) OVER w AS prev_event_type
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""")
 def st1(t: Tables) -> DataFrame:
     narrow = t.events.select("event_id", "user_id", "event_type")
-    return state.previous_event(narrow, key="user_id", order="event_id", keep=["event_id", "event_type"])
+    seen = state.previous_event(narrow, key="user_id", order="event_id", keep=["event_id", "event_type"])
+    return seen.fillna({"prev_event_id": -1})
 
 
 @query("st2_history_len", """
