@@ -106,13 +106,12 @@ def window_cogroup(
 
     lists = [listed(F.col("_left")).alias("left_list"), listed(~F.col("_left")).alias("right_list")]
     if both.isStreaming:
-        w = F.window(ts, size)
-        span = F.window(ts, stream_piece or size)["start"]
-        grouped = both.groupBy(*keys, w.alias("window"), span.alias("_from")).agg(*lists)
-        length = F.expr(f"interval {stream_piece or size}")
-        from_start = F.unix_micros("_from") - F.unix_micros(F.col("window.start"))
-        one = F.unix_micros(F.col("_from") + length) - F.unix_micros("_from")
-        return split_window(grouped.withColumn("piece", F.call_function("div", from_start, one)).drop("_from"))
+        # Windows start at multiples of their size since the epoch, and pieces divide them.
+        span = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {stream_piece or size}"))
+        number = F.call_function("div", F.unix_micros(ts), span)
+        grouped = both.groupBy(*keys, F.window(ts, size).alias("window"), number.alias("_number")).agg(*lists)
+        before = F.call_function("div", F.unix_micros(F.col("window.start")), span)
+        return split_window(grouped.withColumn("piece", F.col("_number") - before).drop("_number"))
     windowed = split_window(both.select("*", F.window(ts, size).alias("window")))
     group = [*keys, "window_start", "window_end"]
     pieces = cut(windowed, group, ts, list_rows)

@@ -60,7 +60,5 @@ def stream_top(
 def top_overall(df: DataFrame, *, by: str, tie: str, n: int) -> DataFrame:
     """The ``n`` largest rows with their rank; only ``n`` rows per task leave the scan."""
     best = df.orderBy(F.col(by).desc(), F.col(tie).asc()).limit(n)
-    if df.isStreaming:
-        return best
     w = Window.partitionBy(F.lit(0)).orderBy(F.col(by).desc(), F.col(tie).asc())
     return best.withColumn("rank", F.row_number().over(w).cast("bigint"))
