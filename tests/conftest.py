@@ -18,7 +18,7 @@ def spark():
         "rillmark-tests",
         "local[8]",
         **{
-            "spark__sql__shuffle__partitions": "4",
+            "spark__sql__shuffle__partitions": "2",
             "spark__ui__enabled": "false",
             "spark__driver__memory": "4g",
             "spark__checkpoint__dir": tempfile.mkdtemp(prefix="rillmark-ckpt-"),

@@ -148,12 +148,13 @@ def test_interval_join_includes_both_ends(spark):
 def test_interval_join_against_all_pairs(spark):
     left = timed(spark, [("k%d" % (i % 3), i * i * 7 % 90_000) for i in range(120)])
     right = timed(spark, [("k%d" % (i % 3), i * i * 11 % 90_000) for i in range(120)])
+    lefts, rights = left.collect(), right.collect()
     for low, high in ((-2000, 3000), (0, 0), (1000, 1500)):
         pairs = joins.interval_join(left, right, key="key", ts="ts", lower_ms=low, upper_ms=high)
         want = sorted(
             (a["key"], a["ms"], b["ms"])
-            for a in left.collect()
-            for b in right.collect()
+            for a in lefts
+            for b in rights
             if a["key"] == b["key"] and a["ms"] + low <= b["ms"] <= a["ms"] + high
         )
         assert got(pairs, "key", "left_ms", "right_ms") == want

@@ -41,7 +41,7 @@ EVENTS = "user string, seq bigint, ms bigint, kind string"
 
 def play(spark, delay="5 seconds"):
     """Two users, disordered within the delay, over three micro-batches and a closing row."""
-    kinds = ["error", "error", "error", "error", "payment", "order", "view", "payment", "order", "error"]
+    kinds = ["error", "error", "error", "error", "payment", "order", "view", "click", "order", "payment"]
     data = [(f"u{i % 2}", i, i * 1000 + (i % 3) * 700 + 1000, kinds[(i * i) % 10]) for i in range(40)]
     disordered = sorted(data, key=lambda r: r[2] + (r[1] % 4) * 1100)
     batches = [disordered[i : i + 14] for i in range(0, 40, 14)] + [[("end", 99, FAR, "end")]]
@@ -84,10 +84,10 @@ def test_consecutive_equals_batch(spark, table):
 
 
 def test_followed_by_equals_batch(spark, table):
-    got = ordered(spark, proc.followed_step("kind", "order", "payment", 6_000_000), ["kind"])
+    got = ordered(spark, proc.followed_step("kind", "order", "payment", 3_000_000), ["kind"])
     want = patterns.followed_by_within(
         table, key="user", order=["ms", "seq"], ts="ts", first=F.col("kind") == "order",
-        second=F.col("kind") == "payment", within="6 seconds", keep="seq",
+        second=F.col("kind") == "payment", within="3 seconds", keep="seq",
     )
     found = rows(got, "user", "seq", "status", F.coalesce("end_us", F.lit(-1)))
     assert found == rows(want, "user", "seq", "status", F.coalesce(F.unix_micros("end_ts"), F.lit(-1)))
