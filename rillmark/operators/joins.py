@@ -13,6 +13,7 @@ from rillmark.functions.text import split_text
 from rillmark.operators.ordered import (
     KNOWN_SMALL,
     Running,
+    Slices,
     check_keys,
     cut,
     fits_broadcast,
@@ -203,11 +204,13 @@ def _reconcile_by_time(app: DataFrame, third: DataFrame, key: str, ts: str, wait
     both = app.withColumn("_side", F.lit(0)).unionByName(third.withColumn("_side", F.lit(1)))
     is_app, is_third = F.col("_side") == 0, F.col("_side") == 1
     order = [ts, "_side"]
+    cuts = cut(both, key, order)
     seen = with_running(
         both,
         keys=key,
         order=order,
         measures={"_app_before": Running("max", F.when(is_app, F.col(ts)))},
+        sliced=cuts,
     )
     seen = with_running(
         seen,
@@ -215,6 +218,7 @@ def _reconcile_by_time(app: DataFrame, third: DataFrame, key: str, ts: str, wait
         order=order,
         reverse=True,
         measures={"_third_after": Running("min", F.when(is_third, F.col(ts)))},
+        sliced=Slices(seen, cuts.columns, cuts.count),
     )
     limit = F.expr(f"interval {wait}")
     known = F.col(key).isNotNull()

@@ -171,32 +171,39 @@ def with_row_frames(
     before: int = 0,
     after: int = 0,
     slice_rows: int | None = None,
+    sliced: Slices | None = None,
 ) -> DataFrame:
     """Add window expressions that look at most ``before`` rows back and ``after`` ahead.
 
     ``columns`` maps a name to a function of the ordered window, such as
-    ``lambda w: F.lag("ts").over(w)``.
+    ``lambda w: F.lag("ts").over(w)``. A table that was cut already, before other steps,
+    comes in as ``sliced``, by slices along the same order, and keeps its slice columns.
     """
     keys, order = names(keys), names(order)
-    sliced = cut(df, keys, order, slice_rows)
+    given = sliced is not None
+    sliced = sliced or cut(df, keys, order, slice_rows)
+    df = sliced.df
     if not sliced.columns:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({n: f(w) for n, f in columns.items()})
-    part = Window.partitionBy(*keys, *sliced.columns)
-    w = part.orderBy(*order)
-    marked = sliced.df.withColumn("_head", F.row_number().over(w)).withColumn(
-        "_tail", F.count(F.lit(1)).over(part) - F.col("_head") + 1
-    )
-    at_border = (F.col("_head") <= before) | (F.col("_tail") <= after)
-    inside = marked.withColumns({n: f(w) for n, f in columns.items()}).filter(~at_border)
+    w = Window.partitionBy(*keys, *sliced.columns).orderBy(*order)
+    one = F.lit(1)
+
+    def near_border(back: int, ahead: int) -> Column:
+        """Whether fewer rows than that lie before or after the row in its slice."""
+        near = F.lit(False)
+        near = near | F.lag(one, back).over(w).isNull() if back else near
+        return near | F.lead(one, ahead).over(w).isNull() if ahead else near
+
+    # Rows at a border need rows of the next slice; those reach no further than this.
     reach = before + after
+    marked = df.withColumns({"_border": near_border(before, after), "_near": near_border(reach, reach)})
+    inside = marked.withColumns({n: f(w) for n, f in columns.items()}).filter(~F.col("_border"))
     across = Window.partitionBy(*keys).orderBy(*sliced.columns, *order)
     border = (
-        marked.filter((F.col("_head") <= reach) | (F.col("_tail") <= reach))
-        .withColumns({n: f(across) for n, f in columns.items()})
-        .filter(at_border)
+        marked.filter("_near").withColumns({n: f(across) for n, f in columns.items()}).filter("_border")
     )
-    return inside.unionByName(border).drop("_head", "_tail", *sliced.columns)
+    return inside.unionByName(border).drop("_border", "_near", *([] if given else sliced.columns))
 
 
 @dataclass(frozen=True)
@@ -244,11 +251,13 @@ def with_running(
     """Add aggregates over all rows of the key up to the current one.
 
     ``reverse`` runs from the last row backwards; ``exclusive`` leaves out the current
-    row. The order must be total, so that the answer does not depend on chance. A table
-    that was cut already, before other steps, comes in as ``sliced`` and keeps its cut.
+    row. The order must be total, so that the answer does not depend on chance. For
+    ``sliced`` see ``with_row_frames``.
     """
     keys, order = names(keys), names(order)
+    given = sliced is not None
     sliced = sliced or cut(df, keys, order, slice_rows)
+    df = sliced.df
     end = -1 if exclusive else 0
     w = (
         Window.partitionBy(*keys, *sliced.columns)
@@ -281,7 +290,7 @@ def with_running(
         {n: m.joined(F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, m in measures.items()}
     )
     return done.drop(
-        *sliced.columns,
+        *([] if given else sliced.columns),
         *[f"_k_{c}" for c in group],
         *[f"_{p}_{n}" for n in measures for p in ("c", "l")],
     )

@@ -7,7 +7,7 @@ shuffle and a hot key costs one row per window and input task. Windows that over
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.columns import Names, names, split_window
@@ -15,7 +15,8 @@ from rillmark.functions.aggregate import Mergeable, floor_div, integer_avg, merg
 from rillmark.functions.time import epoch_ms
 from rillmark.operators.ordered import (
     Running,
-    check_keys,
+    Slices,
+    cut,
     with_position,
     with_row_frames,
     with_running,
@@ -128,35 +129,35 @@ def session(
     if df.isStreaming:
         w = F.session_window(ts, gap)
         return split_window(df.groupBy(*keys, w.alias("window")).agg(*partials(measures)))
-    limit = check_keys(df, keys, slice_rows)
-    buckets = df.groupBy(*keys, F.window(ts, gap).alias("window")).agg(
+    # Hot keys are cut on the narrow input; a bucket lies in one slice, as its rows share its start.
+    placed = df.withColumn("_bucket", F.window(ts, gap)["start"])
+    cuts = cut(placed, keys, "_bucket", slice_rows)
+    group = keys + cuts.columns
+    buckets = cuts.df.groupBy(*group, "_bucket").agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), *partials(measures)
     )
-    buckets = buckets.withColumn("_bucket", F.col("window.start")).drop("window")
-    linked = with_row_frames(
-        buckets,
-        keys=keys,
-        order="_bucket",
-        before=1,
-        columns={"_before": lambda w: F.lag("_last").over(w)},
-        slice_rows=limit,
+    found = _linked(buckets, group, gap, measures)
+    if cuts.columns:
+        # Only the first and the last session of a slice can go on in another slice.
+        w = Window.partitionBy(*group)
+        ends = (F.col("_session") == 1) | (F.col("_session") == F.max("_session").over(w))
+        marked = found.withColumn("_ends", ends)
+        inner = marked.filter(~F.col("_ends")).drop("_ends", *cuts.columns)
+        outer = _linked(marked.filter("_ends"), keys, gap, measures)
+        found = inner.unionByName(outer)
+    return found.select(
+        *keys, F.col("_first").alias("window_start"), (F.col("_last") + interval(gap)).alias("window_end"), *measures
     )
-    starts = F.col("_before").isNull() | (F.col("_first") > F.col("_before") + interval(gap))
-    numbered = with_running(
-        linked.withColumn("_starts", starts.cast("bigint")),
-        keys=keys,
-        order="_bucket",
-        measures={"_session": Running("sum", F.col("_starts"))},
-        slice_rows=limit,
-    )
-    return (
-        numbered.groupBy(*keys, "_session")
-        .agg(
-            F.min("_first").alias("window_start"),
-            (F.max("_last") + interval(gap)).alias("window_end"),
-            *merged(measures),
-        )
-        .drop("_session")
+
+
+def _linked(spans: DataFrame, group: list[str], gap: str, measures: dict[str, Mergeable]) -> DataFrame:
+    """Join the spans of a group, each from ``_first`` to ``_last``, that lie no more than a gap apart."""
+    w = Window.partitionBy(*group).orderBy("_first")
+    before = F.lag("_last").over(w)
+    fresh = before.isNull() | (F.col("_first") > before + interval(gap))
+    numbered = spans.withColumn("_fresh", fresh.cast("bigint")).withColumn("_session", F.sum("_fresh").over(w))
+    return numbered.groupBy(*group, "_session").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), *merged(measures)
     )
 
 
@@ -191,16 +192,22 @@ def count_window_sliding(
     slice_rows: int | None = None,
 ) -> DataFrame:
     """After each ``slide`` rows of a key, aggregate its last ``size`` rows, or fewer at the start."""
-    limit = check_keys(df, key, slice_rows)
+    cuts = cut(df, key, order, slice_rows)
     framed = with_row_frames(
         df,
         keys=key,
         order=order,
         before=size - 1,
         columns={n: (lambda w, a=a: a.over(w.rowsBetween(-(size - 1), 0))) for n, a in aggs.items()},
-        slice_rows=limit,
+        sliced=cuts,
+    )
+    placed = with_running(
+        framed,
+        keys=key,
+        order=order,
+        measures={"position": Running("count", F.lit(1))},
+        sliced=Slices(framed, cuts.columns, cuts.count),
     )
-    placed = with_position(framed, keys=key, order=order, slice_rows=limit)
     return placed.filter(F.col("position") % slide == 0).select(*names(key), "position", *aggs)
 
 

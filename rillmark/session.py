@@ -18,6 +18,7 @@ def build_session(app: str = "rillmark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
