@@ -73,6 +73,15 @@ def rolling_max_by(
     return led.withColumn("best", F.col("best.record"))
 
 
+def max_by_key(df: DataFrame, *, key: Names, order: str, value: str) -> DataFrame:
+    """The record with the maximum of each key, the first one on a tie, as the struct ``best``.
+
+    On a stream run it in update mode: each trigger sends the keys whose record changed.
+    """
+    rank = F.struct(F.col(value).alias("v"), (-F.col(order)).alias("o"))
+    return df.groupBy(*names(key)).agg(F.max_by(F.struct(*df.columns), rank).alias("best"))
+
+
 def every_nth_avg(
     df: DataFrame, *, key: Names, order: Names, value: Column, size: int = 5, slice_rows: int | None = None
 ) -> DataFrame:

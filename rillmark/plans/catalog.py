@@ -43,7 +43,7 @@ class Tables:
         )
 
     def register(self, *tables: str) -> SparkSession:
-        """Name tables for SQL text, under a view name of this folder's own."""
+        """Name tables and functions for SQL text."""
         for name in tables:
             self.table(name).createOrReplaceTempView(name)
         register_functions(self.spark)

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.aggregate import Mergeable
 from rillmark.operators import aggregates, joins, project, ranking, windows
+from rillmark.operators.ordered import fits_broadcast
 from rillmark.plans.catalog import Tables, bucket, query
-from rillmark.plans.records import WORDS
-from rillmark.plans.stateful import FOLLOWED, RULES, matched, typed
+from rillmark.plans.records import WORDS, lines
+from rillmark.plans.stateful import FOLLOWED, matched, rules_of, typed
 from rillmark.plans.windowed import POSITIONED, cumulated, hopped, ranked, tumbled
 from rillmark.streaming import processors as proc
-from rillmark.streaming.eventtime import with_watermark
+from rillmark.sources import readers
+from rillmark.streaming.eventtime import with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
-from rillmark.streaming.run import drain_appended, drain_each, drain_updated
+from rillmark.streaming.leader import LeaderSink, counts_with_last, stream_top_overall
+from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_each, drain_updated
 
 DELAY = "2 hours"
 WM = f"(SELECT date_trunc('millisecond', max(ts)) - INTERVAL '{DELAY}' FROM events)"
@@ -167,9 +170,13 @@ def j6(t: Tables) -> DataFrame:
     return local(drain_appended(pairs))
 
 
-def ordered(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
+def stepped(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
     timed = events(t, "0 seconds").withColumn("us", F.unix_micros("ts"))
-    return drain_appended(proc.in_order(timed, key="user_id", ts="ts", seq="event_id", keep=keep, step=step))
+    return proc.in_order(timed, key="user_id", ts="ts", seq="event_id", keep=keep, step=step)
+
+
+def ordered(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
+    return drain_appended(stepped(t, step, keep))
 
 
 @query("st1_stream_prev", f"""
@@ -187,13 +194,14 @@ def st1(t: Tables) -> DataFrame:
 
 @query("j7_stream_rule_match", matched("('error', 'click'), ('click', 'purchase')").replace("FROM events", f"FROM {SEEN}"))
 def j7(t: Tables) -> DataFrame:
-    seen = ordered(t, proc.previous_step("event_type"), ["event_type"])
-    rules = t.spark.createDataFrame(RULES, "arrival int, action1 string, action2 string")
+    seen = stepped(t, proc.previous_step("event_type"), ["event_type"])
+    rules = rules_of(t)
+    rules = F.broadcast(rules) if fits_broadcast(rules) else rules
     on = (F.col("previous") == F.col("action1")) & (F.col("current") == F.col("action2"))
-    hits = seen.join(F.broadcast(rules), on)
-    return hits.select(
+    hits = seen.join(rules, on).select(
         F.col("seq").alias("event_id"), "user_id", F.col("current").alias("event_type"), "action1", "action2"
     )
+    return drain_appended(hits)
 
 
 @query("st2_stream_history", f"""
@@ -255,7 +263,14 @@ def o1(t: Tables) -> DataFrame:
     return ordered(t, proc.recent_avg_step("us", 5), ["us"])
 
 
-@query("a11_stream_total")
+@query("a11_stream_total", f"""
+    WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM {SEEN}),
+    r AS (SELECT user_id, min(us) + 10800000000 AS reported_us FROM e GROUP BY user_id
+          UNION ALL
+          SELECT r.user_id, min(e.us) + 10800000000 FROM r JOIN e ON e.user_id = r.user_id AND e.us > r.reported_us
+          GROUP BY r.user_id, r.reported_us)
+    SELECT r.user_id, r.reported_us, count(*) AS total FROM r JOIN e ON e.user_id = r.user_id AND e.us <= r.reported_us
+    WHERE r.reported_us <= epoch_us({END}) GROUP BY ALL""")
 def a11(t: Tables) -> DataFrame:
     return ordered(t, proc.running_total_step(3 * 3_600_000_000), ["us"])
 
@@ -276,3 +291,61 @@ def w19(t: Tables) -> DataFrame:
 def t7(t: Tables) -> DataFrame:
     told = drain_appended(proc.alarms(events(t, "0 seconds"), key="user_id", ts="ts", wait_ms=36_000_000))
     return told.filter(F.col("kind") == "rang").select("user_id", "time_ms")
+
+
+@query("a4_stream_running_count", f"""
+    SELECT user_id, event_id AS seq, count(*) OVER (PARTITION BY user_id ORDER BY event_id) AS cnt FROM {SEEN}""")
+def a4(t: Tables) -> DataFrame:
+    return ordered(t, proc.running_count_step(), ["us"])
+
+
+@query("w5_stream_count_sliding", f"""
+    SELECT user_id, position, n, CAST(total AS BIGINT) AS total FROM (
+        SELECT user_id, row_number() OVER w AS position, count(*) OVER f AS n, sum(epoch_us(ts)) OVER f AS total
+        FROM {SEEN} WINDOW w AS (PARTITION BY user_id ORDER BY event_id),
+                           f AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+    WHERE position % 2 = 0""")
+def w5_sliding(t: Tables) -> DataFrame:
+    return ordered(t, proc.count_window_sliding_step("us", 10, 2), ["us"])
+
+
+@query("a5_stream_leader", """
+    SELECT user_id AS leader, cnt FROM (SELECT user_id, count(*) AS cnt, max(event_id) AS last_id FROM events GROUP BY 1)
+    ORDER BY cnt DESC, last_id DESC LIMIT 1""")
+def a5(t: Tables) -> DataFrame:
+    folder = t.scratch("leader")
+    sink = LeaderSink(f"{folder}/out", "user_id")
+    counts = counts_with_last(stream(t, "events"), key="user_id", order="event_id")
+    drain(counts.writeStream.outputMode("update").foreachBatch(sink), f"{folder}/checkpoint")
+    led = sink.leaders(t.spark)
+    return led.agg(F.max_by(F.struct("leader", "cnt"), "batch").alias("last")).select("last.leader", "last.cnt")
+
+
+@query("a7_stream_max_by", """
+    SELECT user_id, arg_max(event_id, {'v': value, 'o': -event_id}) AS best_id, max(value) AS best_value
+    FROM events GROUP BY user_id""")
+def a7(t: Tables) -> DataFrame:
+    narrow = stream(t, "events").select("user_id", "event_id", "value")
+    led = drain_updated(aggregates.max_by_key(narrow, key="user_id", order="event_id", value="value"), ["user_id"])
+    return led.select("user_id", F.col("best.event_id").alias("best_id"), F.col("best.value").alias("best_value"))
+
+
+@query("o2_stream_top2", """
+    SELECT user_id, count(*) AS cnt FROM events GROUP BY user_id ORDER BY cnt DESC, user_id LIMIT 2""")
+def o2(t: Tables) -> DataFrame:
+    counts = aggregates.count_by(stream(t, "events"), "user_id")
+    return drain_complete(stream_top_overall(counts, by="cnt", tie="user_id", n=2))
+
+
+@query("k11_stream_record_counts", f"""
+    SELECT '(' || event_type || ',' || CAST(count(*) AS VARCHAR) || ')' AS value FROM events
+    GROUP BY event_type, {bucket('10 hours')}""")
+def k11(t: Tables) -> DataFrame:
+    """Text records in, window counts out as text records, each in effect once."""
+    path = t.scratch("records")
+    lines(t).write.text(path)
+    clicks = readers.accepted(readers.parse_records(readers.text_lines(t.spark, path, stream=True)))
+    timed = with_event_time(clicks, ms="timestamp", delay="2 seconds")
+    counted = windows.tumble(timed, ts="ts", size="10 hours", key="url")
+    merged = drain_updated(counted, ["url", "window_start", "window_end"])
+    return merged.select(F.format_string("(%s,%d)", "url", "cnt").alias("value"))

@@ -223,6 +223,27 @@ def count_window_step(value: str, size: int) -> Step:
     )
 
 
+def count_window_sliding_step(value: str, size: int, slide: int) -> Step:
+    """After each ``slide`` events, the number and sum of the last ``size`` events, or fewer at the start."""
+
+    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
+        recent, count = memory or ([], 0)
+        recent, count = [*recent, e[value]][-size:], count + 1
+        return (recent, count), [(count, len(recent), sum(recent))] if count % slide == 0 else []
+
+    return Step(memory="recent array<bigint>, n bigint", output="position bigint, n bigint, total bigint", take=take)
+
+
+def running_count_step() -> Step:
+    """After each event, how many events its key has had."""
+
+    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
+        count = (memory[0] if memory else 0) + 1
+        return (count,), [(e["seq"], count)]
+
+    return Step(memory="n bigint", output="seq bigint, cnt bigint", take=take)
+
+
 def recent_avg_step(value: str, before: int) -> Step:
     """Whole-number average over each event and the ``before`` events ahead of it."""
 
