@@ -72,9 +72,13 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    """Null-safe equality of column pairs."""
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+def same(
+    left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], exact: list[tuple[str, str]] | None = None
+) -> Column:
+    """Null-safe equality of column pairs, and plain equality of those never null."""
+    tests = [left[a].eqNullSafe(right[b]) for a, b in pairs]
+    tests += [left[a] == right[b] for a, b in exact or []]
+    return reduce(lambda a, b: a & b, tests)
 
 
 def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None = None) -> Slices:
@@ -285,7 +289,9 @@ def with_running(
         .select(*[F.col(c).alias(f"_k_{c}") for c in group], *[f"_c_{n}" for n in measures])
     )
     local = sliced.df.withColumns({f"_l_{n}": m.local().over(w) for n, m in measures.items()})
-    both = local.join(small(carry, sliced.count), same(local, carry, [(c, f"_k_{c}") for c in group]), "left")
+    # Slice numbers are never null; on plain equality a sort-merge join keeps the window's partitioning.
+    on = same(local, carry, [(c, f"_k_{c}") for c in keys], exact=[(c, f"_k_{c}") for c in sliced.columns])
+    both = local.join(small(carry, sliced.count), on, "left")
     done = both.withColumns(
         {n: m.joined(F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, m in measures.items()}
     )

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillmark.columns import Names, names
 
-Connect = Callable[[], Any]
-
 
 def labelled(df: DataFrame, label: str | None) -> DataFrame:
     return df if label is None else df.select(F.lit(label).alias("label"), "*")
@@ -99,7 +97,7 @@ def to_jdbc(
     return df.select(*names(columns)).write.format("jdbc").mode("append").options(**given)
 
 
-def write_buffered(df: DataFrame, flush: Callable[[int, pd.DataFrame], None], size: int = 10) -> DataFrame:
+def write_buffered(df: DataFrame, flush: Callable[[int, pa.Table], None], size: int = 10) -> DataFrame:
     """Hand rows to ``flush(task, rows)`` in groups of ``size``, the rest of a task at its end.
 
     Gives one row per flush, (task, rows), so an action has to run it. As the sink of a
@@ -107,28 +105,31 @@ def write_buffered(df: DataFrame, flush: Callable[[int, pd.DataFrame], None], si
     lost come again with the replayed micro-batch, which stands in for a saved buffer.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        held: list[pd.DataFrame] = []
+        held: list[pa.RecordBatch] = []
         count = 0
+
+        def report(sizes: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {"task": pa.array([task] * len(sizes), pa.int32()), "rows": pa.array(sizes, pa.int32())}
+            )
+
         for batch in batches:
-            start = 0
-            while count + len(batch) - start >= size:
-                stop = start + size - count
-                held.append(batch.iloc[start:stop])
-                flush(task, pd.concat(held, ignore_index=True))
-                yield pd.DataFrame({"task": [task], "rows": [size]})
-                held, count, start = [], 0, stop
-            if start < len(batch):
-                held.append(batch.iloc[start:])
-                count += len(batch) - start
+            start, flushed = 0, 0
+            while count + batch.num_rows - start >= size:
+                taken = size - count
+                flush(task, pa.Table.from_batches([*held, batch.slice(start, taken)]))
+                held, count, start, flushed = [], 0, start + taken, flushed + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+                count += batch.num_rows - start
+            yield report([size] * flushed)
         if count:
-            flush(task, pd.concat(held, ignore_index=True))
-            yield pd.DataFrame({"task": [task], "rows": [count]})
+            flush(task, pa.Table.from_batches(held))
+            yield report([count])
 
-    return df.mapInPandas(run, "task int, rows int")
+    return df.mapInArrow(run, "task int, rows int")
 
 
 def merge_batch(path: str) -> Callable[[DataFrame, int], None]:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rillmark.operators import ordered
 from rillmark.operators.ordered import Running, cut, with_position, with_row_frames, with_running
 
 
@@ -88,3 +89,17 @@ def test_position(skewed):
     w = Window.partitionBy("key").orderBy("t", "seq")
     plain = skewed.withColumn("position", F.row_number().over(w).cast("bigint"))
     assert rows(got) == rows(plain)
+
+
+@pytest.mark.parametrize("keys", [["key"], []])
+def test_side_tables_beyond_the_broadcast_bound(skewed, keys, monkeypatch):
+    monkeypatch.setattr(ordered, "BROADCAST_ROWS", 0)
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("t", "seq")
+    plain = skewed.withColumns({"s": F.sum("v").over(w), "prev": F.lag("v").over(w)})
+    summed = with_running(
+        skewed, keys=keys, order=["t", "seq"], measures={"s": Running("sum", F.col("v"))}, slice_rows=40
+    )
+    got = with_row_frames(
+        summed, keys=keys, order=["t", "seq"], before=1, columns={"prev": lambda w: F.lag("v").over(w)}, slice_rows=10_000
+    )
+    assert rows(got) == rows(plain)

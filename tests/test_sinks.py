@@ -1,6 +1,6 @@
 """Sinks and connectors that need no running service."""
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rillmark.operators.project import map_with_lifecycle
@@ -12,12 +12,12 @@ from rillmark.sources.readers import kafka_options, kafka_values, text_lines
 def test_buffered_sink_flushes_full_groups_and_the_rest(spark):
     folder = shared_folder(spark, "flushed")
 
-    def flush(task: int, rows: pd.DataFrame) -> None:
+    def flush(task: int, rows: pa.Table) -> None:
         import os
         import uuid
 
         os.makedirs(folder, exist_ok=True)
-        rows.to_csv(f"{folder}/{uuid.uuid4().hex}.csv", index=False)
+        rows.to_pandas().to_csv(f"{folder}/{uuid.uuid4().hex}.csv", index=False)
 
     flushed = writers.write_buffered(spark.range(0, 25, numPartitions=1), flush, 10)
     assert sorted(r["rows"] for r in flushed.collect()) == [5, 10, 10]
