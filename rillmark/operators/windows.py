@@ -56,20 +56,23 @@ def hop(
     slide: str,
     key: Names | None = None,
     measures: dict[str, Mergeable] | None = None,
+    panes: bool = True,
 ) -> DataFrame:
     """Aggregate per key and sliding window; ``size`` is a multiple of ``slide``.
 
-    Batch tables are first aggregated per slide-long pane. A stream uses the built-in
-    window, which every output mode allows.
+    With ``panes`` rows are first aggregated per slide-long pane and only panes are spread
+    over windows: best where a key has several rows per pane. For sparse keys, where panes
+    are hardly fewer than rows, the built-in window saves a shuffle. Streams always use the
+    latter, which every output mode allows.
     """
     measures = measures or rows()
-    if df.isStreaming:
+    if df.isStreaming or not panes:
         found = df.groupBy(*names(key), F.window(ts, size, slide).alias("window")).agg(*partials(measures))
         return split_window(found)
-    panes = tumble(df, ts=ts, size=slide, key=key, aggs=partials(measures))
+    per_pane = tumble(df, ts=ts, size=slide, key=key, aggs=partials(measures))
     first = F.col("window_start") - interval(size) + interval(slide)
     starts = F.sequence(first, F.col("window_start"), interval(slide))
-    spread = panes.withColumn("window_start", F.explode(starts)).withColumn(
+    spread = per_pane.withColumn("window_start", F.explode(starts)).withColumn(
         "window_end", F.col("window_start") + interval(size)
     )
     return spread.groupBy(*names(key), "window_start", "window_end").agg(*merged(measures))

@@ -130,7 +130,7 @@ def w2(t: Tables) -> DataFrame:
 
 @query("w3_hop_user_count", hopped("user_id", 10, 2))
 def w3(t: Tables) -> DataFrame:
-    return windows.hop(t.events, ts="ts", size="10 hours", slide="2 hours", key="user_id")
+    return windows.hop(t.events, ts="ts", size="10 hours", slide="2 hours", key="user_id", panes=False)
 
 
 @query("w4_session_user", """
@@ -254,7 +254,7 @@ def w13(t: Tables) -> DataFrame:
 
 @query("w14_window_topn_users", ranked(hopped("user_id", 10, 5), "cnt DESC, user_id", 2))
 def w14(t: Tables) -> DataFrame:
-    counts = windows.hop(t.events, ts="ts", size="10 hours", slide="5 hours", key="user_id")
+    counts = windows.hop(t.events, ts="ts", size="10 hours", slide="5 hours", key="user_id", panes=False)
     return ranking.rank_within(counts, group=["window_start", "window_end"], by="cnt", tie="user_id", n=2)
 
 

@@ -320,3 +320,10 @@ def test_table_attributes_and_text(spark):
         ("Event{username='Mary', url='./home', timestamp=1970-01-01 00:00:01.5}", "1970-01-01 00:00:01.0")
     ]
     assert got(clicks.select(window_start_ms("timestamp", 1000).alias("s")), "s") == [(1000,)]
+
+
+def test_hop_gives_the_same_by_panes_and_built_in(spark):
+    data = timed(spark, [("k%d" % (i % 3), i * i * 37 % 60_000) for i in range(200)])
+    columns = ("key", F.unix_millis("window_start"), F.unix_millis("window_end"), "cnt")
+    found = [windows.hop(data, ts="ts", size="10 seconds", slide="2 seconds", key="key", panes=p) for p in (True, False)]
+    assert got(found[0], *columns) == got(found[1], *columns)
