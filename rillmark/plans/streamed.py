@@ -17,6 +17,7 @@ from rillmark.plans.records import WORDS, lines
 from rillmark.plans.stateful import FOLLOWED, matched, rules_of, typed
 from rillmark.plans.windowed import POSITIONED, cumulated, hopped, ranked, tumbled
 from rillmark.streaming import processors as proc
+from rillmark.sinks.writers import fan_out, merge_batch, to_text_files
 from rillmark.sources import readers
 from rillmark.streaming.eventtime import with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
@@ -138,6 +139,41 @@ def j4(t: Tables) -> DataFrame:
     return local(drain_appended(pairs))
 
 
+@query("j3_stream_bill_matches", """
+    SELECT o_orderkey AS id, o_orderdate AS app_ts, l_shipdate AS third_ts, 'match' AS status
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey AND l_linenumber = 1
+    WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL '30 days'""")
+def j3(t: Tables) -> DataFrame:
+    """The matches of the full outer join; bills without a partner follow as the watermark passes them."""
+    orders = stream(t, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"))
+    shipped = stream(t, "lineitem").filter(F.col("l_linenumber") == 1)
+    shipped = shipped.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("ts"))
+    app, third = (with_watermark(s, ts="ts", delay="1 day") for s in (orders, shipped))
+    checked = drain_appended(joins.reconcile(app, third, key="id", ts="ts", wait="30 days"))
+    return local(checked.filter(F.col("status") == "match"))
+
+
+@query("j2_stream_fan_out", """
+    SELECT event_id, user_id, CASE event_type WHEN 'click' THEN 'click' WHEN 'view' THEN 'view' ELSE 'other' END AS channel
+    FROM events""")
+def j2(t: Tables) -> DataFrame:
+    folder = t.scratch("channels")
+    tags = [(c, F.col("event_type") == c) for c in ("click", "view")]
+    routed = joins.route(stream(t, "events").select("event_id", "user_id", "event_type"), tags)
+    channels = ("click", "view", "other")
+    drain_each(routed, fan_out({c: merge_batch(f"{folder}/{c}") for c in channels}))
+    read = [t.spark.read.parquet(f"{folder}/{c}").withColumn("channel", F.lit(c)) for c in channels]
+    return joins.union_all(*read).select("event_id", "user_id", "channel")
+
+
+@query("k2_stream_text_files", "SELECT event_type || ' ' || CAST(event_id AS VARCHAR) AS value FROM events")
+def k2(t: Tables) -> DataFrame:
+    path = t.scratch("text-stream")
+    text = stream(t, "events").select(F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("value"))
+    drain(to_text_files(text, f"{path}/out"), f"{path}/checkpoint")
+    return t.spark.read.text(f"{path}/out")
+
+
 @query("j5_stream_window_counts", f"""
     SELECT * FROM (
         SELECT user_id, {bucket('1 day')} AS window_start, {bucket('1 day')} + INTERVAL '1 day' AS window_end,
