@@ -4,10 +4,11 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import compare, connect
+from rillmark.plans import QUERIES
 from tests.conftest import SF_DIR
 
-STREAMS = [n for n in queries() if "_stream_" in n]
-TABLES = [n for n in queries() if "_stream_" not in n]
+STREAMS = [n for n in QUERIES if "_stream_" in n]
+TABLES = [n for n in QUERIES if "_stream_" not in n]
 
 
 @pytest.fixture(scope="module")
