@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillmark.llm.catalog import query, table
 from rillmark.llm.exact_dedup import exact_dedup
 from rillmark.llm.license_scan import license_scan
+from rillmark.llm.near_dedup import near_dedup
 from rillmark.llm.packing import pack_documents
 from rillmark.llm.token_files import read_token_files, write_token_files
 from rillmark.llm.url_filter import RULES, url_filter
@@ -65,3 +66,8 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), "byte_bpe_50k.json")
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup(table(spark, folder, "documents"), words=3, percent=85)
