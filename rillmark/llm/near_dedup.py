@@ -200,3 +200,10 @@ def block_pairs(apart: DataFrame, percent: int) -> DataFrame:
     two = apart.select("key", F.col("rep").alias("b"), F.col("n").alias("cn"), F.col("component").alias("cb"), grade.alias("grade"))
     near = one.join(two, ["key", "grade"]).filter("a < b AND ca != cb").filter(alike(percent))
     return near.select("a", "b").distinct()
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that stay, one of each component, all columns unchanged. Rows without an id stay."""
+    verdict = near_dedup(docs, id_col, text_col, words, percent).filter(~F.col("kept"))
+    drop = stored(verdict.select(F.col(id_col).alias("_id")).distinct(), "near-drop")
+    return docs.alias("d").join(drop.alias("x"), F.col(f"d.{id_col}") == F.col("x._id"), "left_anti")

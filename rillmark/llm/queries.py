@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.llm.catalog import query, table
+from rillmark.llm.decontaminate import decontaminate
 from rillmark.llm.exact_dedup import exact_dedup
 from rillmark.llm.license_scan import license_scan
 from rillmark.llm.near_dedup import near_dedup
 from rillmark.llm.packing import pack_documents
 from rillmark.llm.token_files import read_token_files, write_token_files
+from rillmark.llm.toxicity import toxicity, train
 from rillmark.llm.url_filter import RULES, url_filter
 
 
@@ -71,3 +73,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_near_dedup")
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup(table(spark, folder, "documents"), words=3, percent=85)
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity(docs, train(docs, table(spark, folder, "labels")))
