@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillmark.llm.catalog import query, table
 from rillmark.llm.decontaminate import decontaminate
 from rillmark.llm.exact_dedup import exact_dedup
+from rillmark.llm.html_text import extract_text
 from rillmark.llm.license_scan import license_scan
 from rillmark.llm.near_dedup import near_dedup
 from rillmark.llm.packing import pack_documents
@@ -84,3 +85,8 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity(docs, train(docs, table(spark, folder, "labels")))
+
+
+@query("op7_html_text")
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
