@@ -12,6 +12,7 @@ from rillmark.llm.html_text import extract_text
 from rillmark.llm.license_scan import license_scan
 from rillmark.llm.near_dedup import near_dedup
 from rillmark.llm.packing import pack_documents
+from rillmark.llm.suffix_dedup import suffix_dedup
 from rillmark.llm.token_files import read_token_files, write_token_files
 from rillmark.llm.toxicity import toxicity, train
 from rillmark.llm.url_filter import RULES, url_filter
@@ -90,3 +91,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_html_text")
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(table(spark, folder, "pages"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(table(spark, folder, "documents"), scanned=True)
