@@ -50,7 +50,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, penalty: floa
     one grade only, the thresholds alone say what is known.
     """
     n = len(rows)
-    share = [(np.sum(grades > k) + 0.5) / (n + 1) for k in range(n_grades - 1)]
+    share = [(np.sum(grades > k) + 0.5) / (n + 2) for k in range(n_grades - 1)]
     base = np.array([-np.log(s / (1 - s)) for s in share])
     base = np.maximum.accumulate(base + 1e-3 * np.arange(len(base)))
     if not n or len(set(grades.tolist())) < 2:
@@ -135,10 +135,10 @@ def train(
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], names=["id", "toxic", "features"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    found = map_batches(joined.select("_id", "_text", "_toxic"), take, f"id {id_type}, toxic int, features binary").toPandas()
-    found = found.sort_values(["id", "features"], kind="stable")
-    rows = [np.frombuffer(f, dtype="<i4") for f in found["features"]]
-    return fit_severity(rows, found["toxic"].to_numpy(dtype=np.int64))
+    found = map_batches(joined.select("_id", "_text", "_toxic"), take, f"id {id_type}, toxic int, features binary").toArrow()
+    found = found.sort_by([("id", "ascending"), ("features", "ascending")])
+    rows = [np.frombuffer(f.as_buffer(), dtype="<i4") for f in found["features"]]
+    return fit_severity(rows, found["toxic"].to_numpy().astype(np.int64))
 
 
 class Scorer:
