@@ -1,21 +1,12 @@
 """SQL names for the functions.
 
-The scalar function is a SQL expression that Catalyst inlines, so a query that calls
-it stays in the JVM; an Arrow batch form is there for comparison and as a pattern for
-functions SQL cannot express. The table function runs in Python; at scale prefer
-``LATERAL explode(split(..))``, which gives the same rows.
+Both the scalar and the table function are SQL that Catalyst inlines, so a query that
+calls them stays in the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-PART = T.StructType([T.StructField("word", T.StringType()), T.StructField("length", T.IntegerType())])
 
 HASH_SQL = """
 CREATE OR REPLACE TEMPORARY FUNCTION string_hash(s STRING) RETURNS INT RETURN CAST(aggregate(
@@ -27,33 +18,15 @@ CREATE OR REPLACE TEMPORARY FUNCTION string_hash(s STRING) RETURNS INT RETURN CA
 """
 
 
-def _java_hash(text: str | None) -> int | None:
-    if text is None:
-        return None
-    units = text.encode("utf-16-be")
-    h = 0
-    for i in range(0, len(units), 2):
-        h = (31 * h + (units[i] << 8) + units[i + 1]) & 0xFFFFFFFF
-    return h - (1 << 32) if h >= 1 << 31 else h
-
-
-@F.pandas_udf(T.IntegerType())
-def string_hash_arrow(text: pd.Series) -> pd.Series:
-    return text.map(_java_hash).astype("Int32")
-
-
-@F.udtf(returnType=PART)
-class SplitLengths:
-    """Parts of a text between question marks, with their lengths."""
-
-    def eval(self, text: str | None) -> Iterator[tuple[str, int]]:
-        if text is not None:
-            for part in text.split("?"):
-                yield part, len(part)
+#: Parts of a text between question marks with their lengths; empty parts at the end don't count.
+SPLIT_SQL = r"""
+CREATE OR REPLACE TEMPORARY FUNCTION split_lengths(s STRING) RETURNS TABLE(word STRING, length INT) RETURN
+  SELECT word, length(word) AS length FROM (SELECT explode(
+    CASE WHEN s = '' OR regexp_replace(s, '[?]+$', '') <> '' THEN split(regexp_replace(s, '[?]+$', ''), '[?]') END) AS word)
+"""
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Make ``string_hash``, ``string_hash_arrow`` and ``split_lengths`` callable from SQL."""
+    """Make ``string_hash`` and ``split_lengths`` callable from SQL."""
     spark.sql(HASH_SQL)
-    spark.udf.register("string_hash_arrow", string_hash_arrow)
-    spark.udtf.register("split_lengths", SplitLengths)
+    spark.sql(SPLIT_SQL)

@@ -13,11 +13,6 @@ def _literal(separator: str) -> str:
     return separator if separator in (" ", ",", "/", ";") else f"\\Q{separator}\\E"
 
 
-def split_text(text: Column | str, separator: str) -> Column:
-    """Split on a literal separator."""
-    return F.split(col(text), _literal(separator))
-
-
 def tokens(text: Column | str, separator: str = " ") -> Column:
     """Split on a literal separator, without the empty tokens at the end.
 
@@ -29,6 +24,11 @@ def tokens(text: Column | str, separator: str = " ") -> Column:
     return F.when(~only_separators, F.split(cut, _literal(separator)))
 
 
+def split_text(text: Column | str, separator: str) -> Column:
+    """Split on a literal separator; empty parts at the end are left out."""
+    return tokens(text, separator)
+
+
 def parse_long(text: Column | str) -> Column:
     """Trimmed text to bigint, null where it is no number; a trailing ``L`` is allowed."""
     return F.regexp_replace(F.trim(col(text)), "L$", "").try_cast("bigint")

@@ -9,23 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.columns import Names, micros, names, split_window
-from rillmark.functions.text import split_text
+from rillmark.functions.text import tokens
 from rillmark.operators.ordered import (
-    KNOWN_SMALL,
-    Running,
-    Slices,
-    check_keys,
     cut,
     fits_broadcast,
     same,
     small,
     with_row_frames,
-    with_running,
 )
 
-# An id with more records than this is no longer matched by comparing all pairs of it.
-PAIR_ROWS = 1_000
-
 
 def union_all(*tables: DataFrame) -> DataFrame:
     """All rows of all tables, columns matched by name. Watermarks of streams: the smallest rules."""
@@ -170,78 +162,46 @@ def interval_join(
     return pairs.drop("_bucket", "_low", "_high", "_at")
 
 
-def reconcile(
-    app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str, pair_rows: int = PAIR_ROWS
-) -> DataFrame:
+def reconcile(app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str) -> DataFrame:
     """Match bills of two sources by id; the third party may follow the app by up to ``wait``.
 
-    Gives ``match``, ``third_missing`` or ``app_missing`` as ``status``. Ids are meant to
-    be unique per source; where one repeats, each fitting pair is a match. Should an id
-    repeat very often in a batch table, pairs are found by time bucket and the rest by
-    the nearest record of the other side, not by comparing all pairs of the id.
+    Gives ``match``, ``third_missing`` or ``app_missing`` as ``status``, told by which side is there, so a bill without
+    a time is missing its partner whatever its side. Ids are meant to be unique per source; where one repeats, each
+    fitting pair is a match. A batch join equates a time bucket as long as the wait next to the id, so an id that
+    repeats very often is split by time; a bill without a partner is found by what no pair holds.
     """
-    both_batch = not (app.isStreaming or third.isStreaming)
-    if both_batch:
-        sides = app.select(key).unionByName(third.select(key))
-        if check_keys(sides.filter(F.col(key).isNotNull()), key, pair_rows) != KNOWN_SMALL:
-            return _reconcile_by_time(app.select(key, ts), third.select(key, ts), key, ts, wait)
-    a = app.select(F.col(key).alias("app_id"), F.col(ts).alias("app_ts"))
-    b = third.select(F.col(key).alias("third_id"), F.col(ts).alias("third_ts"))
-    in_time = (F.col("third_ts") >= F.col("app_ts")) & (
-        F.col("third_ts") <= F.col("app_ts") + F.expr(f"interval {wait}")
-    )
-    status = (
-        F.when(F.col("third_ts").isNull(), "third_missing")
-        .when(F.col("app_ts").isNull(), "app_missing")
-        .otherwise("match")
-    )
-    both = a.join(b, (F.col("app_id") == F.col("third_id")) & in_time, "full_outer")
+    span = F.expr(f"interval {wait}")
+    a = app.select(F.col(key).alias("app_id"), F.col(ts).alias("app_ts"), F.lit(True).alias("_app"))
+    b = third.select(F.col(key).alias("third_id"), F.col(ts).alias("third_ts"), F.lit(True).alias("_third"))
+    in_time = (F.col("third_ts") >= F.col("app_ts")) & (F.col("third_ts") <= F.col("app_ts") + span)
+    on = (F.col("app_id") == F.col("third_id")) & in_time
+    if app.isStreaming or third.isStreaming:
+        both = a.join(b, on, "full_outer")
+    else:
+        width = F.greatest(F.unix_micros(F.timestamp_seconds(F.lit(0)) + span), F.lit(1).cast("bigint"))
+
+        def bucket(at: str) -> Column:
+            return F.floor(F.unix_micros(F.col(at).cast("timestamp")) / width)
+
+        def spread(side: DataFrame, at: str, reach: int) -> DataFrame:
+            buckets = F.array(bucket(at), bucket(at) + reach) if reach else F.array(bucket(at))
+            return side.withColumn("_bucket", F.explode(buckets))
+
+        # The third party's bucket is that of the app bill or the next one, whichever side is spread.
+        near = [F.col("x._bucket") == F.col("y._bucket"), on]
+        app_one, app_two = spread(a, "app_ts", 0).alias("x"), spread(a, "app_ts", 1).alias("x")
+        third_one, third_two = spread(b, "third_ts", 0).alias("y"), spread(b, "third_ts", -1).alias("y")
+        pairs = app_two.join(third_one, near).drop("_bucket")
+        alone = app_one.join(third_two, near, "left_anti").drop("_bucket")
+        left = third_one.join(app_two, near, "left_anti").drop("_bucket")
+        # a bill without a time has no bucket and no partner
+        alone = alone.filter("app_ts IS NOT NULL").unionByName(a.filter("app_ts IS NULL"))
+        left = left.filter("third_ts IS NOT NULL").unionByName(b.filter("third_ts IS NULL"))
+        both = pairs.unionByName(alone, allowMissingColumns=True).unionByName(left, allowMissingColumns=True)
+    status = F.when(F.col("_third").isNull(), "third_missing").when(F.col("_app").isNull(), "app_missing").otherwise("match")
     return both.select(F.coalesce("app_id", "third_id").alias(key), "app_ts", "third_ts", status.alias("status"))
 
 
-def _reconcile_by_time(app: DataFrame, third: DataFrame, key: str, ts: str, wait: str) -> DataFrame:
-    # At one instant the app side comes first, as a third party at the same time still fits.
-    both = app.withColumn("_side", F.lit(0)).unionByName(third.withColumn("_side", F.lit(1)))
-    is_app, is_third = F.col("_side") == 0, F.col("_side") == 1
-    order = [ts, "_side"]
-    cuts = cut(both, key, order)
-    seen = with_running(
-        both,
-        keys=key,
-        order=order,
-        measures={"_app_before": Running("max", F.when(is_app, F.col(ts)))},
-        sliced=cuts,
-    )
-    seen = with_running(
-        seen,
-        keys=key,
-        order=order,
-        reverse=True,
-        measures={"_third_after": Running("min", F.when(is_third, F.col(ts)))},
-        sliced=Slices(seen, cuts.columns, cuts.count),
-    )
-    limit = F.expr(f"interval {wait}")
-    known = F.col(key).isNotNull()
-    fits = F.when(is_app, F.col("_third_after") <= F.col(ts) + limit).otherwise(
-        F.col(ts) <= F.col("_app_before") + limit
-    )
-    alone = seen.filter(~(known & F.coalesce(fits, F.lit(False))))
-    missing = alone.select(
-        key,
-        F.when(is_app, F.col(ts)).alias("app_ts"),
-        F.when(is_third, F.col(ts)).alias("third_ts"),
-        F.when(is_app, "third_missing").otherwise("app_missing").alias("status"),
-    )
-    wait_ms = app.sparkSession.range(1).select(
-        F.unix_millis(F.timestamp_seconds(F.lit(0)) + limit).alias("ms")
-    )
-    pairs = interval_join(app, third, key=key, ts=ts, lower_ms=0, upper_ms=wait_ms.first()["ms"])
-    found = pairs.select(
-        key, F.col(f"left_{ts}").alias("app_ts"), F.col(f"right_{ts}").alias("third_ts"), F.lit("match").alias("status")
-    )
-    return found.unionByName(missing)
-
-
 def latest_rule(rules: DataFrame, order: str) -> DataFrame:
     """The rule that came last; it replaces all earlier ones."""
     return rules.orderBy(F.col(order).desc()).limit(1)
@@ -275,6 +235,6 @@ def match_rules(
 
 
 def lateral_split(df: DataFrame, column: str, separator: str = "?") -> DataFrame:
-    """One row per part of a text, with the part's length; rows without a part vanish."""
-    parts = df.withColumn("word", F.explode(split_text(column, separator)))
+    """One row per part of a text, with the part's length; empty parts at the end don't count, rows without a part vanish."""
+    parts = df.withColumn("word", F.explode(tokens(column, separator)))
     return parts.withColumn("length", F.length("word").cast("bigint"))

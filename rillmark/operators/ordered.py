@@ -18,11 +18,13 @@ import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from rillmark.columns import Names, micros, names
+from rillmark.session import shared_folder
 
 # Rows one task should sort at most; a larger key is cut.
 SLICE_ROWS_CONF = "spark.rillmark.sliceRows"
@@ -31,8 +33,6 @@ SLICE_ROWS = 4_000_000
 KNOWN_SMALL = sys.maxsize
 # A table of at most this many rows is small enough to be copied to every executor.
 BROADCAST_ROWS = 100_000
-# Every round cuts the slices that are still too large again, by a finer grid.
-MAX_ROUNDS = 6
 
 
 @dataclass(frozen=True)
@@ -86,8 +86,9 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
 
     Each round counts the rows of every (key, slice) and lays an even grid over those
     that are too large, along the first order column that varies inside them. Rounds
-    repeat on what an uneven distribution leaves too large. Only rows that agree in
-    every order column cannot be parted. Counts are exact, so a re-run task cuts alike.
+    repeat until nothing is too large; each parts every large slice, so they end. Only
+    rows that agree in every order column cannot be parted. A table may be cut again
+    along another order; its slice columns get names of their own. Counts are exact, so a re-run task cuts alike.
     Order columns hold timestamps or whole numbers, never null.
     """
     keys, order = names(keys), names(order)
@@ -97,28 +98,38 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
     places = [micros(df, c) for c in order]
     slices: list[str] = []
     total = 0
-    for _ in range(MAX_ROUNDS):
+    while True:
         group = keys + slices
         grids = _grids(df, group, places, limit)
-        # Few groups can be large, so this table is short; it is read only up to the bound.
-        found = grids.limit(BROADCAST_ROWS + 1).collect() if group else grids.collect()
-        if not found:
-            break
-        total += sum(r["_cells"] for r in found)
-        name = f"_slice{len(slices)}"
+        taken = {c.lower() for c in df.columns}
+        name = next(n for i in count() if (n := f"_slice{i}") not in taken)
         if group:
-            if len(found) <= BROADCAST_ROWS:
-                grids = df.sparkSession.createDataFrame(found, grids.schema)
-            df = _with_cell(df, small(grids, len(found)), group, places, name)
+            # Written once, so that later rounds don't count anew; its size decides how it is joined.
+            folder = shared_folder(df.sparkSession, "grids")
+            grids.write.parquet(folder)
+            grids = df.sparkSession.read.schema(grids.schema).parquet(folder)
+            cells = grids.agg(F.sum("_cells")).first()[0]
+            if not cells:
+                break
+            total += cells
+            df = _with_cell(df, grids, group, places, name)
         else:
             # No key: one grid, and a lower limit from here on, so that every task gets a share.
-            one = found[0]
+            one = grids.first()
+            if one is None:
+                break
+            total += one["_cells"]
             limit = one["_limit"]
-            df = df.withColumn(name, F.call_function("div", places[one["_by"]] - one["_lo"], F.lit(one["_step"])))
+            df = df.withColumn(name, F.call_function("div", _wide(places[one["_by"]]) - F.lit(one["_lo"]), F.lit(one["_step"])))
         slices.append(name)
     return Slices(df, slices, total)
 
 
+def _wide(place: Column) -> Column:
+    """A place whose differences cannot overflow, as those of hashes could."""
+    return place.cast("decimal(20,0)")
+
+
 def _grids(df: DataFrame, group: list[str], places: list[Column], limit: int) -> DataFrame:
     """One row per group above the limit: which order column to cut, from where, how wide."""
     order = range(len(places))
@@ -139,12 +150,12 @@ def _grids(df: DataFrame, group: list[str], places: list[Column], limit: int) ->
         size.withColumn("_by", by)
         .filter((F.col("_n") > F.col("_limit")) & F.col("_by").isNotNull())
         .withColumn("_cells", F.ceil(F.col("_n") * 2 / F.col("_limit")))
-        .withColumns({"_lo": lo, "_hi": hi})
+        .withColumns({"_lo": _wide(lo), "_hi": _wide(hi)})
         .select(
             *[F.col(c).alias(f"_g_{c}") for c in group],
             "_by",
             "_lo",
-            F.expr("(_hi - _lo) div _cells + 1").alias("_step"),
+            F.expr("CAST(floor((_hi - _lo) / _cells) AS DECIMAL(20,0)) + 1").cast("decimal(20,0)").alias("_step"),
             "_cells",
             "_limit",
         )
@@ -156,7 +167,7 @@ def _with_cell(df: DataFrame, grids: DataFrame, group: list[str], places: list[C
     place = F.coalesce(*[F.when(F.col("_by") == i, p) for i, p in enumerate(places)])
     return (
         df.join(grids, same(df, grids, [(c, f"_g_{c}") for c in group]), "left")
-        .withColumn("_at", place - F.col("_lo"))
+        .withColumn("_at", _wide(place) - F.col("_lo"))
         .withColumn(name, F.coalesce(F.expr("_at div _step"), F.lit(0).cast("bigint")))
         .drop("_at", "_by", "_lo", "_step", "_cells", "_limit", *[f"_g_{c}" for c in group])
     )

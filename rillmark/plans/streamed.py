@@ -36,9 +36,8 @@ def closed(inner: str) -> str:
 
 
 def stream(t: Tables, name: str) -> DataFrame:
-    """A table of the folder as a stream of files."""
-    schema = t.table(name).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+    """A table, one file or a folder of files, as a stream of files."""
+    return t.spark.readStream.schema(t.table(name).schema).parquet(f"{t.folder}/{name}.parquet")
 
 
 def events(t: Tables, delay: str = DELAY) -> DataFrame:

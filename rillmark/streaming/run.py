@@ -2,46 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillmark.session import shared_folder
 from rillmark.sinks.writers import checkpointed, latest_per_key, merge_batch
 
-LIMIT_SECONDS = 1800
 
-
-@contextmanager
-def _sized(spark: SparkSession) -> Iterator[None]:
-    """In a local session with the untouched default, give state one partition per core.
-
-    State stores keep the number of their first start, and adaptive execution does not
-    merge them, so 200 of them for 8 cores only cost start-up. A cluster keeps its setting.
-    """
-    name = "spark.sql.shuffle.partitions"
-    held = spark.conf.get(name)
-    shrink = spark.sparkContext.master.startswith("local") and held == "200"
-    if shrink:
-        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        if shrink:
-            spark.conf.set(name, held)
-
-
-def drain(writer: DataStreamWriter, checkpoint: str, seconds: int = LIMIT_SECONDS) -> None:
-    """Process all that is there, then stop."""
-    with _sized(writer._df.sparkSession):
-        # A query takes its settings when it starts.
-        query = checkpointed(writer, checkpoint, every=None).start()
+def drain(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Process all that is there, however long it takes, then stop."""
+    query = checkpointed(writer, checkpoint, every=None).start()
     try:
-        if not query.awaitTermination(seconds):
-            raise TimeoutError(f"the stream did not end within {seconds} s")
+        query.awaitTermination()
     finally:
         query.stop()
 

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmark.functions.aggregate import rows, weighted_avg
-from rillmark.functions.registry import _java_hash, register_functions
+from rillmark.functions.registry import register_functions
+from rillmark.functions.text import split_text
 from rillmark.functions.text import event_text, parse_long, string_hash, tokens
 from rillmark.functions.time import event_time, timestamp_text, window_start_ms
 from rillmark.operators import aggregates, distribute, joins, patterns, project, ranking, state, windows
@@ -176,10 +177,25 @@ def test_bill_check(spark):
 def test_bill_check_with_often_repeated_ids(spark):
     app = timed(spark, [*APP, *[("hot", t) for t in range(0, 60_000, 700)], (None, 5)])
     third = timed(spark, [*THIRD, *[("hot", t) for t in range(20_000, 99_000, 1300)], (None, 7)])
-    plain = joins.reconcile(app, third, key="key", ts="ts", wait="2 seconds")
-    by_time = joins.reconcile(app, third, key="key", ts="ts", wait="2 seconds", pair_rows=20)
-    columns = ["status", F.coalesce("key", F.lit("-")), F.coalesce(F.unix_millis("app_ts"), F.lit(-1)), F.coalesce(F.unix_millis("third_ts"), F.lit(-1))]
-    assert got(by_time, *columns) == got(plain, *columns)
+    found = joins.reconcile(app, third, key="key", ts="ts", wait="2 seconds")
+    want = []
+    both = lambda side: [(r.key, r.ms) for r in side.select("key", F.unix_millis("ts").alias("ms")).collect()]
+    apps, thirds = both(app), both(third)
+    fits = lambda x, y: x[0] == y[0] and x[0] is not None and x[1] <= y[1] <= x[1] + 2000
+    want += [("match", x[0], x[1], y[1]) for x in apps for y in thirds if fits(x, y)]
+    want += [("third_missing", x[0], x[1], None) for x in apps if not any(fits(x, y) for y in thirds)]
+    want += [("app_missing", y[0], None, y[1]) for y in thirds if not any(fits(x, y) for x in apps)]
+    rows = found.select("status", "key", F.unix_millis("app_ts"), F.unix_millis("third_ts")).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
+
+
+def test_bill_without_time_and_short_wait(spark):
+    app = spark.createDataFrame([("a", None), ("b", 1000)], "key string, us bigint").select("key", F.timestamp_micros("us").alias("ts"))
+    third = spark.createDataFrame([("c", None), ("b", 2500)], "key string, us bigint").select("key", F.timestamp_micros("us").alias("ts"))
+    found = joins.reconcile(app, third, key="key", ts="ts", wait="1500 microseconds")
+    assert got(found, "key", "status") == [("a", "third_missing"), ("b", "match"), ("c", "app_missing")]
+    found = joins.reconcile(app, third, key="key", ts="ts", wait="1499 microseconds")
+    assert got(found, "key", "status") == [("a", "third_missing"), ("b", "app_missing"), ("b", "third_missing"), ("c", "app_missing")]
 
 
 ACTIONS = [(0, "Catalina", "login"), (1, "Catalina", "pay"), (2, "Bob", "login"), (3, "Bob", "order")]
@@ -269,6 +285,13 @@ def test_state_forms(spark):
     assert got(fired, "key", F.unix_millis("fires_at")) == [("a", 10_001), ("b", 10_001)]
 
 
+def units_hash(text):
+    units, h = text.encode("utf-16-be"), 0
+    for i in range(0, len(units), 2):
+        h = (31 * h + (units[i] << 8) + units[i + 1]) & 0xFFFFFFFF
+    return h - (1 << 32) if h >= 1 << 31 else h
+
+
 def test_string_hash_agrees_in_all_forms(spark):
     texts = ["Catalina", "Josh", "", "héllo wörld", "日本語", "a😀b", "x" * 300]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
@@ -276,8 +299,8 @@ def test_string_hash_agrees_in_all_forms(spark):
     df.createOrReplaceTempView("texts")
     native = dict(got(df, "s", string_hash("s")))
     assert native["Catalina"] == 111604187 and native["Josh"] == 2314874 and native[""] == 0
-    assert native == {t: _java_hash(t) for t in texts}
-    sql = spark.sql("SELECT s, string_hash(s) a, string_hash_arrow(s) b FROM texts")
+    assert native == {t: units_hash(t) for t in texts}
+    sql = spark.sql("SELECT s, string_hash(s) a, string_hash(s) b FROM texts")
     assert {r["s"]: r["a"] for r in sql.collect()} == native == {r["s"]: r["b"] for r in sql.collect()}
 
 
@@ -286,6 +309,12 @@ def test_table_function_and_split(spark):
     assert got(spark.sql("SELECT word, length FROM split_lengths('home?id=1')"), "word", "length") == [("home", 4), ("id=1", 4)]
     urls = spark.createDataFrame([("home?id=1",), (None,)], "url string")
     assert got(joins.lateral_split(urls, "url"), "word", "length") == [("home", 4), ("id=1", 4)]
+    ended = spark.createDataFrame([("home?",), ("a??b??",), ("??",), ("",)], "url string")
+    want = [("", 0), ("", 0), ("a", 1), ("b", 1), ("home", 4)]
+    assert got(joins.lateral_split(ended, "url"), "word", "length") == want
+    ended.createOrReplaceTempView("ended")
+    assert got(spark.sql("SELECT T.word, T.length FROM ended, LATERAL split_lengths(url) AS T"), "word", "length") == want
+    assert [r[0] for r in ended.select(split_text("url", "?")).collect()] == [["home"], ["a", "", "b"], None, [""]]
 
 
 def test_weighted_average_is_null_without_weight(spark):

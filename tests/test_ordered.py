@@ -108,3 +108,22 @@ def test_side_tables_beyond_the_broadcast_bound(skewed, monkeypatch):
 
 def test_scratch_lies_in_the_shared_folder(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_hash_as_order_and_a_second_cut(skewed):
+    hashed = skewed.withColumn("h", F.xxhash64("seq"))
+    first = cut(hashed, "key", "h", 40)
+    again = cut(first.df, None, ["t", "seq"], 40)
+    assert set(first.columns).isdisjoint(again.columns)
+    assert first.df.groupBy("key", *first.columns).count().agg(F.max("count")).first()[0] <= 40
+    got = with_position(hashed, keys="key", order="h", slice_rows=40)
+    w = Window.partitionBy("key").orderBy("h")
+    assert rows(got) == rows(hashed.withColumn("position", F.row_number().over(w).cast("bigint")))
+
+
+def test_leader_with_a_hot_key(spark):
+    from rillmark.operators.aggregates import running_leader
+
+    events = spark.range(300).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("key"), F.col("id").alias("t"))
+    plain = running_leader(events, key="key", order="t", slice_rows=100_000)
+    assert rows(running_leader(events, key="key", order="t", slice_rows=20)) == rows(plain)
