@@ -36,8 +36,11 @@ def closed(inner: str) -> str:
 
 
 def stream(t: Tables, name: str) -> DataFrame:
-    """A table, one file or a folder of files, as a stream of files."""
-    return t.spark.readStream.schema(t.table(name).schema).parquet(f"{t.folder}/{name}.parquet")
+    """A table as a stream of files.
+
+    As a pattern the path may name a single file as well as a folder of files; a plain path must be a folder.
+    """
+    return t.spark.readStream.schema(t.table(name).schema).parquet(f"{t.folder}/{name}.parque[t]")
 
 
 def events(t: Tables, delay: str = DELAY) -> DataFrame:
