@@ -1,7 +1,8 @@
 """Streaming forms, fed with the given tables as files and drained to their end.
 
-An append-mode stream sends a window once the watermark has passed it, so windows the
-last events still keep open are absent here and in the SQL.
+An append-mode stream sends a window once the watermark has passed it. As input that ends closes everything still
+open, a closing record far in the future follows the events: it moves the watermark past every window, pair and timer,
+and is left out of the result.
 """
 
 from __future__ import annotations
@@ -25,14 +26,8 @@ from rillmark.streaming.leader import LeaderSink, counts_with_last, stream_top_o
 from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_each, drain_updated
 
 DELAY = "2 hours"
-WM = f"(SELECT date_trunc('millisecond', max(ts)) - INTERVAL '{DELAY}' FROM events)"
-# Stateful processors run with no delay: they have seen all events up to the last one.
-END = "(SELECT date_trunc('millisecond', max(ts)) FROM events)"
-SEEN = f"(SELECT * FROM events WHERE date_trunc('millisecond', ts) <= {END})"
-
-
-def closed(inner: str) -> str:
-    return f"SELECT * FROM ({inner}) WHERE window_end <= {WM}"
+#: Key of the closing record.
+CLOSING = -1
 
 
 def stream(t: Tables, name: str) -> DataFrame:
@@ -43,13 +38,28 @@ def stream(t: Tables, name: str) -> DataFrame:
     return t.spark.readStream.schema(t.table(name).schema).parquet(f"{t.folder}/{name}.parque[t]")
 
 
-def events(t: Tables, delay: str = DELAY) -> DataFrame:
-    return with_watermark(stream(t, "events"), ts="ts", delay=delay)
+def closing(t: Tables, name: str, ts: str, **values: object) -> DataFrame:
+    """A stream of one record that lies years after all others of the table; other columns are null."""
+    table = t.table(name)
+    end = table.agg((F.max(ts) + F.expr("interval 2000 days")).alias("end"))
+    columns = [F.col("end") if f.name == ts else F.lit(values.get(f.name)) for f in table.schema]
+    row = end.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, table.schema)])
+    folder = t.scratch(f"closing-{name}")
+    row.write.parquet(folder)
+    return t.spark.readStream.schema(table.schema).parquet(folder)
+
+
+def events(t: Tables, delay: str = DELAY, lateness: str | None = None) -> DataFrame:
+    end = closing(t, "events", "ts", user_id=CLOSING, event_type="end", event_id=2**62)
+    both = stream(t, "events").unionByName(end)
+    return with_watermark(both, ts="ts", delay=delay, **({"lateness": lateness} if lateness else {}))
 
 
-def typed_stream(t: Tables, kind: str) -> DataFrame:
-    chosen = stream(t, "events").filter(F.col("event_type") == kind).select("user_id", "ts", "event_id")
-    return with_watermark(chosen, ts="ts", delay=DELAY)
+def typed_stream(t: Tables, kind: str, close: bool = False) -> DataFrame:
+    chosen = stream(t, "events").filter(F.col("event_type") == kind)
+    if close:
+        chosen = chosen.unionByName(closing(t, "events", "ts", user_id=CLOSING, event_type=kind, event_id=2**62))
+    return with_watermark(chosen.select("user_id", "ts", "event_id"), ts="ts", delay=DELAY)
 
 
 def local(df: DataFrame) -> DataFrame:
@@ -64,19 +74,19 @@ def a3(t: Tables) -> DataFrame:
     return drain_updated(aggregates.count_by(words, "word", "n"), ["word"])
 
 
-@query("w11_stream_tumble", closed(tumbled("event_type", "1 hour")))
+@query("w11_stream_tumble", tumbled("event_type", "1 hour"))
 def w11(t: Tables) -> DataFrame:
     return local(drain_appended(windows.tumble(events(t), ts="ts", size="1 hour", key="event_type")))
 
 
-@query("w3_stream_hop", closed(hopped("user_id", 10, 2)))
+@query("w3_stream_hop", hopped("user_id", 10, 2))
 def w3(t: Tables) -> DataFrame:
     return local(
         drain_appended(windows.hop(events(t), ts="ts", size="10 hours", slide="2 hours", key="user_id"))
     )
 
 
-@query("w18_stream_cumulate", f"SELECT * FROM ({cumulated('event_type')}) WHERE window_start + INTERVAL '10 hours' <= {WM}")
+@query("w18_stream_cumulate", cumulated("event_type"))
 def w18(t: Tables) -> DataFrame:
     measures = {"cnt": Mergeable("count", F.lit(1)), "top_value": Mergeable("max", F.col("value"))}
     found = windows.cumulate(
@@ -85,27 +95,25 @@ def w18(t: Tables) -> DataFrame:
     return local(drain_appended(found))
 
 
-@query("w4_stream_session", f"""
-    SELECT * FROM (
+@query("w4_stream_session", """
         SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL '6 hours' AS window_end, count(*) AS cnt FROM (
             SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM (
                 SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL '6 hours'
                                          THEN 0 ELSE 1 END AS fresh FROM events))
-        GROUP BY user_id, session_no)
-    WHERE window_end <= {WM}""")
+        GROUP BY user_id, session_no""")
 def w4(t: Tables) -> DataFrame:
     return local(drain_appended(windows.session(events(t), ts="ts", gap="6 hours", key="user_id")))
 
 
-@query("w7_stream_pv_uv", closed(f"""
+@query("w7_stream_pv_uv", f"""
     SELECT {bucket('12 hours')} AS window_start, {bucket('12 hours')} + INTERVAL '12 hours' AS window_end,
            count(*) AS pv, count(DISTINCT user_id) AS uv, count(*)::DOUBLE / count(DISTINCT user_id) AS pv_per_uv
-    FROM events GROUP BY ALL"""))
+    FROM events GROUP BY ALL""")
 def w7(t: Tables) -> DataFrame:
     return local(drain_appended(windows.pv_uv(events(t), ts="ts", size="12 hours", user="user_id")))
 
 
-@query("w13_stream_topn", closed(ranked(hopped("user_id", 10, 5), "cnt DESC, user_id", 2)))
+@query("w13_stream_topn", ranked(hopped("user_id", 10, 5), "cnt DESC, user_id", 2))
 def w13(t: Tables) -> DataFrame:
     w = F.window("ts", "10 hours", "5 hours").alias("window")
     counts = events(t).groupBy("user_id", w).agg(F.count(F.lit(1)).alias("cnt"))
@@ -114,9 +122,8 @@ def w13(t: Tables) -> DataFrame:
 
 @query("t4_stream_lateness", tumbled("user_id", "10 hours"))
 def t4(t: Tables) -> DataFrame:
-    kept = with_watermark(stream(t, "events"), ts="ts", delay=DELAY, lateness="1 hour")
-    counts = windows.tumble(kept, ts="ts", size="10 hours", key="user_id")
-    return local(drain_updated(counts, ["user_id", "window_start", "window_end"]))
+    counts = windows.tumble(events(t, lateness="1 hour"), ts="ts", size="10 hours", key="user_id")
+    return local(drain_updated(counts, ["user_id", "window_start", "window_end"])).filter(F.col("user_id") != CLOSING)
 
 
 @query("t5_stream_late_split", "SELECT event_id, 'in_time' AS side FROM events")
@@ -141,18 +148,32 @@ def j4(t: Tables) -> DataFrame:
     return local(drain_appended(pairs))
 
 
-@query("j3_stream_bill_matches", """
-    SELECT o_orderkey AS id, o_orderdate AS app_ts, l_shipdate AS third_ts, 'match' AS status
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey AND l_linenumber = 1
-    WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL '30 days'""")
+def bills(t: Tables, name: str, key: str, ts: str) -> DataFrame:
+    both = stream(t, name).unionByName(closing(t, name, ts))
+    return with_watermark(both.select(F.col(key).alias("id"), F.col(ts).alias("ts")), ts="ts", delay="1 day")
+
+
+BILLS = """
+    SELECT coalesce(o_orderkey, l_orderkey) AS id, o_orderdate AS app_ts, l_shipdate AS third_ts,
+           CASE WHEN l_orderkey IS NULL THEN 'third_missing' WHEN o_orderkey IS NULL THEN 'app_missing' ELSE 'match' END AS status
+    FROM orders FULL JOIN lineitem ON o_orderkey = l_orderkey
+     AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL '30 days'"""
+
+
+def checked_bills(t: Tables) -> DataFrame:
+    """Bills without a partner follow as the watermark passes them; the closing records, without an id, are no bills."""
+    app, third = bills(t, "orders", "o_orderkey", "o_orderdate"), bills(t, "lineitem", "l_orderkey", "l_shipdate")
+    return local(drain_appended(joins.reconcile(app, third, key="id", ts="ts", wait="30 days"))).filter("id IS NOT NULL")
+
+
+@query("j3_stream_bill_check", BILLS)
 def j3(t: Tables) -> DataFrame:
-    """The matches of the full outer join; bills without a partner follow as the watermark passes them."""
-    orders = stream(t, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"))
-    shipped = stream(t, "lineitem").filter(F.col("l_linenumber") == 1)
-    shipped = shipped.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("ts"))
-    app, third = (with_watermark(s, ts="ts", delay="1 day") for s in (orders, shipped))
-    checked = drain_appended(joins.reconcile(app, third, key="id", ts="ts", wait="30 days"))
-    return local(checked.filter(F.col("status") == "match"))
+    return checked_bills(t)
+
+
+@query("j3_stream_bill_matches", f"SELECT * FROM ({BILLS}) WHERE status = 'match'")
+def j3_matches(t: Tables) -> DataFrame:
+    return checked_bills(t).filter(F.col("status") == "match")
 
 
 @query("j2_stream_fan_out", """
@@ -177,16 +198,18 @@ def k2(t: Tables) -> DataFrame:
 
 
 @query("j5_stream_window_counts", f"""
-    SELECT * FROM (
-        SELECT user_id, {bucket('1 day')} AS window_start, {bucket('1 day')} + INTERVAL '1 day' AS window_end,
-               count(*) FILTER (event_type = 'click') AS left_n, count(*) FILTER (event_type = 'purchase') AS right_n
-        FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL)
-    WHERE window_end <= (SELECT min(m) FROM (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '{DELAY}' AS m
-                         FROM events WHERE event_type IN ('click', 'purchase') GROUP BY event_type))""")
+    SELECT user_id, {bucket('1 day')} AS window_start, {bucket('1 day')} + INTERVAL '1 day' AS window_end,
+           count(*) FILTER (event_type = 'click') AS left_n, count(*) FILTER (event_type = 'purchase') AS right_n
+    FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL""")
 def j5(t: Tables) -> DataFrame:
     counts = [F.count_if(F.col("side") == s).alias(f"{s}_n") for s in ("left", "right")]
     found = joins.window_aggregate(
-        typed_stream(t, "click"), typed_stream(t, "purchase"), key="user_id", ts="ts", size="1 day", aggs=counts
+        typed_stream(t, "click", close=True),
+        typed_stream(t, "purchase", close=True),
+        key="user_id",
+        ts="ts",
+        size="1 day",
+        aggs=counts,
     )
     return local(drain_appended(found))
 
@@ -214,12 +237,12 @@ def stepped(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
 
 
 def ordered(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
-    return drain_appended(stepped(t, step, keep))
+    return drain_appended(stepped(t, step, keep)).filter(F.col("user_id") != CLOSING)
 
 
 @query("st1_stream_prev", f"""
     SELECT user_id, event_id, event_type, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), '-') AS previous
-    FROM {SEEN}""")
+    FROM events""")
 def st1(t: Tables) -> DataFrame:
     seen = ordered(t, proc.previous_step("event_type"), ["event_type"])
     return seen.select(
@@ -230,7 +253,7 @@ def st1(t: Tables) -> DataFrame:
     )
 
 
-@query("j7_stream_rule_match", matched("('error', 'click'), ('click', 'purchase')").replace("FROM events", f"FROM {SEEN}"))
+@query("j7_stream_rule_match", matched("('error', 'click'), ('click', 'purchase')"))
 def j7(t: Tables) -> DataFrame:
     seen = stepped(t, proc.previous_step("event_type"), ["event_type"])
     rules = rules_of(t)
@@ -239,12 +262,12 @@ def j7(t: Tables) -> DataFrame:
     hits = seen.join(rules, on).select(
         F.col("seq").alias("event_id"), "user_id", F.col("current").alias("event_type"), "action1", "action2"
     )
-    return drain_appended(hits)
+    return drain_appended(hits).filter(F.col("user_id") != CLOSING)
 
 
 @query("st2_stream_history", f"""
     SELECT event_id, user_id, array_to_string(list(event_type) OVER (
-        PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ',') AS history FROM {SEEN}""")
+        PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ',') AS history FROM events""")
 def st2(t: Tables) -> DataFrame:
     seen = ordered(t, proc.history_step("event_type", 5), ["event_type"])
     return seen.select(F.col("seq").alias("event_id"), "user_id", F.concat_ws(",", "history").alias("history"))
@@ -254,7 +277,7 @@ def st2(t: Tables) -> DataFrame:
     SELECT user_id, array_to_string([a, b, c], ',') AS ids FROM (
         SELECT user_id, event_type AS x, lead(event_type) OVER w AS y, lead(event_type, 2) OVER w AS z,
                event_id AS a, lead(event_id) OVER w AS b, lead(event_id, 2) OVER w AS c
-        FROM {SEEN} WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
     WHERE x = 'error' AND y = 'error' AND z = 'error'""")
 def c1(t: Tables) -> DataFrame:
     found = ordered(t, proc.consecutive_step("event_type", ["error"] * 3), ["event_type"])
@@ -263,8 +286,7 @@ def c1(t: Tables) -> DataFrame:
 
 @query("c3_stream_followed", f"""
     SELECT user_id, event_id, epoch_us(start_ts) AS start_us, coalesce(epoch_us(end_ts), -1) AS end_us, status
-    FROM ({FOLLOWED.replace('FROM events', f'FROM {SEEN}')})
-    WHERE status = 'matched' OR date_trunc('millisecond', start_ts + INTERVAL '24 hours' - INTERVAL '1 microsecond') <= {END}""")
+    FROM ({FOLLOWED})""")
 def c3(t: Tables) -> DataFrame:
     step = proc.followed_step("event_type", "signup", "purchase", 24 * 3_600_000_000)
     found = ordered(t, step, ["event_type"])
@@ -280,7 +302,7 @@ def c3(t: Tables) -> DataFrame:
 @query("a10_stream_count_trigger", f"""
     SELECT user_id, CAST(sum(us) FILTER (slot < 5) // 5 AS BIGINT) AS avg_value FROM (
         SELECT user_id, epoch_us(ts) AS us, (rn - 1) // 6 AS round, (rn - 1) % 6 AS slot
-        FROM ({POSITIONED.replace('FROM events', f'FROM {SEEN}')}))
+        FROM ({POSITIONED}))
     GROUP BY user_id, round HAVING count(*) = 6""")
 def a10(t: Tables) -> DataFrame:
     return ordered(t, proc.nth_avg_step("us", 5), ["us"])
@@ -289,34 +311,33 @@ def a10(t: Tables) -> DataFrame:
 @query("w5_stream_count_window", f"""
     SELECT user_id, (rn - 1) // 10 AS window_no, min(event_id) AS first_seq, max(event_id) AS last_seq,
            CAST(sum(epoch_us(ts)) AS BIGINT) AS total
-    FROM ({POSITIONED.replace('FROM events', f'FROM {SEEN}')}) GROUP BY ALL HAVING count(*) = 10""")
+    FROM ({POSITIONED}) GROUP BY ALL HAVING count(*) = 10""")
 def w5(t: Tables) -> DataFrame:
     return ordered(t, proc.count_window_step("us", 10), ["us"])
 
 
 @query("o1_stream_recent_avg", f"""
-    SELECT user_id, event_id AS seq, CAST(sum(epoch_us(ts)) OVER w // count(*) OVER w AS BIGINT) AS recent_avg FROM {SEEN}
+    SELECT user_id, event_id AS seq, CAST(sum(epoch_us(ts)) OVER w // count(*) OVER w AS BIGINT) AS recent_avg FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""")
 def o1(t: Tables) -> DataFrame:
     return ordered(t, proc.recent_avg_step("us", 5), ["us"])
 
 
 @query("a11_stream_total", f"""
-    WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM {SEEN}),
+    WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM events),
     r AS (SELECT user_id, min(us) + 10800000000 AS reported_us FROM e GROUP BY user_id
           UNION ALL
           SELECT r.user_id, min(e.us) + 10800000000 FROM r JOIN e ON e.user_id = r.user_id AND e.us > r.reported_us
           GROUP BY r.user_id, r.reported_us)
     SELECT r.user_id, r.reported_us, count(*) AS total FROM r JOIN e ON e.user_id = r.user_id AND e.us <= r.reported_us
-    WHERE r.reported_us <= epoch_us({END}) GROUP BY ALL""")
+    GROUP BY ALL""")
 def a11(t: Tables) -> DataFrame:
     return ordered(t, proc.running_total_step(3 * 3_600_000_000), ["us"])
 
 
 @query("w19_stream_map_state", f"""
-    SELECT * FROM (SELECT event_type, start_ms, start_ms + 3600000 AS end_ms, count(*) AS cnt
-                   FROM (SELECT event_type, epoch_us(ts) // 3600000000 * 3600000 AS start_ms FROM events) GROUP BY ALL)
-    WHERE end_ms - 1 <= epoch_us({END}) // 1000""")
+    SELECT event_type, start_ms, start_ms + 3600000 AS end_ms, count(*) AS cnt
+    FROM (SELECT event_type, epoch_us(ts) // 3600000000 * 3600000 AS start_ms FROM events) GROUP BY ALL""")
 def w19(t: Tables) -> DataFrame:
     return drain_appended(
         proc.window_counts_by_state(events(t, "0 seconds"), key="event_type", ts="ts", size_ms=3_600_000)
@@ -324,15 +345,14 @@ def w19(t: Tables) -> DataFrame:
 
 
 @query("t7_stream_timers", f"""
-    SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 36000000 AS time_ms FROM events
-    WHERE epoch_us(ts) // 1000 + 36000000 <= epoch_us({END}) // 1000""")
+    SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 36000000 AS time_ms FROM events""")
 def t7(t: Tables) -> DataFrame:
     told = drain_appended(proc.alarms(events(t, "0 seconds"), key="user_id", ts="ts", wait_ms=36_000_000))
     return told.filter(F.col("kind") == "rang").select("user_id", "time_ms")
 
 
 @query("a4_stream_running_count", f"""
-    SELECT user_id, event_id AS seq, count(*) OVER (PARTITION BY user_id ORDER BY event_id) AS cnt FROM {SEEN}""")
+    SELECT user_id, event_id AS seq, count(*) OVER (PARTITION BY user_id ORDER BY event_id) AS cnt FROM events""")
 def a4(t: Tables) -> DataFrame:
     return ordered(t, proc.running_count_step(), ["us"])
 
@@ -340,7 +360,7 @@ def a4(t: Tables) -> DataFrame:
 @query("w5_stream_count_sliding", f"""
     SELECT user_id, position, n, CAST(total AS BIGINT) AS total FROM (
         SELECT user_id, row_number() OVER w AS position, count(*) OVER f AS n, sum(epoch_us(ts)) OVER f AS total
-        FROM {SEEN} WINDOW w AS (PARTITION BY user_id ORDER BY event_id),
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id),
                            f AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
     WHERE position % 2 = 0""")
 def w5_sliding(t: Tables) -> DataFrame:
