@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.columns import Names, names
-from rillmark.operators.ordered import BROADCAST_ROWS
 
 
 def by_key(df: DataFrame, key: Names, parts: int | None = None) -> DataFrame:
@@ -34,11 +33,9 @@ def copy_to_all(df: DataFrame, parts: int, copy: str = "copy") -> DataFrame:
     return copies.repartitionById(parts, F.col(copy))
 
 
-def to_one_task(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """All rows in one task, refused where more than ``max_rows`` rows would meet there."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows for one task")
-    return df.coalesce(1)
+def to_one_task(df: DataFrame, *aggs: Column) -> DataFrame:
+    """What one task would find over all rows. Each task sends its partial aggregate there, never its rows."""
+    return df.agg(*aggs)
 
 
 def by_rule(df: DataFrame, parts: int, task: Column) -> DataFrame:

@@ -27,6 +27,27 @@ def interval(text: str) -> Column:
     return F.expr(f"interval {text}")
 
 
+MICROS = {"microsecond": 1, "millisecond": 10**3, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
+
+
+def length(text: str) -> int | None:
+    """Microseconds of an interval such as ``10 seconds`` or ``1 day 2 hours``; None if it is written another way."""
+    parts = text.lower().split()
+    total = 0
+    for number, unit in zip(parts[::2], parts[1::2]):
+        unit = unit.removesuffix("s")
+        if not number.isdigit() or unit not in MICROS:
+            return None
+        total += int(number) * MICROS[unit]
+    return total if parts and len(parts) % 2 == 0 else None
+
+
+def divides(step: str, size: str) -> bool:
+    """Whether an interval is known to be a whole number of steps."""
+    a, b = length(size), length(step)
+    return bool(a and b) and a % b == 0
+
+
 def with_window(df: DataFrame, ts: str, size: str, slide: str | None = None, offset: str | None = None) -> DataFrame:
     """Add ``window_start`` and ``window_end`` to each row, once per window that holds it."""
     w = F.window(ts, size, slide or size, offset) if offset else F.window(ts, size, slide)
@@ -58,15 +79,15 @@ def hop(
     measures: dict[str, Mergeable] | None = None,
     panes: bool = True,
 ) -> DataFrame:
-    """Aggregate per key and sliding window; ``size`` is a multiple of ``slide``.
+    """Aggregate per key and sliding window.
 
-    With ``panes`` rows are first aggregated per slide-long pane and only panes are spread
-    over windows: best where a key has several rows per pane. For sparse keys, where panes
+    With ``panes``, and if ``size`` is a multiple of ``slide``, rows are first aggregated per
+    slide-long pane and only panes are spread over windows: best where a key has several rows per pane. For sparse keys, where panes
     are hardly fewer than rows, the built-in window saves a shuffle. Streams always use the
     latter, which every output mode allows.
     """
     measures = measures or rows()
-    if df.isStreaming or not panes:
+    if df.isStreaming or not panes or not divides(slide, size):
         found = df.groupBy(*names(key), F.window(ts, size, slide).alias("window")).agg(*partials(measures))
         return split_window(found)
     per_pane = tumble(df, ts=ts, size=slide, key=key, aggs=partials(measures))
@@ -91,6 +112,8 @@ def cumulate(
 
     On a stream this needs append mode, as one aggregation follows another.
     """
+    if not divides(step, size):
+        raise ValueError(f"{size} is no multiple of {step}")
     measures = measures or rows()
     if df.isStreaming:
         per_step = df.groupBy(*names(key), F.window(ts, step).alias("pane")).agg(*partials(measures))

@@ -363,10 +363,17 @@ def parts_per_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+    """Rows and their sum, tasks that hold rows, and whether no task holds over half as many again as its share."""
+    per_task = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("s"))
+    even = F.max("n") * F.count(F.lit(1)) <= 1.5 * F.sum("n") + F.count(F.lit(1))
+    return per_task.agg(F.sum("n").alias("n"), F.sum("s").alias("id_sum"), F.count(F.lit(1)).alias("tasks"), even.alias("even"))
 
 
-KEPT = "SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events"
+def spread_over(tasks: int) -> str:
+    return (
+        "SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, "
+        f"CAST({tasks} AS BIGINT) AS tasks, TRUE AS even FROM events"
+    )
 
 
 @query("r1_by_key", "SELECT user_id, CAST(1 AS BIGINT) AS parts, count(*) AS n FROM events GROUP BY user_id")
@@ -374,17 +381,17 @@ def r1(t: Tables) -> DataFrame:
     return parts_per_key(distribute.by_key(t.events, "user_id"), "user_id")
 
 
-@query("r2_at_random", KEPT)
+@query("r2_at_random", spread_over(8))
 def r2(t: Tables) -> DataFrame:
     return kept(distribute.at_random(t.events, 8, seed=7))
 
 
-@query("r3_round_robin", KEPT)
+@query("r3_round_robin", spread_over(8))
 def r3(t: Tables) -> DataFrame:
     return kept(distribute.round_robin(t.events, 8))
 
 
-@query("r4_rescale", KEPT)
+@query("r4_rescale", spread_over(4))
 def r4(t: Tables) -> DataFrame:
     return kept(distribute.rescale(distribute.round_robin(t.events, 8), 4, 8))
 
@@ -397,8 +404,8 @@ def r5(t: Tables) -> DataFrame:
 
 @query("r6_to_one_task", "SELECT CAST(0 AS INTEGER) AS part, count(*) AS n FROM nation")
 def r6(t: Tables) -> DataFrame:
-    one = distribute.to_one_task(t.table("nation"))
-    return one.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    one = distribute.to_one_task(t.table("nation"), F.count(F.lit(1)).alias("n"))
+    return one.select(F.spark_partition_id().alias("part"), "n")
 
 
 @query("r7_by_rule", "SELECT event_id, CAST(event_id % 2 AS INTEGER) AS part FROM events")

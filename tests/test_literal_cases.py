@@ -102,10 +102,20 @@ def test_rule_partitioning(spark):
     assert placed.rdd.getNumPartitions() == 4
 
 
-def test_one_task_is_refused_for_many_rows(spark):
+def test_one_task_meets_partial_aggregates_only(spark):
+    one = distribute.to_one_task(spark.range(0, 1000, 1, 7), F.count("*").alias("n"), F.sum("id").alias("s"))
+    assert got(one, "n", "s") == [(1000, 499_500)]
+    assert one.rdd.getNumPartitions() == 1
+
+
+def test_windows_off_the_slide(spark):
+    events = spark.range(0, 60, 3).select(F.lit("a").alias("k"), F.timestamp_seconds("id").alias("ts"))
+    shown = ["k", F.unix_seconds("window_start"), "cnt"]
+    by_panes = windows.hop(events, ts="ts", size="10 seconds", slide="4 seconds", key="k")
+    built_in = windows.hop(events, ts="ts", size="10 seconds", slide="4 seconds", key="k", panes=False)
+    assert got(by_panes, *shown) == got(built_in, *shown)
     with pytest.raises(ValueError):
-        distribute.to_one_task(spark.range(11), max_rows=10)
-    assert distribute.to_one_task(spark.range(10), max_rows=10).rdd.getNumPartitions() == 1
+        windows.cumulate(events, ts="ts", size="10 seconds", step="4 seconds", key="k")
 
 
 LEFT = [(k, t) for k in "ab" for t in (1000, 3000, 5000, 7000, 9000)]
