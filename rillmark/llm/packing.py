@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.llm.common import text_or_empty
-from rillmark.llm.tokens import ChunkEncoder
+from rillmark.llm.tokens import encoder_for
 
 Bin = list[tuple[int, int]]
 
@@ -134,7 +134,7 @@ def pack_documents(
     kinds = [None, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(vocabulary, spaces)
+        encoder = encoder_for(vocabulary, spaces)
         end = end_id.to_bytes(4, "little")
         number = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []

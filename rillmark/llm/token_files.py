@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillmark.llm.common import filesystem, new_folder, stored, text_or_empty, write_file
-from rillmark.llm.tokens import ChunkEncoder
+from rillmark.llm.tokens import encoder_for
 
 MAGIC = b"RILLTOK1"
 #: sizes of document table and chunk index, ids per block, bits per plane, number of documents, number of ids
@@ -177,7 +177,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
         build = FileBuilder(block_ids, plane_bits, level)
-        encoder = ChunkEncoder(vocabulary, spaces)
+        encoder = encoder_for(vocabulary, spaces)
         end = np.array([end_id], dtype="<u4").tobytes()
         path = f"{target}/ids-{number:06d}.bin"
 

@@ -15,8 +15,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import regex
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Fixed value: how the vocabulary with word ends splits text.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+LATIN = "\xff"
 #: Characters of text that are cut into chunks at a time.
 SEGMENT = 1 << 20
 #: Longer chunks are encoded but not kept.
@@ -32,10 +36,25 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Encoders of this worker process: tasks that follow each other share their caches.
+_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
+
+
+def encoder_for(vocabulary: str, spaces: str) -> ChunkEncoder:
+    if (vocabulary, spaces) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[vocabulary, spaces] = ChunkEncoder(vocabulary, spaces)
+    return _ENCODERS[vocabulary, spaces]
+
+
 class ChunkEncoder:
-    """Ids as little-endian unsigned 32-bit bytes. ``cache_entries`` bounds the cache; a full cache starts anew."""
+    """Ids as little-endian unsigned 32-bit bytes.
+
+    ``cache_entries`` bounds the cache. It has two halves: when the new one is full it becomes the old one, from which
+    chunks that are met again move over, so frequent chunks stay.
+    """
 
-    def __init__(self, vocabulary: str, spaces: str, cache_entries: int = 1_000_000) -> None:
+    def __init__(self, vocabulary: str, spaces: str, cache_entries: int = 1_200_000) -> None:
         from tokenizers import Tokenizer
 
         if spaces not in ("drop", "lead"):
@@ -43,44 +62,71 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.lead = spaces == "lead"
-        self.cache_entries = cache_entries
+        self.half = max(1, cache_entries // 2)
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.border = np.zeros(max(names.values()) + 1, dtype=bool)
+        for name, i in names.items():
+            self.border[i] = name.startswith("\u0120") if self.lead else name.endswith("</w>")
 
     def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of each of many chunks, by one call for all: a token belongs to the chunk in which it ends."""
-        joined = " ".join(parts)
-        found = self.tokenizer.encode(" " + joined if self.lead else joined, add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
-        last = np.array([end for _, end in found.offsets], dtype=np.int64) - (2 if self.lead else 1)
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        borders = np.searchsorted(last, ends - 1)
+    def joined(self, units: list[str]) -> list[bytes] | None:
+        """Ids of many units by one call; None if the ids don't show where each unit ends.
+
+        With ``lead`` the first token of a unit, and no other, starts with the mark of a space; with ``drop`` the last
+        token of a unit that isn't split, and no other, ends with the mark of a word's end.
+        """
+        text = " ".join(units)
+        found = self.tokenizer.encode_batch_fast([" " + text if self.lead else text], add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype="<u4")
+        marks = np.flatnonzero(self.border[ids])
+        if len(marks) != len(units):
+            return None
+        cuts = [*(4 * marks).tolist(), 4 * len(ids)] if self.lead else [0, *(4 * marks + 4).tolist()]
         raw = ids.tobytes()
-        cuts = [0, *(4 * borders).tolist()]
         return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
 
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of many chunks."""
+        if self.lead:
+            return self.joined(parts) or self.raw([" " + p for p in parts])
+        # the splitting works on lower-cased letters in composed form; for Latin-1 that is known to agree with this
+        split = [SPLIT.findall(p.lower()) if p.isascii() or max(p) <= LATIN else None for p in parts]
+        units = list({u for us in split if us for u in us})
+        made = self.joined(units) if units else []
+        table = dict(zip(units, self.raw(units) if made is None else made))
+        rest = [p for p, us in zip(parts, split) if us is None]
+        other = dict(zip(rest, self.raw(rest)))
+        return [other[p] if us is None else b"".join([table[u] for u in us]) for p, us in zip(parts, split)]
+
     def known(self, parts: list[str]) -> dict[str, bytes]:
         """A dictionary that has the ids of all the parts."""
-        missing = list({p for p in parts if p not in self.cache})
-        if len(self.cache) + len(missing) > self.cache_entries:
-            self.cache = {}
-            missing = list(set(parts))
-        long = [p for p in missing if len(p) > KEEP_CHARS]
-        short = [p for p in missing if len(p) <= KEEP_CHARS]
+        missing = {p for p in parts if p not in self.cache}
+        if len(self.cache) + len(missing) > self.half:
+            self.old, self.cache = self.cache, {}
+            missing = set(parts)
+        back = [p for p in missing if p in self.old]
+        self.cache.update((p, self.old[p]) for p in back)
+        new = [p for p in missing if p not in self.old]
+        other = [p for p in new if not self.kept(p)]
+        short = [p for p in new if self.kept(p)]
         if short:
             self.cache.update(zip(short, self.encode_parts(short)))
-        if not long:
+        if not other:
             return self.cache
-        return {p: self.cache[p] for p in parts if p in self.cache} | dict(zip(long, self.raw([" " + p for p in long] if self.lead else long)))
+        ids = self.raw([" " + p for p in other] if self.lead else other)
+        return {p: self.cache[p] for p in parts if p in self.cache} | dict(zip(other, ids))
 
-    def plain_parts(self, segment: str) -> list[str]:
-        parts = segment.split(" ")
-        if self.lead and any(not p or p[0].isspace() or p[-1].isspace() for p in parts if p not in self.cache):
-            return CUT.split(segment)
-        return parts
+    def kept(self, part: str) -> bool:
+        """Whether a chunk may stand in the cache: not too long, and with ``lead`` without white space at its ends."""
+        if len(part) > KEEP_CHARS:
+            return False
+        return not self.lead or bool(part) and not part[0].isspace() and not part[-1].isspace()
 
     def segments(self, text: str) -> list[str]:
         """The text in pieces of about ``SEGMENT`` characters, parted at cuts; the space at a cut is left out."""
@@ -94,36 +140,46 @@ class ChunkEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        out: list[bytes] = []
-        for text in texts:
-            pieces: list[bytes] = []
-            for k, segment in enumerate(self.segments(text)):
-                parts = self.plain_parts(segment)
-                if self.lead and not k:
-                    pieces += self.raw([parts[0]])
-                    parts = parts[1:]
-                try:
-                    ids = list(map(self.cache.__getitem__, parts))
-                except KeyError:
-                    ids = list(map(self.known(parts).__getitem__, parts))
-                pieces += ids
-            out.append(b"".join(pieces))
-        return out
-
-    def warm(self, texts: list[str]) -> None:
-        """Take the unknown chunks of a batch of texts into the cache by one call."""
-        fresh: set[str] = set()
-        for text in texts:
-            if len(text) <= SEGMENT:
-                parts = text.split(" ")[1:] if self.lead else text.split(" ")
-                fresh.update(p for p in parts if p not in self.cache)
-        keep = [p for p in fresh if p and len(p) <= KEEP_CHARS and not p[0].isspace() and not p[-1].isspace()]
-        if keep and len(keep) <= self.cache_entries:
-            self.known(keep)
+        """Ids of each text. Unknown chunks of all the texts are encoded together."""
+        split = [t.split(" ") if len(t) <= SEGMENT else [] for t in texts]
+        new = set().union(*(parts[1:] if self.lead else parts for parts in split)).difference(self.cache)
+        if new := [p for p in new if self.kept(p)]:
+            self.known(new)
+        return [self.fast(parts) or self.careful(text) for text, parts in zip(texts, split)]
+
+    def fast(self, parts: list[str]) -> bytes | None:
+        """Ids of a text cut at every space, if all chunks are in the cache; they are only if such cuts are right."""
+        get = self.cache.__getitem__
+        try:
+            if not self.lead:
+                return b"".join(map(get, parts))
+            if parts and self.kept(parts[0]):
+                return self.first(parts[0]) + b"".join(map(get, parts[1:]))
+        except KeyError:
+            pass
+        return None
+
+    def first(self, part: str) -> bytes:
+        """Ids of the chunk at the start of a text, which has no space before it."""
+        ids = self.starts.get(part)
+        if ids is None:
+            if len(self.starts) >= self.half // 8:
+                self.starts = {}
+            ids = self.starts[part] = self.raw([part])[0]
+        return ids
+
+    def careful(self, text: str) -> bytes:
+        """Ids of any text, cut where that is right, segment by segment."""
+        pieces: list[bytes] = []
+        for k, segment in enumerate(self.segments(text)):
+            parts = CUT.split(segment) if self.lead else segment.split(" ")
+            if self.lead and not k:
+                pieces += self.raw(parts[:1])
+                parts = parts[1:]
+            pieces += map(self.known(parts).__getitem__, parts)
+        return b"".join(pieces)
 
     def encode_batch(self, texts: list[str], at_once: int = 256) -> Iterator[bytes]:
-        """Ids of many texts; unknown chunks of ``at_once`` texts are encoded together."""
+        """Ids of many texts, some at a time."""
         for k in range(0, len(texts), at_once):
-            self.warm(texts[k : k + at_once])
             yield from self.encode(texts[k : k + at_once])
