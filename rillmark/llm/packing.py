@@ -44,56 +44,91 @@ def best_fit(lengths: list[int], capacity: int) -> list[Bin]:
     return bins
 
 
-def exchanges(giver: Bin, taker: Bin, room: int) -> tuple[Bin, Bin] | None:
-    """What to take out of the giver and the taker so that the taker gains most, at most its room."""
-    best, chosen = 0, None
-    ones = [[x] for x in giver]
-    twos = [[giver[i], giver[j]] for i in range(len(giver)) for j in range(i)]
-    back_ones = [[x] for x in taker]
-    back_twos = [[taker[i], taker[j]] for i in range(len(taker)) for j in range(i)]
-    for out, backs in ((ones, [[]]), (ones, back_ones), (twos, back_ones), (ones, back_twos)):
-        for o in out:
-            plus = sum(n for n, _ in o)
-            for b in backs:
-                gain = plus - sum(n for n, _ in b)
-                if best < gain <= room:
-                    best, chosen = gain, (o, b)
-    return chosen
-
-
-def local_search(bins: list[Bin], capacity: int) -> list[Bin]:
-    """Move or exchange documents between underfull bins while that raises the sum of squared fills.
-
-    A fuller bin takes one document, one for one, two for one or one for two from an emptier bin, whichever fills it
-    best. Each step raises the sum, so the search ends; it ends early when the waste is under one bin.
+class Search:
+    """Underfull bins with indexes: which hold a document of some length, which have some room."""
+
+    def __init__(self, bins: list[Bin], capacity: int) -> None:
+        self.bins, self.capacity = bins, capacity
+        self.fill = [sum(n for n, _ in b) for b in bins]
+        self.waste = sum(capacity - f for f in self.fill)
+        self.holding: dict[int, dict[int, None]] = {}
+        self.rooms: dict[int, dict[int, None]] = {}
+        for k in range(len(bins)):
+            self.enter(k)
+
+    def enter(self, k: int) -> None:
+        if 0 < self.fill[k] < self.capacity:
+            self.rooms.setdefault(self.capacity - self.fill[k], {})[k] = None
+            for n, _ in self.bins[k]:
+                self.holding.setdefault(n, {})[k] = None
+
+    def leave(self, k: int) -> None:
+        if 0 < self.fill[k] < self.capacity:
+            room = self.capacity - self.fill[k]
+            del self.rooms[room][k]
+            if not self.rooms[room]:
+                del self.rooms[room]
+            for n in {n for n, _ in self.bins[k]}:
+                del self.holding[n][k]
+
+    def step(self, giver: int) -> bool:
+        """The move or exchange between the giver and a fuller bin that fills the latter most, if there is any."""
+        own = self.bins[giver]
+        outs = [[x] for x in own] + [[own[i], own[j]] for i in range(len(own)) for j in range(i)]
+        rooms = sorted((r for r in self.rooms), reverse=True)
+        for out in sorted(outs, key=lambda out: -sum(x for x, _ in out)):
+            n = sum(x for x, _ in out)
+            for room in rooms:
+                for taker in self.rooms[room] if n <= room else ():
+                    if self.allowed(giver, taker, n):
+                        return self.apply(giver, taker, out, None)
+        for gain in range(rooms[0] if rooms else 0, 0, -1):
+            for out in outs:
+                n = sum(x for x, _ in out)
+                for taker in self.holding.get(n - gain, ()):
+                    if self.allowed(giver, taker, gain):
+                        return self.apply(giver, taker, out, n - gain)
+        return False
+
+    def allowed(self, giver: int, taker: int, gain: int) -> bool:
+        return taker != giver and self.fill[taker] >= self.fill[giver] and self.fill[taker] + gain <= self.capacity
+
+    def apply(self, giver: int, taker: int, out: Bin, back: int | None) -> bool:
+        self.leave(giver)
+        self.leave(taker)
+        for x in out:
+            self.bins[giver].remove(x)
+            self.bins[taker].append(x)
+        if back is not None:
+            x = next(x for x in self.bins[taker] if x[0] == back and x not in out)
+            self.bins[taker].remove(x)
+            self.bins[giver].append(x)
+        for k in (giver, taker):
+            self.fill[k] = sum(n for n, _ in self.bins[k])
+            self.enter(k)
+        return True
+
+
+def local_search(bins: list[Bin], capacity: int, givers: int = 64) -> list[Bin]:
+    """Move documents, or exchange one for one or two for one, between underfull bins until none of it helps.
+
+    The ``givers`` emptiest bins give to fuller ones. Each step raises the sum of squared fills, so the search ends; it
+    ends early when the waste is under one bin, as no packing has fewer bins then.
     """
-    fill = [sum(n for n, _ in b) for b in bins]
-    left = [k for k in range(len(bins)) if fill[k] < capacity]
+    if sum(capacity - sum(n for n, _ in b) for b in bins) < capacity:
+        return bins
+    search = Search(bins, capacity)
     moved = True
-    while moved and sum(capacity - fill[k] for k in left) >= capacity:
+    while moved and search.waste >= capacity:
         moved = False
-        left.sort(key=lambda k: (fill[k], k))
-        for giver in left:
-            for taker in reversed(left):
-                if taker == giver or fill[taker] < fill[giver] or not bins[giver]:
-                    continue
-                found = exchanges(bins[giver], bins[taker], capacity - fill[taker])
-                if not found:
-                    continue
-                out, back = found
-                for x in out:
-                    bins[giver].remove(x)
-                    bins[taker].append(x)
-                for x in back:
-                    bins[taker].remove(x)
-                    bins[giver].append(x)
-                gain = sum(n for n, _ in out) - sum(n for n, _ in back)
-                fill[taker] += gain
-                fill[giver] -= gain
+        left = [k for k in range(len(bins)) if 0 < search.fill[k] < capacity]
+        for giver in sorted(left, key=lambda k: (search.fill[k], k))[:givers]:
+            while search.fill[giver] and search.step(giver):
                 moved = True
-            if not bins[giver] and sum(capacity - fill[k] for k in left if bins[k]) < capacity:
-                break
-        left = [k for k in left if bins[k] and fill[k] < capacity]
+            if not search.fill[giver]:
+                search.waste -= capacity
+                if search.waste < capacity:
+                    break
     return [b for b in bins if b]
 
 
