@@ -126,17 +126,54 @@ def t4(t: Tables) -> DataFrame:
     return local(drain_updated(counts, ["user_id", "window_start", "window_end"])).filter(F.col("user_id") != CLOSING)
 
 
-@query("t5_stream_late_split", "SELECT event_id, 'in_time' AS side FROM events")
-def t5(t: Tables) -> DataFrame:
+# Events arrive in three lots: nine of ten up to the middle, nine of ten after it, and at last every tenth.
+LOTS = """
+    SELECT *, CASE WHEN event_id % 10 = 0 THEN 2 WHEN ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN 0 ELSE 1 END AS lot
+    FROM events"""
+SIDES = f"""
+    WITH lots AS ({LOTS}), marks AS (
+        SELECT l.lot, (SELECT max(ts) - INTERVAL '2 hours' FROM lots e WHERE e.lot < l.lot) AS mark FROM (VALUES (0), (1), (2)) l(lot))
+    SELECT event_id, user_id, {bucket('1 hour')} AS window_start,
+           CASE WHEN {bucket('1 hour')} + INTERVAL '2 hours' <= mark THEN 'late' ELSE 'in_time' END AS side
+    FROM lots JOIN marks USING (lot)"""
+
+
+def late_split(t: Tables) -> LateSplitter:
+    """Hourly windows that take late rows for another hour, fed with one lot after the other."""
     folder = t.scratch("late-split")
     close = F.window("ts", "1 hour")["end"] + F.expr("interval 1 hour")
     split = LateSplitter(folder, ts="ts", close=close, delay_ms=7_200_000)
-    timed = stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    drain_each(timed, split)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = t.events.agg(F.min(us).alias("first"), F.max(us).alias("last")).first()
+    middle = (span["first"] + span["last"]) // 2 if span["first"] is not None else 0
+    lots = t.events.withColumn("lot", F.when(F.col("event_id") % 10 == 0, 2).when(us < middle, 0).otherwise(1))
+    for k in range(3):
+        lots.filter(F.col("lot") == k).drop("lot").write.parquet(f"{folder}/source/lot={k}")
+        timed = t.spark.readStream.schema(t.events.schema).parquet(f"{folder}/source/lot=*")
+        timed = timed.withColumn("ts", F.col("ts").cast("timestamp"))
+        drain(timed.writeStream.foreachBatch(split), f"{folder}/checkpoint")
+    return split
+
+
+@query("t5_stream_late_split", f"SELECT event_id, side FROM ({SIDES})")
+def t5(t: Tables) -> DataFrame:
+    split = late_split(t)
     in_time = split.in_time(t.spark).select("event_id", F.lit("in_time").alias("side"))
     return in_time.unionByName(split.late(t.spark).select("event_id", F.lit("late").alias("side")))
 
 
+@query("t6_stream_late_counts", f"""
+    SELECT user_id, window_start, count(*) FILTER (side = 'in_time') AS cnt, count(*) FILTER (side = 'late') AS late_cnt
+    FROM ({SIDES}) GROUP BY user_id, window_start""")
+def t6(t: Tables) -> DataFrame:
+    """Updated counts of the windows next to the rows that came too late for them, from one reading of the stream."""
+    split = late_split(t)
+    sides = [df.select("user_id", "ts", F.lit(late).alias("late")) for df, late in ((split.in_time(t.spark), False), (split.late(t.spark), True))]
+    counts = {"cnt": F.count_if(~F.col("late")), "late_cnt": F.count_if(F.col("late"))}
+    found = windows.tumble(sides[0].unionByName(sides[1]), ts="ts", size="1 hour", key="user_id", aggs=[c.alias(n) for n, c in counts.items()])
+    return local(found.drop("window_end"))
+
+
 @query("j4_stream_window_join", f"""
     SELECT user_id, w AS window_start, w + INTERVAL '1 day' AS window_end,
            l.ts AS left_ts, l.event_id AS left_event_id, r.ts AS right_ts, r.event_id AS right_event_id

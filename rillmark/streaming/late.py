@@ -2,7 +2,7 @@
 
 Built-in stateful operators drop late rows before user code sees them. Here each
 micro-batch is split first: the largest event time of the earlier batches, less the
-delay, is the watermark, exactly as Spark moves its own.
+delay, is the watermark.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARK = T.StructType([T.StructField("us", T.LongType()), T.StructField("batch", T.LongType())])
+MARK = T.StructType([T.StructField("us", T.LongType())])
 
 
 class LateSplitter:
@@ -36,17 +36,17 @@ class LateSplitter:
             for name, late in (("in_time", False), ("late", True)):
                 rows = tagged.filter(F.col("_late") == late).drop("_late")
                 rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
-            mark = tagged.agg(F.max(F.unix_micros(self.ts)).alias("us"))
+            before = None if watermark is None else watermark + self.delay_us
+            mark = tagged.agg(F.greatest(F.max(F.unix_micros(self.ts)), F.lit(before).cast("bigint")).alias("us"))
             mark.write.mode("overwrite").parquet(f"{self.folder}/marks/batch={batch_id}")
         finally:
             tagged.unpersist()
 
     def watermark_us(self, spark: SparkSession, batch_id: int) -> int | None:
-        """The watermark that the batches before this one left behind."""
+        """The watermark that the batches before this one left behind; the last of them carries the maximum of all."""
         if batch_id == 0:
             return None
-        marks = spark.read.schema(MARK).parquet(f"{self.folder}/marks")
-        seen = marks.filter(F.col("batch") < batch_id).agg(F.max("us")).first()[0]
+        seen = spark.read.schema(MARK).parquet(f"{self.folder}/marks/batch={batch_id - 1}").agg(F.max("us")).first()[0]
         return None if seen is None else seen - self.delay_us
 
     def in_time(self, spark: SparkSession) -> DataFrame:

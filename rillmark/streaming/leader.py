@@ -28,9 +28,9 @@ class LeaderSink:
         best = F.max(F.struct("cnt", "at", F.col(self.key).alias("leader"))).alias("top")
         now = df.agg(best)
         if batch_id > 0:
-            schema = f"top struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in now.schema['top'].dataType)}>, batch bigint"
-            before = spark.read.schema(schema).parquet(self.folder).filter(F.col("batch") < batch_id)
-            now = now.unionByName(before.select("top")).agg(F.max("top").alias("top"))
+            # the batch before carries the leader of all
+            before = spark.read.schema(now.schema).parquet(f"{self.folder}/batch={batch_id - 1}")
+            now = now.unionByName(before).agg(F.max("top").alias("top"))
         now.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
 
     def leaders(self, spark: SparkSession) -> DataFrame:
