@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
@@ -97,18 +100,38 @@ def to_jdbc(
     return df.select(*names(columns)).write.format("jdbc").mode("append").options(**given)
 
 
-def write_buffered(df: DataFrame, flush: Callable[[int, pa.Table], None], size: int = 10) -> DataFrame:
-    """Hand rows to ``flush(task, rows)`` in groups of ``size``, the rest of a task at its end.
+def flush_files(folder: str) -> Callable[[str, pa.Table], None]:
+    """A flush that writes each group to the Parquet file of its name: a group that comes again replaces itself."""
 
-    Gives one row per flush, (task, rows), so an action has to run it. As the sink of a
-    stream use it inside ``foreachBatch``: rows not flushed when a task or executor is
-    lost come again with the replayed micro-batch, which stands in for a saved buffer.
+    def flush(name: str, rows: pa.Table) -> None:
+        fs, path = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(path, recursive=True)
+        draft = f"{path}/.{name}.{uuid.uuid4().hex}"
+        pq.write_table(rows, draft, filesystem=fs)
+        fs.move(draft, f"{path}/{name}.parquet")
+
+    return flush
+
+
+def write_buffered(df: DataFrame, flush: Callable[[str, pa.Table], None], size: int = 10, batch_id: int = 0) -> DataFrame:
+    """Hand rows to ``flush(name, rows)`` in groups of ``size``, the rest of a task at its end.
+
+    The name tells batch, task and group, so that a repeated or speculative task, or a
+    replayed micro-batch, can replace what it has flushed before. Gives one row per flush,
+    (task, rows), so an action has to run it. As the sink of a stream use it inside
+    ``foreachBatch`` with its batch id: rows not flushed when a task or executor is lost
+    come again with the replayed micro-batch, which stands in for a saved buffer.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         held: list[pa.RecordBatch] = []
-        count = 0
+        count = group = 0
+
+        def name() -> str:
+            nonlocal group
+            group += 1
+            return f"batch-{batch_id:06d}-task-{task:06d}-group-{group:08d}"
 
         def report(sizes: list[int]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
@@ -119,14 +142,14 @@ def write_buffered(df: DataFrame, flush: Callable[[int, pa.Table], None], size:
             start, flushed = 0, 0
             while count + batch.num_rows - start >= size:
                 taken = size - count
-                flush(task, pa.Table.from_batches([*held, batch.slice(start, taken)]))
+                flush(name(), pa.Table.from_batches([*held, batch.slice(start, taken)]))
                 held, count, start, flushed = [], 0, start + taken, flushed + 1
             if start < batch.num_rows:
                 held.append(batch.slice(start))
                 count += batch.num_rows - start
             yield report([size] * flushed)
         if count:
-            flush(task, pa.Table.from_batches(held))
+            flush(name(), pa.Table.from_batches(held))
             yield report([count])
 
     return df.mapInArrow(run, "task int, rows int")
