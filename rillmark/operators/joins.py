@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.columns import Names, micros, names, split_window
 from rillmark.functions.text import tokens
-from rillmark.operators.ordered import (
-    cut,
-    fits_broadcast,
-    same,
-    small,
-    with_row_frames,
-)
+from rillmark.operators.ordered import fits_broadcast, with_row_frames
 
 
 def union_all(*tables: DataFrame) -> DataFrame:
@@ -78,14 +72,13 @@ def window_cogroup(
     ts: str,
     size: str,
     value: str,
-    list_rows: int = 100_000,
-    stream_piece: str | None = None,
+    piece: str | None = None,
 ) -> DataFrame:
     """The values of both sides of each key and window as two lists in time order.
 
-    A group of more than ``list_rows`` rows comes as several rows, numbered by ``piece``
-    in time order, so that no list outgrows a task. Others are piece 0. A stream cannot
-    count ahead; there ``stream_piece`` is the time span of one piece.
+    A window comes as one row or, with ``piece``, a time span that divides it, as one row
+    per span that holds values, numbered from the window's start. Choose it so that the
+    rows of one key in one span fit a task. Batch and stream give the same rows.
     """
     keys = names(key)
     both = left.select(*keys, ts, value, F.lit(True).alias("_left")).unionByName(
@@ -98,32 +91,15 @@ def window_cogroup(
         return F.transform(F.sort_array(F.collect_list(pair)), lambda p: p["v"])
 
     lists = [listed(F.col("_left")).alias("left_list"), listed(~F.col("_left")).alias("right_list")]
-    if both.isStreaming:
-        # Windows start at multiples of their size since the epoch, and pieces divide them.
-        span = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {stream_piece or size}"))
-        number = F.call_function("div", F.unix_micros(ts), span)
-        grouped = both.groupBy(*keys, F.window(ts, size).alias("window"), number.alias("_number")).agg(*lists)
-        before = F.call_function("div", F.unix_micros(F.col("window.start")), span)
-        return split_window(grouped.withColumn("piece", F.col("_number") - before).drop("_number"))
-    windowed = split_window(both.select("*", F.window(ts, size).alias("window")))
-    group = [*keys, "window_start", "window_end"]
-    pieces = cut(windowed, group, ts, list_rows)
-    found = pieces.df.groupBy(*group, *pieces.columns).agg(*lists)
-    if not pieces.columns:
-        return found.withColumn("piece", F.lit(0).cast("bigint"))
-    # Only pieces after a group's first need a number, so this table is as short as the cuts.
-    whole = [*group, *pieces.columns]
-    w = Window.partitionBy(*group).orderBy(*pieces.columns)
-    later = (
-        pieces.df.select(*whole)
-        .distinct()
-        .withColumn("piece", F.row_number().over(w).cast("bigint") - 1)
-        .filter(F.col("piece") > 0)
-        .select(*[F.col(c).alias(f"_p_{c}") for c in whole], "piece")
-    )
-    on = same(found, later, [(c, f"_p_{c}") for c in whole])
-    joined = found.join(small(later, pieces.count), on, "left")
-    return joined.select(*group, "left_list", "right_list", F.coalesce("piece", F.lit(0)).alias("piece"))
+    # Windows start at multiples of their size since the epoch, and pieces divide them.
+    span = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {piece or size}"))
+
+    def number(at: Column) -> Column:
+        us = F.unix_micros(at.cast("timestamp"))
+        return F.call_function("div", us - F.pmod(us, span), span)
+
+    grouped = both.groupBy(*keys, F.window(ts, size).alias("window"), number(F.col(ts)).alias("_number")).agg(*lists)
+    return split_window(grouped.withColumn("piece", F.col("_number") - number(F.col("window.start"))).drop("_number"))
 
 
 def interval_join(

@@ -140,14 +140,12 @@ def test_window_cogroup_with_an_empty_side(spark):
     ]
 
 
-def test_large_cogroup_comes_in_pieces(spark):
+def test_cogroup_in_pieces(spark):
     left, right = timed(spark, [("a", t) for t in range(0, 5000, 10)]), timed(spark, [("a", 2500)])
-    groups = joins.window_cogroup(left, right, key="key", ts="ts", size="5 seconds", value="ms", list_rows=100)
+    groups = joins.window_cogroup(left, right, key="key", ts="ts", size="5 seconds", value="ms", piece="1 second")
     pieces = sorted(groups.collect(), key=lambda r: r["piece"])
-    assert [r["piece"] for r in pieces] == list(range(len(pieces))) and len(pieces) > 4
-    assert max(len(r["left_list"]) + len(r["right_list"]) for r in pieces) <= 100
+    assert [(r["piece"], len(r["left_list"]), r["right_list"]) for r in pieces] == [(k, 100, [2500] if k == 2 else []) for k in range(5)]
     assert [v for r in pieces for v in r["left_list"]] == list(range(0, 5000, 10))
-    assert [v for r in pieces for v in r["right_list"]] == [2500]
 
 
 def test_interval_join_includes_both_ends(spark):

@@ -205,7 +205,7 @@ def test_cogroup_lists_on_streams(spark):
     left = timed(spark, [[("a", t) for t in (1000, 3000, 7000)], [("end", FAR)]], "key string, ms bigint")
     right = timed(spark, [[("a", 2000)], [("end", FAR)]], "key string, ms bigint")
     groups = drain_appended(
-        joins.window_cogroup(left, right, key="key", ts="ts", size="10 seconds", value="ms", stream_piece="5 seconds")
+        joins.window_cogroup(left, right, key="key", ts="ts", size="10 seconds", value="ms", piece="5 seconds")
     ).filter(F.col("key") != "end")
     assert rows(groups, "piece", "left_list", "right_list") == [(0, [1000, 3000], [2000]), (1, [7000], [])]
 
