@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from rillmark.columns import Names, micros, names, split_window
 from rillmark.functions.text import tokens
-from rillmark.operators.ordered import fits_broadcast, with_row_frames
+from rillmark.operators.ordered import Running, fits_broadcast, with_row_frames, with_running
 
 
 def union_all(*tables: DataFrame) -> DataFrame:
@@ -210,6 +210,37 @@ def match_rules(
     return paired.join(side, on).drop("previous")
 
 
+def match_rules_in_force(
+    actions: DataFrame,
+    rules: DataFrame,
+    *,
+    key: Names,
+    order: str,
+    action: str,
+    slice_rows: int | None = None,
+) -> DataFrame:
+    """Actions that, with the action before them of the same key, fulfil the rule in force when they arrive.
+
+    ``rules`` has ``action1``, ``action2`` and, as ``order``, when each came; a rule replaces all before it, also for an
+    action that arrives at the same place. Rules and actions form one order, over which the last rule is carried.
+    """
+    paired = with_row_frames(
+        actions.select(*names(key), order, action),
+        keys=key,
+        order=order,
+        before=1,
+        columns={"previous": lambda w: F.lag(action).over(w)},
+        slice_rows=slice_rows,
+    )
+    came = rules.select(order, F.struct(F.col(order).alias("at"), "action1", "action2").alias("_rule"), F.lit(0).alias("_side"))
+    both = paired.withColumn("_side", F.lit(1)).unionByName(came, allowMissingColumns=True)
+    ruled = with_running(both, keys=None, order=[order, "_side"], measures={"_force": Running("max", F.col("_rule"))}, slice_rows=slice_rows)
+    fits = (F.col("previous") == F.col("_force.action1")) & (F.col(action) == F.col("_force.action2"))
+    return ruled.filter((F.col("_side") == 1) & fits).select(
+        *names(key), order, action, F.col("_force.action1").alias("action1"), F.col("_force.action2").alias("action2")
+    )
+
+
 def lateral_split(df: DataFrame, column: str, separator: str = "?") -> DataFrame:
     """One row per part of a text, with the part's length; empty parts at the end don't count, rows without a part vanish."""
     parts = df.withColumn("word", F.explode(tokens(column, separator)))

@@ -218,6 +218,14 @@ def test_rules(spark):
     assert got(last, "user", "action") == [("Bob", "order")]
 
 
+def test_rule_in_force_when_the_action_arrives(spark):
+    actions = spark.createDataFrame([(1, "u", "login"), (3, "u", "pay"), (4, "u", "login"), (6, "u", "order"), (7, "u", "pay")], "seq bigint, user string, action string")
+    rules = spark.createDataFrame([(2, "login", "pay"), (6, "login", "order")], "seq bigint, action1 string, action2 string")
+    for limit in (100, 2):
+        found = joins.match_rules_in_force(actions, rules, key="user", order="seq", action="action", slice_rows=limit)
+        assert got(found, "seq", "action1", "action2") == [(3, "login", "pay"), (6, "login", "order")]
+
+
 def test_order_within_a_minute(spark):
     data = [
         ("A001", "order", 1000), ("A002", "order", 2000), ("A001", "other", 3000), ("A001", "payment", 4000),
