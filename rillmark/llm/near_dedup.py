@@ -13,8 +13,10 @@ from rillmark.llm.common import map_batches, stored, text_or_empty
 from rillmark.llm.components import components
 from rillmark.llm.minhash import band_hashes, rows_per_band, set_digest, shingle_set, super_minhash
 
-#: Buckets of at most so many classes are compared pair by pair; larger ones are parted by a further band first.
-PAIRWISE = 32
+#: Turns in which buckets try another centre before the rest is compared by shingles. They only save work.
+TURNS = 5
+#: Places in which occurrences of shingles are counted. What counts is how they compare, which doesn't change with size.
+COUNTS = 1 << 18
 #: Shingles whose signatures are made together.
 TOGETHER = 200_000
 
@@ -105,9 +107,9 @@ def near_dedup(
 
     1. Documents with equal sets form a class; only its smallest id goes on. Copies are never expanded.
     2. Bands of SuperMinHash signatures give buckets of classes. In each bucket, all are compared with the smallest.
-    3. Buckets whose classes are not all in one component by then are compared further: small ones pair by pair
-       across components, large ones after they are parted by another band they share, and at last in blocks. So no
-       pair of a shared bucket goes unjudged unless it is already known to be in one component.
+    3. Buckets that are not one component by then are compared with other centres, a few turns.
+    4. Classes of buckets that still are not are compared by their rarest shingles, which finds every pair of them that
+       can be linked; a pair already known to be in one component is left out.
 
     The number of places per band is chosen so that a pair at the limit of similarity shares no band once in a
     million. Every link is confirmed on whole sets.
@@ -131,28 +133,15 @@ def near_dedup(
     stars = members.filter("rep != center").filter(alike(percent)).select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = stored(confirmed(stars, sets, percent), "near-links")
     labels = components(links, "a", "b")
-    for depth in range(1, signature):
-        apart = unresolved(members, labels)
-        if apart.isEmpty():
-            break
-        small = apart.filter(F.col("size") <= PAIRWISE)
-        large = apart.filter(F.col("size") > PAIRWISE)
-        found = confirmed(cross_pairs(small, percent), sets, percent)
-        parted = None
-        if depth <= 2 and not large.isEmpty():
-            deeper = large.select("rep", "n", "band", "key").join(classes.select("rep", "bands"), "rep")
-            deeper = deeper.select("rep", "n", F.col("band").alias("b0"), F.col("key").alias("k0"), F.posexplode("bands").alias("band", "k1"))
-            deeper = deeper.filter("band > b0").select("rep", "n", "band", F.xxhash64("k0", "k1").alias("key"))
-            parted = shared(deeper)
-            again = parted.filter("rep != center").filter(alike(percent)).select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
-            found = found.unionByName(confirmed(again, sets, percent))
-        else:
-            found = found.unionByName(confirmed(block_pairs(large, percent), sets, percent))
-        links = stored(links.unionByName(found), "near-links")
+    apart = unresolved(members, labels)
+    for turn in range(TURNS):
+        links = stored(links.unionByName(confirmed(star_pairs(apart, turn, percent), sets, percent)), "near-links")
         labels = components(links, "a", "b")
-        if parted is None:
-            break
-        members = parted
+        apart = unresolved(apart.drop("component"), labels)
+    alone = stored(apart.select(F.col("rep").alias("id"), "n", "component").distinct(), "near-alone")
+    found = confirmed(rare_pairs(alone, sets, percent), sets, percent)
+    links = links.unionByName(found)
+    labels = components(links, "a", "b")
 
     belongs = classes.join(labels, classes["rep"] == labels["node"], "left")
     belongs = stored(belongs.select("d1", "d2", F.coalesce("component", "rep").alias("component")), "near-belongs")
@@ -174,32 +163,75 @@ def shared(each: DataFrame) -> DataFrame:
 
 
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with component and size of the bucket."""
+    """Members of the buckets that hold more than one component: ``key, rep, n, component``."""
     labelled = members.join(labels, members["rep"] == labels["node"], "left")
-    labelled = labelled.select("rep", "n", "band", "key", F.coalesce("component", "rep").alias("component"))
-    several = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    several = several.filter("low != high").select("key", "size")
-    return stored(labelled.join(several, "key"), "near-apart")
+    labelled = labelled.select("rep", "n", "key", F.coalesce("component", "rep").alias("component"))
+    several = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = several.filter("low != high").select("key")
+    return stored(labelled.join(several, "key", "left_semi").select("key", "rep", "n", "component"), "near-apart")
+
 
+def star_pairs(apart: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each member with its bucket's centre of this turn, unless they are in one component already.
 
-def cross_pairs(apart: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components, of sizes that allow a link. Buckets are small here."""
-    one = apart.select("key", F.col("rep").alias("a"), "n", F.col("component").alias("ca"))
-    two = apart.select("key", F.col("rep").alias("b"), F.col("n").alias("cn"), F.col("component").alias("cb"))
-    return one.join(two, "key").filter("a < b AND ca != cb").filter(alike(percent)).select("a", "b").distinct()
+    The centre is the least in an order that each turn draws anew, the same for all buckets, so a member meets few.
+    """
+    first = F.min_by(F.struct("rep", "n", "component"), F.xxhash64("rep", F.lit(turn))).alias("c")
+    centers = apart.groupBy("key").agg(first).select("key", F.col("c.rep").alias("b"), F.col("c.n").alias("cn"), F.col("c.component").alias("cb"))
+    met = apart.join(centers, "key").filter("component != cb").filter(alike(percent))
+    return met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
 
 
-def block_pairs(apart: DataFrame, percent: int) -> DataFrame:
-    """The same for buckets that stay large although three bands agree, joined by grades of size.
+def rare_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that can reach the similarity, by their rarest shingles.
 
-    A grade spans one step of the similarity, so a class can only be linked with classes of its own or a next grade.
+    If sets of n and m reach it, the first n - ceil(percent * n / 100) + 1 shingles of the one and as many of the
+    other, in any order common to both, have one in common. The order here is by how often a shingle occurs, rarest
+    first, so texts that only share a frequent passage don't meet. Occurrences are counted in ``COUNTS`` places, which
+    is all that goes through the driver; where shingles share a place the order is less sharp, not less right.
     """
-    step = np.log(100 / percent)
-    grade = F.floor(F.log("n") / F.lit(float(step)))
-    one = apart.select("key", F.col("rep").alias("a"), "n", F.col("component").alias("ca"), F.explode(F.array(grade - 1, grade, grade + 1)).alias("grade"))
-    two = apart.select("key", F.col("rep").alias("b"), F.col("n").alias("cn"), F.col("component").alias("cb"), grade.alias("grade"))
-    near = one.join(two, ["key", "grade"]).filter("a < b AND ca != cb").filter(alike(percent))
-    return near.select("a", "b").distinct()
+    own = apart.join(sets, "id")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTS, dtype=np.int64)
+        for batch in batches:
+            for raw in batch.column(0):
+                np.add.at(total, (np.frombuffer(raw.as_buffer(), "u8") % COUNTS).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
+
+    own = stored(own, "near-own")
+    counted = own.select("shingles").mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTS, dtype=np.int64)
+    counts[counted["place"].to_numpy()] = counted["n"].to_numpy()
+    sent = apart.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        keys, rows, places = [], [], []
+        for i, raw in enumerate(batch.column(3)):
+            shingles = np.frombuffer(raw.as_buffer(), "u8")
+            often = sent.value[(shingles % COUNTS).astype(np.int64)]
+            first = np.lexsort((shingles, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
+            place = np.flatnonzero(often[first] > 1)
+            keys.append(shingles[first[place]])
+            rows.append(np.full(len(place), i))
+            places.append(place)
+        at = pa.array(np.concatenate(rows))
+        columns = [batch.column(k).take(at) for k in range(3)]
+        own_columns = [pa.array(np.concatenate(keys).astype("i8")), pa.array(np.concatenate(places).astype("i4"))]
+        return pa.RecordBatch.from_arrays([*own_columns, *columns], names=["key", "place", "id", "n", "component"])
+
+    rare = map_batches(own.select("id", "n", "component", "shingles"), prefixes, "key bigint, place int, id bigint, n bigint, component bigint")
+    rare = stored(rare, "near-rare")
+    meets = rare.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
+    rare = stored(rare.join(meets, "key", "left_semi"), "near-meets")
+    one = rare.select("key", F.col("id").alias("a"), "n", (F.col("n") - F.col("place")).alias("left"), F.col("component").alias("ca"))
+    two = rare.select("key", F.col("id").alias("b"), F.col("n").alias("cn"), (F.col("n") - F.col("place")).alias("cleft"), F.col("component").alias("cb"))
+    # from the first shingle in common on, both sets must still hold as many as the similarity asks for
+    enough = F.least("left", "cleft") * (100 + percent) >= (F.col("n") + F.col("cn")) * percent
+    met = one.join(two, "key").filter("a < b AND ca != cb").filter(alike(percent) & enough)
+    return met.select("a", "b").distinct()
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
