@@ -11,7 +11,8 @@ corpus takes many times its size, so suffixes are first thinned out, on names in
 3. These remaining suffixes get names for their whole ``length``-byte prefixes, which are sorted; equal neighbours
    are repeats.
 
-Names are 64-bit hashes. In both sorts each part of the input sends a name once, however often it occurs there, so a
+Documents that are equal as a whole go as a whole; one part of the input speaks for them in both sorts. Names are
+64-bit hashes. In both sorts each part of the input sends a name once, however often it occurs there, so a
 string that stands in a third of all documents is one row per part.
 """
 
@@ -125,6 +126,27 @@ class Segment:
         return at, names(self.sums, at, at + self.length)
 
 
+def packed(ordered: np.ndarray) -> bytes:
+    """Ascending names as the first one and the gaps, in as many bytes as the widest gap takes."""
+    if not len(ordered):
+        return b""
+    gaps = np.diff(ordered)
+    width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
+    octets = np.ascontiguousarray(gaps.astype("<u8").view("u1").reshape(-1, 8)[:, :width])
+    return bytes([width]) + int(ordered[0]).to_bytes(8, "little") + octets.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    if not len(raw):
+        return np.zeros(0, dtype="u8")
+    width = raw[0]
+    octets = np.frombuffer(raw, "u1", offset=9).reshape(-1, width)
+    gaps = np.zeros((len(octets) + 1, 8), dtype="u1")
+    gaps[1:, :width] = octets
+    gaps[0] = np.frombuffer(raw, "u1", 8, 1)
+    return np.cumsum(gaps.view("<u8").reshape(-1), dtype="u8")
+
+
 def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(values), dtype=bool)
@@ -146,24 +168,25 @@ def sent(gathered: list[np.ndarray], part: int, buckets: int) -> Iterator[tuple]
     if not gathered:
         return
     found, count = np.unique(np.concatenate(gathered), return_counts=True)
-    bucket = ((found >> U(32)) % U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    found, several, bucket = found[order], (count[order] > 1), bucket[order]
+    bucket = ((found >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
     for k in np.unique(bucket).tolist():
         x, y = cuts[k], cuts[k + 1]
-        yield k, part, found[x:y].tobytes(), several[x:y].tobytes()
+        yield k, part, packed(found[x:y]), np.packbits(count[x:y] > 1).tobytes()
 
 
 SENT = "bucket bigint, part bigint, names binary, several binary"
 
 
-def gather(docs: DataFrame, buckets: int, length: int, folder: str | None) -> DataFrame:
-    """Names of sampled triples or, given the triples that recur, of the prefixes of the remaining suffixes."""
+def gather(docs: DataFrame, buckets: int, length: int, copies: str, folder: str | None) -> DataFrame:
+    """Names of sampled triples or, given the triples that recur, of the prefixes of the remaining suffixes.
+
+    Of equal documents, those of one part speak for all.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        size, now, recur = 0, None, np.zeros(0, dtype="u8")
+        size, now, recur, known = 0, None, np.zeros(0, dtype="u8"), {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal size
@@ -179,9 +202,12 @@ def gather(docs: DataFrame, buckets: int, length: int, folder: str | None) -> Da
                 if part != now:
                     yield from flush()
                     now = part
-                    if folder:
-                        recur = read_names(folder, part)
-                for _, segment in segments(text.as_py().encode(), length):
+                    recur = read_names(folder, part) if folder else recur
+                    known = read_copies(copies, part)
+                data = text.as_py().encode()
+                if len(data) < length or known and known.get(hashlib.sha256(data).digest()) is False:
+                    continue
+                for _, segment in segments(data, length):
                     held.append(segment.remaining(recur)[1] if folder else segment.sampled())
                     size += len(held[-1])
                 if size >= GATHER:
@@ -196,19 +222,19 @@ def sort_out(rows: DataFrame, recurring: bool, purpose: str) -> str:
 
     def compare(table: pa.Table) -> pa.Table:
         parts = table.column("part").to_pylist()
-        lists = [np.frombuffer(x.as_buffer(), "u8") for x in table.column("names")]
-        several = [np.frombuffer(x.as_buffer(), bool) for x in table.column("several")]
+        lists = [unpacked(x.as_py()) for x in table.column("names")]
+        several = [np.unpackbits(np.frombuffer(x.as_buffer(), "u1"), count=len(n)).astype(bool) for x, n in zip(table.column("several"), lists)]
         ordered = np.sort(np.concatenate(lists))
         again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         keep = [(member(x, again) | s) == recurring for x, s in zip(lists, several)]
-        return pa.table({"part": pa.array(parts, pa.int64()), "names": pa.array([x[k].tobytes() for x, k in zip(lists, keep)], pa.binary())})
+        return pa.table({"part": pa.array(parts, pa.int64()), "names": pa.array([packed(x[k]) for x, k in zip(lists, keep)], pa.binary())})
 
     folder = new_folder(rows.sparkSession, purpose)
 
     def write(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        found = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), "u8") for x in table.column("names")]))
-        write_file(f"{folder}/{part}.names", [found.tobytes()])
+        found = np.unique(np.concatenate([unpacked(x.as_py()) for x in table.column("names")]))
+        write_file(f"{folder}/{part}.names", [packed(found)])
         return pa.table({"part": pa.array([part], pa.int64()), "n": pa.array([len(found)], pa.int64())})
 
     back = rows.groupBy("bucket").applyInArrow(compare, "part bigint, names binary").filter(F.length("names") > 0)
@@ -221,10 +247,38 @@ def read_names(folder: str, part: int) -> np.ndarray:
     fs, path = filesystem(f"{folder}/{part}.names")
     if fs.get_file_info(path).is_file:
         with fs.open_input_file(path) as source:
-            return np.frombuffer(source.read(), "u8")
+            return unpacked(source.read())
     return np.zeros(0, dtype="u8")
 
 
+def find_copies(rows: DataFrame, length: int) -> str:
+    """Files with the digests of each part's documents that have a copy anywhere, and whether the part speaks for them."""
+    folder = new_folder(rows.sparkSession, f"suffix-copies-{uuid.uuid4().hex[:6]}")
+    long = rows.filter(F.octet_length("text") >= length)
+    here = stored(long.groupBy("part", F.unhex(F.sha2("text", 256)).alias("digest")).count(), "suffix-digests")
+    several = here.groupBy("digest").agg(F.sum("count").alias("n"), F.min("part").alias("owner")).filter("n > 1")
+    known = here.join(stored(several, "suffix-several"), "digest").select("part", "digest", (F.col("part") == F.col("owner")).alias("own"))
+
+    def write(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        lines = [d + bytes([o]) for d, o in zip(table.column("digest").to_pylist(), table.column("own").to_pylist())]
+        write_file(f"{folder}/{part}.copies", [b"".join(lines)])
+        return pa.table({"part": pa.array([part], pa.int64()), "n": pa.array([len(lines)], pa.int64())})
+
+    stored(known.groupBy("part").applyInArrow(write, "part bigint, n bigint"), "suffix-copies-index")
+    return folder
+
+
+def read_copies(folder: str, part: int) -> dict[bytes, bool]:
+    """Digests of a part's documents that have copies, with whether the part speaks for them."""
+    fs, path = filesystem(f"{folder}/{part}.copies")
+    if not fs.get_file_info(path).is_file:
+        return {}
+    with fs.open_input_file(path) as source:
+        raw = source.read()
+    return {raw[k : k + 32]: bool(raw[k + 32]) for k in range(0, len(raw), 33)}
+
+
 def suffix_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -256,20 +310,24 @@ def suffix_dedup(
     rows = docs.select(part.alias("part"), F.col(id_own).alias("id"), text_or_empty(text_own).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = blocks_of(total, bucket_bytes)
-    recur = sort_out(gather(rows, buckets, length, None), True, f"suffix-triples-{uuid.uuid4().hex[:6]}")
-    single = sort_out(gather(rows, buckets, length, recur), False, f"suffix-prefixes-{uuid.uuid4().hex[:6]}")
+    copies = find_copies(rows, length)
+    recur = sort_out(gather(rows, buckets, length, copies, None), True, f"suffix-triples-{uuid.uuid4().hex[:6]}")
+    single = sort_out(gather(rows, buckets, length, copies, recur), False, f"suffix-prefixes-{uuid.uuid4().hex[:6]}")
     id_type = docs.schema[id_own].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, again, alone = None, None, None
+        now, again, alone, known = None, None, None, {}
         for batch in batches:
             out: list[tuple] = []
             for own, text in zip(batch.column(0).to_pylist(), batch.column(2)):
                 if own != now:
-                    now, again, alone = own, read_names(recur, own), read_names(single, own)
+                    now, again, alone, known = own, read_names(recur, own), read_names(single, own), read_copies(copies, own)
                 data = text.as_py().encode()
                 step = np.zeros(len(data) + 1, dtype=np.int32)
-                for at, segment in segments(data, length):
+                copied = len(data) >= length and known and hashlib.sha256(data).digest() in known
+                if copied:
+                    step[[0, -1]] = 1, -1
+                for at, segment in () if copied else segments(data, length):
                     places, found = segment.remaining(again)
                     places = places[~member(found, alone)] + at
                     np.add.at(step, places, 1)
