@@ -30,14 +30,28 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply a function to Arrow batches, one at a time."""
+#: What this worker process keeps from task to task: one thing at a time.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(name: tuple, make: Callable[[], object]) -> object:
+    """A thing, such as a cache, that tasks of one operator share in a worker process; it gives way to any other."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 1024) -> DataFrame:
+    """Apply a function to Arrow batches, so many rows at a time. What other operators have kept goes first."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _KEPT.clear()
         for batch in batches:
-            out = fn(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for at in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(at, rows))
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(each, schema)
 

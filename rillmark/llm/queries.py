@@ -95,4 +95,4 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup(table(spark, folder, "documents"), scanned=True)
+    return suffix_dedup(table(spark, folder, "documents"))

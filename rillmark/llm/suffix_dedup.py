@@ -286,12 +286,11 @@ def suffix_dedup(
     length: int = 200,
     bucket_bytes: int = 24 << 20,
     with_kept: bool = False,
-    scanned: bool = False,
 ) -> DataFrame:
     """One row per document: ``id_col, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept`` (binary).
 
-    ``length`` is at least 200. ``scanned`` says that ``docs`` is read from files as it is; then the files' splits are
-    the parts of the input and no copy of the texts is written. Otherwise one is.
+    ``length`` is at least 200. The texts are first written to the shared folder with the number of their part, as all
+    passes have to see the same parts, also after executors come or go.
 
     * Texts are UTF-8 bytes; null is empty. Strings don't cross documents, and are judged on the input: overlapping
       repeats all go, and so do all occurrences. What is kept may part a character.
@@ -301,19 +300,14 @@ def suffix_dedup(
     """
     if length < 200:
         raise ValueError("strings of less than 200 bytes do not hold three triples")
-    if not scanned:
-        plain = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-        docs, id_own, text_own = stored(plain, "suffix-texts"), "_id", "_text"
-    else:
-        id_own, text_own = id_col, text_col
-    part = F.xxhash64(F.input_file_name(), F.input_file_block_start())
-    rows = docs.select(part.alias("part"), F.col(id_own).alias("id"), text_or_empty(text_own).alias("text"))
+    part = F.spark_partition_id().cast("bigint").alias("part")
+    rows = stored(docs.select(part, F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), "suffix-texts")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = blocks_of(total, bucket_bytes)
     copies = find_copies(rows, length)
     recur = sort_out(gather(rows, buckets, length, copies, None), True, f"suffix-triples-{uuid.uuid4().hex[:6]}")
     single = sort_out(gather(rows, buckets, length, copies, recur), False, f"suffix-prefixes-{uuid.uuid4().hex[:6]}")
-    id_type = docs.schema[id_own].dataType.simpleString()
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, again, alone, known = None, None, None, {}

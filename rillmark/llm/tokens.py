@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import regex
 
+from rillmark.llm.common import kept
+
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Fixed value: how the vocabulary with word ends splits text.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -36,15 +38,9 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-#: Encoders of this worker process: tasks that follow each other share their caches.
-_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
-
-
 def encoder_for(vocabulary: str, spaces: str) -> ChunkEncoder:
-    if (vocabulary, spaces) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[vocabulary, spaces] = ChunkEncoder(vocabulary, spaces)
-    return _ENCODERS[vocabulary, spaces]
+    """An encoder whose cache tasks that follow each other in a worker process share."""
+    return kept(("tokens", vocabulary, spaces), lambda: ChunkEncoder(vocabulary, spaces))
 
 
 class ChunkEncoder:

@@ -144,7 +144,7 @@ def train(
 class Scorer:
     """Scores texts with a model; the weights of words already met are kept, up to a bound."""
 
-    def __init__(self, model: OrdinalModel, keep: int = 500_000) -> None:
+    def __init__(self, model: OrdinalModel, keep: int = 100_000) -> None:
         self.model, self.keep = model, keep
         self.words: dict[str, float] = {}
 

@@ -131,7 +131,7 @@ def test_suffix_dedup(spark):
     assert sorted(repr(tuple(r)) for r in got.collect()) == brute_strings(rows, 200)
 
 
-def test_suffix_dedup_segments_scan_and_empty(spark, tmp_path, monkeypatch):
+def test_suffix_dedup_segments_and_empty(spark, tmp_path, monkeypatch):
     import rillmark.llm.suffix_dedup as own
 
     monkeypatch.setattr(own, "SEGMENT", 300)
@@ -142,6 +142,6 @@ def test_suffix_dedup_segments_scan_and_empty(spark, tmp_path, monkeypatch):
     rows = [(1, prose(33, 600)), (2, "q " + prose(33, 600)[700:1500])]
     documents(spark, rows).write.parquet(str(tmp_path / "t"))
     docs = spark.read.parquet(str(tmp_path / "t"))
-    assert sorted(repr(tuple(r)) for r in suffix_dedup(docs, scanned=True).collect()) == brute_strings(rows, 200)
+    assert sorted(repr(tuple(r)) for r in suffix_dedup(docs).collect()) == brute_strings(rows, 200)
     assert suffix_dedup(docs.limit(0)).count() == 0
     assert Segment is own.Segment
