@@ -1,15 +1,17 @@
 """Best-fit packing with a swap-based local search.
 
 Documents become token ids and, where longer than a sequence, pieces. Each task packs the pieces it has made, some
-tens of thousands at a time: a best-fit pass in order of falling length, then exchanges between underfull bins. No
+tens of thousands at a time: a best-fit pass in order of falling length, then exchanges between all underfull bins. No
 text and no piece is shuffled. A set of pieces is finished when the waste is under one sequence, as no packing of it
-has fewer bins then, or when no exchange is left that raises the sum of squared fills.
+has fewer bins then, or when no move of one or two documents and no exchange of one for one, two for one or one for
+two is left that raises the sum of squared fills.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -45,90 +47,156 @@ def best_fit(lengths: list[int], capacity: int) -> list[Bin]:
 
 
 class Search:
-    """Underfull bins with indexes: which hold a document of some length, which have some room."""
+    """Underfull bins by room, with indexes of the single documents and the pairs that bins of each room hold.
+
+    A set of lengths is a whole number with a bit per length, so all exchanges of one gain are looked up by a shift.
+    Bit 0 stands for no document at all.
+    """
 
     def __init__(self, bins: list[Bin], capacity: int) -> None:
         self.bins, self.capacity = bins, capacity
         self.fill = [sum(n for n, _ in b) for b in bins]
         self.waste = sum(capacity - f for f in self.fill)
-        self.holding: dict[int, dict[int, None]] = {}
-        self.rooms: dict[int, dict[int, None]] = {}
+        #: per room, singles and pairs: which bins hold a length, the lengths, and the lengths at this room or more
+        self.holding: list[tuple[dict[int, dict[int, None]], ...]] = [({}, {}) for _ in range(capacity + 1)]
+        self.here = [[0] * (capacity + 1) for _ in range(2)]
+        self.upward = [[0] * (capacity + 2) for _ in range(2)]
         for k in range(len(bins)):
             self.enter(k)
 
+    def underfull(self, k: int) -> bool:
+        return 0 < self.fill[k] < self.capacity
+
+    def lengths(self, k: int) -> tuple[int, int]:
+        singles = pairs = 0
+        for n, _ in self.bins[k]:
+            pairs |= singles << n
+            singles |= 1 << n
+        return singles | 1, pairs
+
     def enter(self, k: int) -> None:
-        if 0 < self.fill[k] < self.capacity:
-            self.rooms.setdefault(self.capacity - self.fill[k], {})[k] = None
-            for n, _ in self.bins[k]:
-                self.holding.setdefault(n, {})[k] = None
+        if self.underfull(k):
+            room = self.capacity - self.fill[k]
+            for kind, found in enumerate(self.lengths(k)):
+                for n in bits(found):
+                    self.holding[room][kind].setdefault(n, {})[k] = None
+                self.here[kind][room] |= found
+                self.carry(kind, room)
 
     def leave(self, k: int) -> None:
-        if 0 < self.fill[k] < self.capacity:
+        if self.underfull(k):
             room = self.capacity - self.fill[k]
-            del self.rooms[room][k]
-            if not self.rooms[room]:
-                del self.rooms[room]
-            for n in {n for n, _ in self.bins[k]}:
-                del self.holding[n][k]
-
-    def step(self, giver: int) -> bool:
-        """The move or exchange between the giver and a fuller bin that fills the latter most, if there is any."""
-        own = self.bins[giver]
-        outs = [[x] for x in own] + [[own[i], own[j]] for i in range(len(own)) for j in range(i)]
-        rooms = sorted((r for r in self.rooms), reverse=True)
-        for out in sorted(outs, key=lambda out: -sum(x for x, _ in out)):
-            n = sum(x for x, _ in out)
-            for room in rooms:
-                for taker in self.rooms[room] if n <= room else ():
-                    if self.allowed(giver, taker, n):
-                        return self.apply(giver, taker, out, None)
-        for gain in range(rooms[0] if rooms else 0, 0, -1):
-            for out in outs:
-                n = sum(x for x, _ in out)
-                for taker in self.holding.get(n - gain, ()):
-                    if self.allowed(giver, taker, gain):
-                        return self.apply(giver, taker, out, n - gain)
-        return False
-
-    def allowed(self, giver: int, taker: int, gain: int) -> bool:
-        return taker != giver and self.fill[taker] >= self.fill[giver] and self.fill[taker] + gain <= self.capacity
-
-    def apply(self, giver: int, taker: int, out: Bin, back: int | None) -> bool:
-        self.leave(giver)
-        self.leave(taker)
-        for x in out:
-            self.bins[giver].remove(x)
-            self.bins[taker].append(x)
-        if back is not None:
-            x = next(x for x in self.bins[taker] if x[0] == back and x not in out)
-            self.bins[taker].remove(x)
-            self.bins[giver].append(x)
-        for k in (giver, taker):
-            self.fill[k] = sum(n for n, _ in self.bins[k])
+            for kind, found in enumerate(self.lengths(k)):
+                holding = self.holding[room][kind]
+                for n in bits(found):
+                    del holding[n][k]
+                    if not holding[n]:
+                        del holding[n]
+                        self.here[kind][room] ^= 1 << n
+                self.carry(kind, room)
+
+    def carry(self, kind: int, room: int) -> None:
+        here, upward = self.here[kind], self.upward[kind]
+        while room and upward[room] != (now := upward[room + 1] | here[room]):
+            upward[room] = now
+            room -= 1
+
+    def step(self, k: int) -> tuple[int, int] | None:
+        """The exchange of this bin with another that brings most to the one of them that gains, if any raises the sum."""
+        if not self.seek(k):
+            return None
+        self.leave(k)
+        found = self.seek(k)
+        if not found:
             self.enter(k)
-        return True
-
-
-def local_search(bins: list[Bin], capacity: int, givers: int = 64) -> list[Bin]:
-    """Move documents, or exchange one for one or two for one, between underfull bins until none of it helps.
-
-    The ``givers`` emptiest bins give to fuller ones. Each step raises the sum of squared fills, so the search ends; it
-    ends early when the waste is under one bin, as no packing has fewer bins then.
+            return None
+        gives, other, out, back = found
+        self.leave(other)
+        giver, taker = (k, other) if gives else (other, k)
+        go, come = take(self.bins[giver], *out), take(self.bins[taker], *back)
+        self.bins[giver] += come
+        self.bins[taker] += go
+        for x in (giver, taker):
+            self.fill[x] = sum(n for n, _ in self.bins[x])
+            self.enter(x)
+        if not self.fill[giver]:
+            self.waste -= self.capacity
+        return giver, taker
+
+    def seek(self, k: int) -> tuple[bool, int, tuple[int, int], tuple[int, int]] | None:
+        """(whether the bin gives, the other bin, what the giver gives, what it gets), each as (kind, length).
+
+        With a gain of g the sum rises if the taker's room less g is smaller than the giver's room.
+        """
+        own, room = self.lengths(k), self.capacity - self.fill[k]
+        here, upward = self.here, self.upward
+        largest = self.capacity
+        while largest and not upward[0][largest]:
+            largest -= 1
+        for gain in range(max(largest, room), 0, -1):
+            for mine, other in KINDS:
+                given = own[mine] >> gain
+                if gain <= largest and given & upward[other][gain]:
+                    for r in range(gain, min(largest, gain + room - 1) + 1):
+                        if hit := given & here[other][r]:
+                            n = (hit & -hit).bit_length() - 1
+                            return True, next(iter(self.holding[r][other][n])), (mine, n + gain), (other, n)
+                if gain <= room and own[mine] << gain & upward[other][least := room - gain + 1]:
+                    for r in range(largest, least - 1, -1):
+                        if hit := own[mine] << gain & here[other][r]:
+                            n = (hit & -hit).bit_length() - 1
+                            return False, next(iter(self.holding[r][other][n])), (other, n), (mine, n - gain)
+        return None
+
+
+#: Singles against singles or none, singles against pairs, pairs against singles or none.
+KINDS = ((0, 0), (0, 1), (1, 0))
+
+
+def bits(found: int) -> Iterator[int]:
+    while found:
+        yield (found & -found).bit_length() - 1
+        found &= found - 1
+
+
+def take(held: Bin, kind: int, n: int) -> Bin:
+    """Take one document (kind 0) or two (kind 1) of that length together out of a bin."""
+    if not n:
+        return []
+    if not kind:
+        chosen = [next(x for x in held if x[0] == n)]
+    else:
+        chosen = next([held[i], held[j]] for i in range(len(held)) for j in range(i) if held[i][0] + held[j][0] == n)
+    for x in chosen:
+        held.remove(x)
+    return chosen
+
+
+def local_search(bins: list[Bin], capacity: int) -> list[Bin]:
+    """Move one or two documents, or exchange one for one, two for one or one for two, until none of it helps.
+
+    Every underfull bin waits in a queue, emptiest first; it is tried against all others as giver and as taker, and
+    waits again when its contents change. So when the queue is empty, no two bins are left between which a step would
+    raise the sum of squared fills. Each step raises it, so the search ends; it ends early when the waste is under one
+    bin, as no packing has fewer bins then.
     """
     if sum(capacity - sum(n for n, _ in b) for b in bins) < capacity:
         return bins
     search = Search(bins, capacity)
-    moved = True
-    while moved and search.waste >= capacity:
-        moved = False
-        left = [k for k in range(len(bins)) if 0 < search.fill[k] < capacity]
-        for giver in sorted(left, key=lambda k: (search.fill[k], k))[:givers]:
-            while search.fill[giver] and search.step(giver):
-                moved = True
-            if not search.fill[giver]:
-                search.waste -= capacity
-                if search.waste < capacity:
-                    break
+    waiting = {k for k in range(len(bins)) if search.underfull(k)}
+    queue = [(search.fill[k], k) for k in waiting]
+    heapify(queue)
+    while queue and search.waste >= capacity:
+        fill, k = heappop(queue)
+        if fill != search.fill[k] or k not in waiting:
+            continue
+        waiting.discard(k)
+        for changed in search.step(k) or ():
+            if search.underfull(changed):
+                waiting.add(changed)
+                heappush(queue, (search.fill[changed], changed))
+            else:
+                waiting.discard(changed)
     return [b for b in bins if b]
 
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rillmark.llm.packing import best_fit, cut, pack, pack_documents
+from rillmark.llm.packing import best_fit, cut, local_search, pack, pack_documents
 from rillmark.llm.token_files import TokenFile, from_planes, read_token_files, to_planes, write_token_files
 from rillmark.llm.tokens import ChunkEncoder
 from tests.conftest import SF_DIR
@@ -78,6 +78,45 @@ def test_search_empties_bins():
     assert len(pack(lengths, 10)) == 2
 
 
+def raising_step(bins, capacity):
+    """A move or exchange between two underfull bins that raises the sum of squared fills, by brute force."""
+    left = [[n for n, _ in b] for b in bins if sum(n for n, _ in b) < capacity]
+    if sum(capacity - sum(b) for b in left) < capacity:
+        return None
+    groups = [[(0, 0)] + [(1, n) for n in b] + [(2, b[i] + b[j]) for i in range(len(b)) for j in range(i)] for b in left]
+    for x, giver in enumerate(left):
+        for y, taker in enumerate(left):
+            for many, out in groups[x]:
+                for few, back in groups[y]:
+                    gain = out - back
+                    if x != y and many + few < 4 and 0 < gain <= capacity - sum(taker) and sum(taker) + gain > sum(giver):
+                        return giver, taker, out, back
+    return None
+
+
+@pytest.mark.parametrize("capacity, low, high, count", [(30, 6, 18, 60), (60, 11, 40, 80), (1024, 200, 600, 250), (1024, 520, 700, 150)])
+def test_search_leaves_no_step(capacity, low, high, count):
+    rnd = random.Random(count)
+    for _ in range(5):
+        lengths = [rnd.randint(low, high) for _ in range(count)]
+        bins = pack(lengths, capacity)
+        assert sorted(i for b in bins for _, i in b) == list(range(count)) and all(sum(n for n, _ in b) <= capacity for b in bins)
+        assert raising_step(bins, capacity) is None
+
+
+def test_every_underfull_bin_gives():
+    # the 70 emptiest bins have no step, two fuller ones can exchange 40 for 38
+    bins = [[(70, k)] for k in range(70)] + [[(40, 70), (33, 71)], [(41, 72), (38, 73)]]
+    assert raising_step(bins, 100)
+    done = local_search(bins, 100)
+    assert raising_step(done, 100) is None and sorted(i for b in done for _, i in b) == list(range(74))
+
+
+def test_one_for_two():
+    done = local_search([[(50, 0)], [(20, 1), (25, 2), (50, 3)], [(70, 4)], [(70, 5)]], 100)
+    assert {0, 3} in [{i for _, i in b} for b in done]
+
+
 def test_pack_documents(spark):
     rows = awkward()
     got = pack_documents(documents(spark, rows), "byte_bpe_50k.json", capacity=256, pieces_at_once=5).collect()
