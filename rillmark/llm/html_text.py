@@ -4,7 +4,8 @@ Parser events give a line per block of the page, with its characters of text, it
 The ratios of text to tags are smoothed with a Gaussian along the page and parted into two clusters by a threshold.
 The region is the element that holds the lines of the upper cluster: from the body downward as long as one child
 holds most of them, ending at an article. All lines of the region count, short ones too, except those in menus,
-forms, adverts and the like.
+forms, adverts and the like. A form or a name such as "sidebar" only tells what an element is if the element does not
+hold most of the upper cluster itself; an article starts afresh, whatever is around it, unless these are comments.
 """
 
 from __future__ import annotations
@@ -35,6 +36,12 @@ OUTSIDE_NAMES = frozenset(
     "notification overlay pagination popup promo promotion recommended related replies reply respond responses share sharing sidebar "
     "signup skyscraper social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
+#: First words of names that tell what is around or not: has-sidebar, no-comments, with-ads. Last words that tell a state: share-enabled.
+ABOUT = frozenset("has have no non with without".split())
+STATES = frozenset("allowed closed disabled enabled hidden off on open shown".split())
+#: What marks an element as outside: by its kind for good, readers' comments, a name of its own, or as part of a name or a form.
+FIRM, COMMENTS, NAMED, LOOSE = range(4)
 CONTAINERS = frozenset("article body center div main section table tbody td".split())
 #: Elements that an opening block closes if they are still open.
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
@@ -46,7 +53,8 @@ class Line:
     text: str
     tags: int
     region: tuple[int, ...]
-    outside: bool
+    #: (element, kind) of all elements around it that are marked as outside
+    marks: tuple[tuple[int, int], ...]
 
 
 class PageLines(HTMLParser):
@@ -55,14 +63,15 @@ class PageLines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool, bool]] = []
+        self.open: list[tuple[str, int, bool, tuple[tuple[int, int], ...]]] = []
         self.kinds: list[str] = ["page"]
         self.parts: list[str] = []
         self.tags = 0
+        self.marked = 0
 
-    def state(self) -> tuple[bool, bool]:
-        """Whether text here is left out as no text, and as outside of the article."""
-        return (self.open[-1][2], self.open[-1][3]) if self.open else (False, False)
+    def state(self) -> tuple[bool, tuple[tuple[int, int], ...]]:
+        """Whether text here is left out as no text, and what marks it as outside of the article."""
+        return (self.open[-1][2], self.open[-1][3]) if self.open else (False, ())
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -72,21 +81,39 @@ class PageLines(HTMLParser):
             self.tags = 0
         self.parts.clear()
 
-    def is_outside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int | None:
+        """How the element is marked as outside, if it is."""
         within = any(t in ("article", "main") for t, *_ in self.open)
         if tag in OUTSIDE or tag == "header" and not within:
-            return True
+            return LOOSE if tag == "form" else FIRM
         if tag in ("html", "body", "article", "main"):
-            return False
+            return None
+        marks = set()
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id") and not OUTSIDE_NAMES.isdisjoint(NAME.findall(value)):
-                return True
+            for token in value.split() if name in ("class", "id") else ():
+                words = NAME.findall(token)
+                if not OUTSIDE_NAMES.isdisjoint(words) and words[0] not in ABOUT:
+                    comments = not COMMENT_NAMES.isdisjoint(words) and words[-1] not in STATES
+                    marks.add(COMMENTS if comments else LOOSE if len(words) > 1 else NAMED)
             if name == "role" and value in OUTSIDE_ROLES or name == "hidden":
-                return True
+                marks.add(FIRM)
             if name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-                return True
-        return False
+                marks.add(FIRM)
+        return min(marks, default=None)
+
+    def marks_within(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[tuple[int, int], ...]:
+        """The marks around and of the element; an article or main that is in no article only keeps those of comments.
+
+        In a menu, an aside or a block with a name of its own it may be a teaser, so there its text must be most of the page's.
+        """
+        marks = self.state()[1]
+        self.marked += 1
+        if tag in ("article", "main") and marks and all(t != "article" for t, *_ in self.open):
+            teaser = any(kind in (FIRM, NAMED) for _, kind in marks)
+            marks = (*(m for m in marks if m[1] == COMMENTS), *([(self.marked, LOOSE)] if teaser else []))
+        kind = self.mark(tag, attrs)
+        return marks if kind is None else (*marks, (self.marked, kind))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -104,12 +131,12 @@ class PageLines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        hidden, outside = self.state()
+        hidden = self.state()[0]
         number = 0
         if tag in CONTAINERS:
             number = len(self.kinds)
             self.kinds.append(tag)
-        self.open.append((tag, number, hidden or tag in NO_TEXT, outside or self.is_outside(tag, attrs)))
+        self.open.append((tag, number, hidden or tag in NO_TEXT, self.marks_within(tag, attrs)))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # only void elements close themselves
@@ -160,6 +187,33 @@ def threshold(values: np.ndarray) -> float:
     return border
 
 
+def released(lines: list[Line], weight: list[int], in_article: list[bool], most: float) -> set[int]:
+    """The marked elements that hold too much of the text of the upper cluster and articles to be outside, outer ones first.
+
+    A form, or a name in parts, is overruled by ``most`` of the text; a name of its own, or if an article is elsewhere,
+    by nine tenths. Readers' comments don't count, and are taken only if there is no other text.
+    """
+    told = [(x, w, a) for x, w, a in zip(lines, weight, in_article) if all(kind != FIRM for _, kind in x.marks)]
+    rest = [(x, w, a) for x, w, a in told if all(kind != COMMENTS for _, kind in x.marks)]
+    if not rest:
+        return {m[0] for x, _, _ in told for m in x.marks}
+    text = [(x.marks, w, a) for x, w, a in rest if w] or [(x.marks, len(x.text), a) for x, _, a in rest]
+    total = sum(w for _, w, _ in text)
+    mass: dict[tuple[int, int], int] = {}
+    around: dict[tuple[int, int], set[int]] = {}
+    for marks, w, _ in text:
+        for k, m in enumerate(marks):
+            mass[m] = mass.get(m, 0) + w
+            if m not in around:
+                around[m] = {outer for outer, _ in marks[:k]}
+    free: set[int] = set()
+    for m in sorted(m for m in mass if mass[m] >= most * total):
+        elsewhere = any(article and m not in marks and all(k in free for k, _ in marks) for marks, _, article in text)
+        if around[m] <= free and mass[m] >= (max(most, 0.9) if m[1] == NAMED or elsewhere else most) * total:
+            free.add(m[0])
+    return free
+
+
 def main_text(html: str, sigma: float = 1.5, most: float = 0.6) -> str:
     """The article's blocks in page order, joined by line ends; empty if there is none."""
     lines, kinds = page_lines(html)
@@ -167,7 +221,13 @@ def main_text(html: str, sigma: float = 1.5, most: float = 0.6) -> str:
         return ""
     ratios = smoothed(np.array([len(x.text) / (x.tags + 1) for x in lines]), sigma)
     upper = ratios >= threshold(ratios)
-    weight = [len(x.text) if not x.outside else 0 for x in lines]
+    in_article = [any(kinds[k] in ("article", "main") for k in x.region) for x in lines]
+    sizes = [len(x.text) for x in lines]
+    free: set[int] = set()
+    if any(x.marks for x in lines):
+        free = released(lines, [n * bool(u or a) for n, u, a in zip(sizes, upper, in_article)], in_article, most)
+    outside = [any(m[0] not in free for m in x.marks) for x in lines]
+    weight = [n if not o else 0 for n, o in zip(sizes, outside)]
     mass: dict[int, int] = {}
     parents: dict[int, int] = {}
     for chosen in ([w * bool(u) for w, u in zip(weight, upper)], weight):
@@ -193,7 +253,7 @@ def main_text(html: str, sigma: float = 1.5, most: float = 0.6) -> str:
                 children.setdefault(parent, []).append(child)
         while inner := [k for k in children.get(region, ()) if mass[k] >= most * mass[region]]:
             region = inner[0]
-    return "\n".join(x.text for x in lines if not x.outside and (not region or region in x.region))
+    return "\n".join(x.text for x, o in zip(lines, outside) if not o and (not region or region in x.region))
 
 
 def extract_text(

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from rillmark.llm.decontaminate import Matcher, decontaminate, drop_contaminated, myers, plain
 from rillmark.llm.html_text import extract_text, main_text
@@ -100,6 +101,27 @@ def test_html_without_article():
     assert main_text(page) == "T\nLong text here that goes on and on.\nok"
 
 
+@pytest.mark.parametrize("around", ["div class=has-sidebar", "div class='page no-comments'", "div class=with-ads", "section id=share-enabled",
+                                    "div class=content-sidebar-wrap", "div class=overlay", "form id=aspnetForm"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_html_wrappers(around, inner):
+    body = f"<{inner}><h1>Title</h1><p>{'Long text that goes on. ' * 20}</p><p>Short.</p><div class=ad>Buy</div></{inner}>"
+    side = "<div class=sidebar><p>Other things to read</p></div><div id=comments><article><p>A reader says a lot of words.</p></article></div>"
+    page = f"<body><nav><a>x</a></nav><{around}>{body}{side}</{around.split()[0]}><footer>me</footer>"
+    assert main_text(page) == "Title\n" + ("Long text that goes on. " * 20).strip() + "\nShort."
+
+
+def test_html_blocks_stay_outside():
+    text = "Long text here that goes on and on, for a line or two."
+    teaser = "<article><p>Something else that you may want to read today.</p></article>"
+    assert main_text(f"<div id=c><p>{text}</p></div><aside>{teaser}</aside><div class=related>{teaser}</div>") == text
+    assert main_text(f"<article><p>{text}</p><aside>{teaser}</aside></article>") == text
+    comments = f"<div class=comments>{'<p>A reader has a lot to say about all this, really a lot.</p>' * 50}</div>"
+    assert main_text(f"<div id=c><p>{text}</p></div>{comments}") == text == main_text(f"<article><p>{text}</p></article>{comments}")
+    notice = f"<div class=cookie-notice><p>{'We use cookies, as all do. ' * 9}</p></div>"
+    assert main_text(f"{notice}<article><p>{text}</p></article>") == text
+
+
 def test_extract_text_table(spark):
     rows = [(1, "u", PAGE, 1), (1, "u", PAGE, 1), (None, None, None, 2), (3, "v", "", 3)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
