@@ -1,8 +1,9 @@
 """License scan with a positional index of rare words.
 
 Templates are word sequences. A word's weight is its inverse document frequency over all documents. Each template is
-filed under its rarest words that occur at all, as postings (template, position). A document looks up the rare words
-it holds; a word at place p with posting (t, q) proposes that t starts at p - q. Places proposed for a template are
+filed under its rarest words that occur at all and the rarest word of its mandatory phrases, as postings (template,
+position). As those phrases must stand whole, that one word proposes every place that can count. A document looks up
+the rare words it holds; a word at place p with posting (t, q) proposes that t starts at p - q. Places proposed for a template are
 scored by the weights of the template's words that stand at their relative positions, and count only if the
 template's mandatory phrases stand there whole.
 """
@@ -59,7 +60,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class RareIndex:
-    """Templates filed under their rarest words."""
+    """Templates filed under their rarest words and the rarest of their mandatory phrases."""
 
     def __init__(self, base: tuple[Template, ...], notices: tuple[Template, ...], df: dict[bytes, int], n_docs: int, rare: int) -> None:
         self.templates = [*base, *notices]
@@ -71,7 +72,8 @@ class RareIndex:
         for t, ws in enumerate(self.words):
             self.phrases.append([(self.find(p, ws), p) for p in map(words_of, (m.encode() for m in self.templates[t].mandatory))])
             there = sorted({w for w in ws if df.get(w, 0)}, key=lambda w: (-self.idf[w], w))
-            for w in there[:rare]:
+            must = [w for w in there if any(w in p for _, p in self.phrases[t])]
+            for w in {*there[:rare], *must[:1]}:
                 self.postings[w] += [(t, q) for q, x in enumerate(ws) if x == w]
 
     @staticmethod
@@ -138,7 +140,7 @@ def license_scan(
     """One row per document: ``id_col, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
     ``n_base`` counts all places of base phrases, ``first_word`` and ``last_word`` are the smallest and largest. ``rare``
-    is the number of words a template is filed under; a base phrase needs all its words, so any one finds every place.
+    is the number of words a template is filed under, next to one of its mandatory phrases, which finds every place.
 
     * Null and empty texts have no words, no places, empty labels and score 0. Texts may be of any length.
     * Places that overlap all count; of equally rare words the alphabetically first is used.

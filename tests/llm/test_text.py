@@ -7,7 +7,7 @@ import pytest
 
 from rillmark.llm.decontaminate import Matcher, decontaminate, drop_contaminated, myers, plain
 from rillmark.llm.html_text import extract_text, main_text
-from rillmark.llm.license_scan import license_scan, words_of
+from rillmark.llm.license_scan import NOTICES, PHRASES, RareIndex, license_scan, words_of
 from rillmark.llm.toxicity import drop_toxic, features, fit_severity, toxicity, train
 from rillmark.llm.url_filter import RULES, url_filter
 from tests.llm.cases import awkward, documents, prose
@@ -80,6 +80,20 @@ def test_license_scan(spark):
     assert license_scan(documents(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("notice", [n for n in NOTICES if len(n.text.split()) > 12], ids=lambda n: n.label)
+def test_license_without_its_rarest_words(spark, notice):
+    words = notice.text.split()
+    must = {w for m in notice.mandatory for w in m.split()}
+    changed = [w for w in dict.fromkeys(words) if w not in must][:3]
+    df = {w.encode(): 40 if w in changed else 50 for w in words}
+    text = " ".join("other" if w in changed else w for w in words)
+    assert notice.label in RareIndex(PHRASES, NOTICES, df, 100, 3).scan(words_of(f"before {text}".encode()))[2]
+    common = " ".join(w for w in words if w not in changed)
+    rows = [(0, f"before {text} after")] + [(k, common) for k in range(1, 20)] + [(k, " ".join(changed)) for k in range(30, 36)]
+    got = {r.doc_id: r.labels.split(",") for r in license_scan(documents(spark, rows)).collect()}
+    assert notice.label in got[0]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
 <div class="wrap"><article><h1>A &amp; B</h1><p>First&nbsp;long   paragraph with
