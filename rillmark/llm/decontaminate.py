@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from rillmark.llm.common import blocks_of, map_batches, text_or_empty
 
 WORDS = re.compile(r"[^\W_]+")
+#: So many words of a short item tell a passage; fewer are everyday speech ("yes", "the war").
+WORDS_OF_PASSAGE = 3
 
 
 def plain(text: str | None) -> str:
@@ -54,7 +56,11 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
 
 
 class Matcher:
-    """Test items, cut into pieces. Equal items are searched once; items under ``min_chars`` match whole texts only."""
+    """Test items, cut into pieces. Equal items are searched once.
+
+    Items under ``min_chars`` are searched exactly, as whole words; those of fewer than ``WORDS_OF_PASSAGE`` words match whole
+    texts only.
+    """
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int) -> None:
         names: dict[str, list[int]] = defaultdict(list)
@@ -63,6 +69,10 @@ class Matcher:
                 names[clean].append(name)
         self.short = {t: n for t, n in names.items() if len(t) < min_chars}
         self.items = [(t, n, int(len(t) * error_rate)) for t, n in names.items() if len(t) >= min_chars]
+        #: from here on, short items without a budget
+        self.exact = len(self.items)
+        self.items += [(t, n, 0) for t, n in self.short.items() if t.count(" ") + 1 >= WORDS_OF_PASSAGE]
+        self.short = {t: n for t, n in self.short.items() if t.count(" ") + 1 < WORDS_OF_PASSAGE}
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for j, (text, _, budget) in enumerate(self.items):
             cuts = [k * len(text) // (budget + 1) for k in range(budget + 2)]
@@ -86,6 +96,10 @@ class Matcher:
                 starts[j].add(end + 1 - size - x)
         for j, places in starts.items():
             item, names, budget = self.items[j]
+            if j >= self.exact:
+                ends = [x + len(item) for x in places if clean[max(0, x - 1) : x] in ("", " ") and clean[x + len(item) : x + len(item) + 1] in ("", " ")]
+                found += [(name, 0, 0, min(ends)) for name in names if ends]
+                continue
             best, at, done = budget + 1, 0, -1
             for start in sorted(places):
                 low = max(0, start - budget)
@@ -130,8 +144,8 @@ def decontaminate(
     The items are sent to the tasks in blocks of ``block_chars`` characters, one pass over the documents each.
 
     * Null and empty texts hold nothing; items without words or without an id are not searched.
-    * An item under ``min_chars`` characters is too short to tell a passage; it is found only in documents that
-      consist of it. Equal items are all reported. Of equally good places the first counts.
+    * An item under ``min_chars`` characters is found without errors and as whole words only; if it has one or two
+      words, only in documents that consist of it. Equal items are all reported. Of equally good places the first counts.
     * Texts may be of any length; each is searched whole. Repeated rows and null document ids give rows of their own.
     * Other columns are ignored. Empty tables give an empty result.
     """

@@ -222,6 +222,13 @@ def test_myers_and_matcher_against_table():
     assert [f[0] for f in matcher.find("Tiny, ONE!")] == [90] and matcher.find("a tiny one") == [] and matcher.find("") == []
 
 
+def test_short_items_in_longer_texts():
+    matcher = Matcher([(1, "Who wrote Faust?"), (2, "yes"), (3, "a longer item that is searched with errors as before")], 0.08, 25)
+    assert matcher.find(prose(5, 40) + ": who wrote  FAUST, " + prose(6, 40)) == [(1, 0, 0, len(plain(prose(5, 40))) + 16)]
+    assert matcher.find("Who wrote Faust") == [(1, 0, 0, 15)] and matcher.find("Yes!") == [(2, 0, 0, 3)]
+    assert not matcher.find("anywho wrote faust") and not matcher.find("who wrote faustus") and not matcher.find("oh yes it is")
+
+
 def test_decontaminate_tables(spark):
     item = prose(600, 30)
     rows = awkward() + [(70, prose(1, 5) + " " + item.upper().replace(" ", " ,\n") + " " + prose(2, 5)), (70, "clean"), (71, item[:60])]
