@@ -65,7 +65,7 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
 def pack_numbers(values: np.ndarray) -> bytes:
     """Whole numbers that are not negative, as bytes: the planes of their bytes, compressed."""
     values = np.ascontiguousarray(values, dtype="<u8")
-    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 0
     planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
     return zstandard.ZstdCompressor(level=1).compress(bytes([width]) + np.ascontiguousarray(planes).tobytes())
 

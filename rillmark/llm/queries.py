@@ -11,6 +11,7 @@ from rillmark.llm.collocations import collocations
 from rillmark.llm.decontaminate import decontaminate
 from rillmark.llm.exact_dedup import exact_dedup
 from rillmark.llm.html_text import extract_text
+from rillmark.llm.language_model import language_model_scores
 from rillmark.llm.license_scan import license_scan
 from rillmark.llm.near_dedup import near_dedup
 from rillmark.llm.packing import pack_documents
@@ -163,3 +164,8 @@ def lloyd_rounds(rounds: int) -> str:
 )
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return centroid_clusters(table(spark, folder, "embeddings"))
+
+
+@query("op11_lm_scores")
+def op11_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model_scores(table(spark, folder, "documents"))
