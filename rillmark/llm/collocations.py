@@ -30,7 +30,9 @@ SPACE = re.compile(rb"[ \t]")
 #: Bytes of text that are cut into words at a time.
 SEGMENT = 1 << 22
 #: Keys, or distinct n-grams, that a task holds before it sends their counts.
-HELD = 1 << 22
+HELD = 1 << 21
+#: Distinct words that a task numbers before it starts anew.
+KNOWN = 1 << 19
 #: Occurrences that a hash partition shall get.
 PARTITION_MASS = 1 << 20
 MOST_FILTER_BITS = 33
@@ -124,7 +126,7 @@ def key_counts(docs: DataFrame, words: int, bits: int, part_bits: int) -> DataFr
                         if size >= HELD:
                             yield from send(held)
                             held, size = [], 0
-                        if len(known) > HELD // 4:
+                        if len(known) > KNOWN:
                             known = Words()
         if size:
             yield from send(held)
@@ -200,18 +202,18 @@ def phrase_counts(docs: DataFrame, words: int, bits: int, part_bits: int, filter
     shift = U(bits - filter_bits)
     schema = "lang string, n int, phrase string, c bigint"
 
-    def send(lang: str, n: int, held: list[np.ndarray], known: Words) -> pa.RecordBatch:
+    def send(lang: str, n: int, held: list[np.ndarray], names: list[bytes]) -> Iterator[pa.RecordBatch]:
         found, counts = counted(np.concatenate(held))
-        names = known.names
-        ids = [((found >> U(21 * k)) & U((1 << 21) - 1)).tolist() for k in reversed(range(n))]
-        phrases = [b" ".join([names[i] for i in run]) for run in zip(*ids)]
-        columns = [
-            pa.array([lang] * len(found), pa.string()),
-            pa.array(np.full(len(found), n, dtype=np.int32)),
-            pa.array(phrases, pa.binary()).cast(pa.string()),
-            pa.array(counts.astype(np.int64)),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "c"])
+        for at in range(0, len(found), 20_000):
+            some = found[at : at + 20_000]
+            ids = [((some >> U(21 * k)) & U((1 << 21) - 1)).tolist() for k in reversed(range(n))]
+            columns = [
+                pa.array([lang] * len(some), pa.string()),
+                pa.array(np.full(len(some), n, dtype=np.int32)),
+                pa.array([b" ".join([names[i] for i in run]) for run in zip(*ids)], pa.binary()).cast(pa.string()),
+                pa.array(counts[at : at + 20_000].astype(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "c"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = kept(("frequent", folder), lambda: read_bits(folder, part_bits, filter_bits))
@@ -221,15 +223,13 @@ def phrase_counts(docs: DataFrame, words: int, bits: int, part_bits: int, filter
 
         def all_sent() -> Iterator[pa.RecordBatch]:
             for (lang, n), keys in held.items():
-                rows = send(lang, n, keys, known)
-                for at in range(0, rows.num_rows, 50_000):
-                    yield rows.slice(at, 50_000)
+                yield from send(lang, n, keys, known.names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for lang, texts in by_lang(batch.slice(at, 256)).items():
                     for some, seen in pieces(texts):
-                        if len(known) + len(some) >= 1 << 21:
+                        if len(known) > KNOWN or len(known) + len(some) >= 1 << 21:
                             yield from all_sent()
                             held, size, known = {}, 0, Words()
                         ids = known.numbers(some)
@@ -245,7 +245,7 @@ def phrase_counts(docs: DataFrame, words: int, bits: int, part_bits: int, filter
                                 run = sum(wide[starts + k] << U(21 * (n - 1 - k)) for k in range(n))
                                 held.setdefault((lang, n), []).append(run)
                                 size += len(run)
-                        if size >= 2 * HELD:
+                        if size >= HELD:
                             yield from all_sent()
                             held, size, known = {}, 0, Words()
         yield from all_sent()
@@ -267,7 +267,7 @@ def frequent_ngrams(docs: DataFrame, words: int = 3, threshold: int = 10, lang_c
     mass = words * (texts.agg(F.sum(F.length("_text") / 2 + 1).alias("n")).first()["n"] or 0)
     part_bits = max(6, int(mass / 3 / PARTITION_MASS).bit_length())
     bits = min(60, max(32, int(mass).bit_length() + 6, part_bits + 8))
-    filter_bits = max(part_bits + 3, min(MOST_FILTER_BITS, int(mass).bit_length()))
+    filter_bits = max(part_bits + 3, min(MOST_FILTER_BITS, int(mass).bit_length() - 3))
     folder = bit_table(key_counts(texts, words, bits, part_bits), threshold, bits, part_bits, filter_bits)
     local = phrase_counts(texts, words, bits, part_bits, filter_bits, folder)
     counts = local.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("f"))
