@@ -14,6 +14,7 @@ the block is the part of the automaton that its texts can reach, and one travers
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,10 @@ from rillmark.llm.common import filesystem, new_folder, stored, text_or_empty, w
 from rillmark.llm.minhash import U
 from rillmark.llm.ngrams import Words, chained, counted, pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
 
-#: Tokens and bytes of a block; only a longer text makes it larger.
-BLOCK_TOKENS = 1 << 21
-BLOCK_BYTES = 1 << 24
+#: Bytes of a block; only a longer text makes it larger.
+BLOCK_BYTES = 1 << 23
+#: Bits of a key beyond those that number the bytes of the corpus.
+SPARE_BITS = 22
 #: Keys that a hash partition shall get.
 PARTITION_KEYS = 1 << 20
 ORDERS = (1, 2, 3)
@@ -39,6 +41,15 @@ def held_out(name: int | None, of: int, rest: int) -> bool:
     return zlib.crc32(b"" if name is None else str(name).encode()) % of == rest
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct value, in ascending order, and for each value the number of its like."""
+    order = np.argsort(values)
+    fresh = np.diff(values[order], prepend=-1) != 0
+    number = np.empty(len(values), dtype=np.int32)
+    number[order] = np.cumsum(fresh) - 1
+    return order[fresh], number
+
+
 class Block:
     """Some texts as one row of tokens, with the distinct n-grams of each order.
 
@@ -52,22 +63,23 @@ class Block:
         rows = [known.numbers(t.lower().split()) for t in texts]
         self.lengths = np.array([len(r) + 1 for r in rows], dtype=np.int64)
         end = np.zeros(1, dtype=np.int32)
-        s = self.tokens = np.concatenate([end, *[x for r in rows for x in (r, end)]]).astype(np.int64)
+        s = self.tokens = np.concatenate([end, *[x for r in rows for x in (r, end)]])
         hashes = known.hashed()
+        start = s[:-1] == 0
         self.at = {1: s}
         self.fit = {1: np.arange(len(s)) > 0}
         self.first = {1: np.arange(len(hashes))}
         self.keys = {1: chained(hashes, 1)}
         for n in ORDERS[1:]:
-            fit = self.fit[n] = self.fit[n - 1] & np.concatenate([np.zeros(n - 1, dtype=bool), s[1 : len(s) - n + 2] != 0] if n > 2 else [[True], np.ones(len(s) - 1, bool)])
-            places = np.flatnonzero(fit)
-            pairs = (self.at[n - 1][places - 1] << 32) | s[places]
-            _, first, inverse = np.unique(pairs, return_index=True, return_inverse=True)
-            at = self.at[n] = np.full(len(s), len(first), dtype=np.int64)
-            at[places] = inverse
-            self.first[n] = places[first]
-            h = hashes[s]
-            self.keys[n] = chained(h, n)[self.first[n] - n + 1]
+            # a run of three or more must not have the start of a text behind its first place
+            inside = ~np.concatenate([[True], start]) if n > 2 else self.fit[1]
+            self.fit[n] = self.fit[n - 1] & inside & (np.arange(len(s)) >= n - 1)
+            places = np.flatnonzero(self.fit[n])
+            at = self.at[n] = np.zeros(len(s), dtype=np.int32)
+            one, at[places] = numbered((self.at[n - 1][places - 1].astype(np.int64) << 32) | s[places])
+            at[~self.fit[n]] = len(one)
+            self.first[n] = places[one]
+            self.keys[n] = chained(hashes[s], n)[self.first[n] - n + 1]
 
     def counts(self, n: int, train: np.ndarray) -> np.ndarray:
         """How often each n-gram comes in the texts of the mask."""
@@ -94,7 +106,7 @@ def read_block(folder: str, block: str) -> tuple[list, list[bytes]]:
     return table.column("name").to_pylist(), table.column("text").to_pylist()
 
 
-def asked(docs: DataFrame, folder: str, part_bits: int, of: int, rest: int) -> DataFrame:
+def asked(docs: DataFrame, folder: str, bits: dict[int, int], part_bits: int, of: int, rest: int) -> DataFrame:
     """(block, part, k1, c1, k2, c2, k3, c3): the keys of a block's n-grams and their counts in training texts."""
     columns = [f"{c}{n}" for n in ORDERS for c in "kc"]
 
@@ -103,9 +115,9 @@ def asked(docs: DataFrame, folder: str, part_bits: int, of: int, rest: int) -> D
         block, train = Block(texts), ~np.array([held_out(x, of, rest) for x in names])
         by_part: dict[int, list[bytes | None]] = {}
         for i, n in enumerate(ORDERS):
-            order = np.argsort(block.keys[n])
-            keys, counts = block.keys[n][order], block.counts(n, train)[order]
-            parts = (keys >> U(64 - part_bits)).astype(np.int64)
+            # the counts of keys that are equal, if ever that happens, add up, here as everywhere
+            keys, counts = counted(block.keys[n] >> U(64 - bits[n]), block.counts(n, train))
+            parts = (keys >> U(bits[n] - part_bits)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
             for a, b in zip(cuts, [*cuts[1:], len(parts)]):
                 row = by_part.setdefault(int(parts[a]), [None] * len(columns))
@@ -171,15 +183,15 @@ class Automaton:
     def __init__(self, block: Block, counts: dict[int, np.ndarray], tokens: int, distinct: int, strength: dict[int, float]) -> None:
         self.base = np.log10((counts[1] + 1) / (tokens + distinct + 1))
         chance = (counts[1] + 1) / (tokens + distinct + 1)
-        self.arcs = {1: self.base.tolist()}
-        self.failing: dict[int, list[float]] = {}
+        self.arcs = {1: array("d", self.base.tobytes())}
+        self.failing: dict[int, array] = {}
         for n in ORDERS[1:]:
             m, last = strength[n], block.first[n]
             of_history = counts[n - 1][block.at[n - 1][last - 1]]
             chance = (counts[n] + m * chance[block.at[n - 1][last]]) / (of_history + m)
-            self.arcs[n] = [*np.where(counts[n] > 0, np.log10(chance), 1.0).tolist(), 1.0]
-            self.failing[n - 1] = np.log10(m / (counts[n - 1] + m)).tolist() + [0.0]
-        self.states = {n: [*(counts[n] > 0).tolist(), False] for n in (1, 2)}
+            self.arcs[n] = array("d", np.append(np.where(counts[n] > 0, np.log10(chance), 1.0), 1.0).tobytes())
+            self.failing[n - 1] = array("d", np.append(np.log10(m / (counts[n - 1] + m)), 0.0).tobytes())
+        self.states = {n: np.append(counts[n] > 0, False).tobytes() for n in (1, 2)}
 
     def traverse(self, tokens: list[int], twos: list[int], threes: list[int]) -> float:
         """The log-probability of one text: its tokens, and the numbers of the n-grams that end at each."""
@@ -231,14 +243,17 @@ def language_model_scores(
     * A null text is empty: one token, the end. A null id counts as an empty text where its checksum is taken.
     * Repeated rows count each time. Texts may be of any length; a task holds one block or one text.
     * An empty table gives no rows. Without training texts N = V = 0, and every token has probability 1.
-    * Other columns are ignored. Ids are whole numbers. Words are told apart by 64-bit hashes.
+    * Other columns are ignored. Ids are whole numbers. Words are told apart by hashes of 64 bits, n-grams by
+      hashes of 22 bits more than number the corpus's bytes (64 at most): one in millions shares its count with another.
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "text-blocks")
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), text_or_empty(text_col).cast("binary").alias("_text"))
     size = texts.agg(F.sum(F.length("_text")).alias("n")).first()["n"] or 0
     part_bits = max(6, int(size / 3 / PARTITION_KEYS).bit_length())
-    answers = stored(answered(asked(texts, folder, part_bits, held_out_of, held_out_rest)), "model-answers")
+    narrow = min(64, max(part_bits, int(size).bit_length() + SPARE_BITS))
+    bits = {n: 64 if n == 1 else narrow for n in ORDERS}
+    answers = stored(answered(asked(texts, folder, bits, part_bits, held_out_of, held_out_rest)), "model-answers")
     whole = answers.filter("block IS NULL").agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
     tokens, distinct = whole["n"] or 0, whole["v"] or 0
     strengths = dict(zip(ORDERS[1:], strength))
@@ -250,14 +265,14 @@ def language_model_scores(
         rows = sorted(table.select(["part", "t1", "t2", "t3"]).to_pylist(), key=lambda r: r["part"])
         counts = {}
         for n in ORDERS:
-            keys = block.keys[n]
-            order = np.argsort(keys)
-            cuts = np.searchsorted(keys[order], [U(r["part"]) << U(64 - part_bits) for r in rows] or [U(0)]).tolist()
+            keys, place = np.unique(block.keys[n] >> U(64 - bits[n]), return_inverse=True)
+            cuts = np.searchsorted(keys, [U(r["part"]) << U(bits[n] - part_bits) for r in rows]).tolist() if rows else []
             found = np.zeros(len(keys), dtype=np.int64)
             for r, a in zip(rows, cuts):
-                got = unpack_numbers(r[f"t{n}"]).astype(np.int64) if r[f"t{n}"] is not None else np.zeros(0, dtype=np.int64)
-                found[order[a : a + len(got)]] = got
-            counts[n] = found
+                if r[f"t{n}"] is not None:
+                    got = unpack_numbers(r[f"t{n}"]).astype(np.int64)
+                    found[a : a + len(got)] = got
+            counts[n] = found[place]
         machine = Automaton(block, counts, tokens, distinct, strengths)
         ends = np.cumsum(block.lengths) + 1
         starts = ends - block.lengths
