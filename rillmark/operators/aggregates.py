@@ -92,11 +92,16 @@ def every_nth_avg(
     placed = with_position(
         df.withColumn("_value", value), keys=key, order=order, name="_pos", slice_rows=slice_rows
     )
+    return nth_avg_at(placed, key=key, position="_pos", value="_value", size=size)
+
+
+def nth_avg_at(placed: DataFrame, *, key: Names, position: str, value: str, size: int = 5) -> DataFrame:
+    """``every_nth_avg`` of rows that are numbered from 1 within their key."""
     step = F.lit(size + 1).cast("bigint")
-    slot = F.pmod(F.col("_pos") - 1, step)
-    kept = F.when(slot < size, F.col("_value"))
+    slot = F.pmod(F.col(position) - 1, step)
+    kept = F.when(slot < size, F.col(value))
     return (
-        placed.groupBy(*names(key), floor_div(F.col("_pos") - 1, step).alias("round"))
+        placed.groupBy(*names(key), floor_div(F.col(position) - 1, step).alias("round"))
         .agg(
             floor_div(F.sum(kept), F.lit(size)).alias("avg_value"),
             F.count(F.lit(1)).alias("_n"),

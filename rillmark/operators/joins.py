@@ -215,8 +215,9 @@ def match_rules_in_force(
     rules: DataFrame,
     *,
     key: Names,
-    order: str,
+    order: Names,
     action: str,
+    keep: Names = (),
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Actions that, with the action before them of the same key, fulfil the rule in force when they arrive.
@@ -224,20 +225,23 @@ def match_rules_in_force(
     ``rules`` has ``action1``, ``action2`` and, as ``order``, when each came; a rule replaces all before it, also for an
     action that arrives at the same place. Rules and actions form one order, over which the last rule is carried.
     """
+    order = names(order)
+    columns = list(dict.fromkeys([*names(key), *order, action, *names(keep)]))
     paired = with_row_frames(
-        actions.select(*names(key), order, action),
+        actions.select(*columns),
         keys=key,
         order=order,
         before=1,
         columns={"previous": lambda w: F.lag(action).over(w)},
         slice_rows=slice_rows,
     )
-    came = rules.select(order, F.struct(F.col(order).alias("at"), "action1", "action2").alias("_rule"), F.lit(0).alias("_side"))
+    place = [F.col(c).alias(f"at{i}") for i, c in enumerate(order)]
+    came = rules.select(*order, F.struct(*place, "action1", "action2").alias("_rule"), F.lit(0).alias("_side"))
     both = paired.withColumn("_side", F.lit(1)).unionByName(came, allowMissingColumns=True)
-    ruled = with_running(both, keys=None, order=[order, "_side"], measures={"_force": Running("max", F.col("_rule"))}, slice_rows=slice_rows)
+    ruled = with_running(both, keys=None, order=[*order, "_side"], measures={"_force": Running("max", F.col("_rule"))}, slice_rows=slice_rows)
     fits = (F.col("previous") == F.col("_force.action1")) & (F.col(action) == F.col("_force.action2"))
     return ruled.filter((F.col("_side") == 1) & fits).select(
-        *names(key), order, action, F.col("_force.action1").alias("action1"), F.col("_force.action2").alias("action2")
+        *columns, F.col("_force.action1").alias("action1"), F.col("_force.action2").alias("action2")
     )
 
 

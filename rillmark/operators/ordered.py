@@ -104,14 +104,15 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
         taken = {c.lower() for c in df.columns}
         name = next(n for i in count() if (n := f"_slice{i}") not in taken)
         if group:
-            # Written once, so that later rounds don't count anew; its size decides how it is joined.
-            folder = shared_folder(df.sparkSession, "grids")
-            grids.write.parquet(folder)
-            grids = df.sparkSession.read.schema(grids.schema).parquet(folder)
+            # Where no key is large, which is the usual case, this one count is all there is.
             cells = grids.agg(F.sum("_cells")).first()[0]
             if not cells:
                 break
             total += cells
+            # Written once, so that later rounds don't count anew; its size decides how it is joined.
+            folder = shared_folder(df.sparkSession, "grids")
+            grids.write.parquet(folder)
+            grids = df.sparkSession.read.schema(grids.schema).parquet(folder)
             df = _with_cell(df, grids, group, places, name)
         else:
             # No key: one grid, and a lower limit from here on, so that every task gets a share.

@@ -198,7 +198,12 @@ def count_window(
 ) -> DataFrame:
     """Aggregate each ``size`` successive rows of a key; the unfilled rest gives no result."""
     placed = with_position(df, keys=key, order=order, name="_pos", slice_rows=slice_rows)
-    number = floor_div(F.col("_pos") - 1, F.lit(size).cast("bigint"))
+    return count_window_at(placed, key=key, position="_pos", size=size, aggs=aggs)
+
+
+def count_window_at(placed: DataFrame, *, key: Names, position: str, size: int, aggs: list[Column]) -> DataFrame:
+    """``count_window`` of rows that are numbered from 1 within their key."""
+    number = floor_div(F.col(position) - 1, F.lit(size).cast("bigint"))
     return (
         placed.groupBy(*names(key), number.alias("window_no"))
         .agg(*aggs, F.count(F.lit(1)).alias("_n"))

@@ -158,12 +158,15 @@ def classified(t: Tables) -> DataFrame:
 
 
 # Every signup brings a rule: after a view, an even one waits for a click and an odd one for a purchase.
-@query("j7_rule_in_force", """
+RULED = """
     WITH paired AS (SELECT event_id, user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events),
     rules AS (SELECT event_id AS came, 'view' AS action1, CASE WHEN event_id % 2 = 0 THEN 'click' ELSE 'purchase' END AS action2
               FROM events WHERE event_type = 'signup')
     SELECT p.user_id, p.event_id, p.event_type, r.action1, r.action2 FROM paired p ASOF JOIN rules r ON p.event_id >= r.came
-    WHERE p.previous = r.action1 AND p.event_type = r.action2""")
+    WHERE p.previous = r.action1 AND p.event_type = r.action2"""
+
+
+@query("j7_rule_in_force", RULED)
 def j7_in_force(t: Tables) -> DataFrame:
     waits = F.when(F.col("event_id") % 2 == 0, "click").otherwise("purchase")
     rules = t.event("signup").select("event_id", F.lit("view").alias("action1"), waits.alias("action2"))

@@ -1,64 +1,99 @@
-"""Streaming forms, fed with the given tables as files and drained to their end.
+"""Streaming forms, fed with the given tables as files that arrive one after the other, and drained to their end.
 
-An append-mode stream sends a window once the watermark has passed it. As input that ends closes everything still
-open, a closing record far in the future follows the events: it moves the watermark past every window, pair and timer,
-and is left out of the result.
+Each table comes in six lots of arrival time, one per micro-batch, with events out of order by up to 72 minutes. So
+watermarks, state and lateness pass from batch to batch. An append-mode stream sends a window once the watermark has
+passed it. As input that ends closes everything still open, a closing record far in the future comes as the last lot:
+it moves the watermark past every window, pair and timer, and is left out of the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillmark.columns import Names, names
 from rillmark.functions.aggregate import Mergeable
-from rillmark.operators import aggregates, joins, project, ranking, windows
-from rillmark.operators.ordered import fits_broadcast
+from rillmark.operators import aggregates, joins, patterns, project, ranking, state, windows
+from rillmark.operators.ordered import with_row_frames
 from rillmark.plans.catalog import Tables, bucket, query
 from rillmark.plans.records import WORDS, lines
-from rillmark.plans.stateful import FOLLOWED, matched, rules_of, typed
+from rillmark.plans.stateful import FOLLOWED, RULED, typed
 from rillmark.plans.windowed import POSITIONED, cumulated, hopped, ranked, tumbled
 from rillmark.streaming import processors as proc
 from rillmark.sinks.writers import fan_out, merge_batch, to_text_files
 from rillmark.sources import readers
+from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.eventtime import with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
+from rillmark.streaming.live import LiveCounts
 from rillmark.streaming.leader import LeaderSink, counts_with_last, stream_top_overall
+from rillmark.streaming.rules import RulesInForce, rules_and_actions
+from rillmark.streaming.turns import InTurn, Step, Turn
 from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_each, drain_updated
 
 DELAY = "2 hours"
+DELAY_MS = 7_200_000
 #: Key of the closing record.
 CLOSING = -1
 
 
-def stream(t: Tables, name: str) -> DataFrame:
-    """A table as a stream of files.
+#: Times of the tables that come as lots.
+TIMES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+LOTS = 6
+#: Folders of lots that are there already, by application, folder and table.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
-    As a pattern the path may name a single file as well as a folder of files; a plain path must be a folder.
-    """
-    return t.spark.readStream.schema(t.table(name).schema).parquet(f"{t.folder}/{name}.parque[t]")
 
+def disorder(name: str) -> Column:
+    """How many microseconds after its time a record arrives."""
+    return (F.col("event_id") % 7) * 720_000_000 if name == "events" else F.lit(0)
 
-def closing(t: Tables, name: str, ts: str, **values: object) -> DataFrame:
-    """A stream of one record that lies years after all others of the table; other columns are null."""
-    table = t.table(name)
+
+def bill_span(t: Tables) -> tuple[int, int]:
+    """First and last time of orders and line items, which are to arrive side by side."""
+    ends = [t.table(n).agg(F.min(c).alias("a"), F.max(c).alias("b")) for n, c in TIMES.items() if n != "events"]
+    span = ends[0].unionByName(ends[1]).agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    row = span.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in "ab"]).first()
+    return row["a"] or 0, row["b"] or 0
+
+
+def stream(t: Tables, name: str, close: bool = False) -> DataFrame:
+    """A table as a stream of lots by its time, the closing record last; one without a time as a stream of its files."""
+    schema = t.table(name).schema
+    if name not in TIMES:
+        # as a pattern the path may name a single file as well as a folder of files; a plain path must be a folder
+        return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{t.folder}/{name}.parque[t]")
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _WRITTEN:
+        folder = t.scratch(f"lots-{name}")
+        span = None if name == "events" else bill_span(t)
+        write_lots(t.table(name), folder, ts=TIMES[name], lots=LOTS, delay=disorder(name), width_us=span)
+        end_of(t, name).write.mode("append").parquet(folder)
+        _WRITTEN[key] = folder
+    lots = lots_stream(t.spark, _WRITTEN[key], schema)
+    return lots if close else lots.filter(~is_end(name))
+
+
+def is_end(name: str) -> Column:
+    return {"events": F.col("user_id") == CLOSING, "orders": F.col("o_orderkey").isNull(), "lineitem": F.col("l_orderkey").isNull()}[name]
+
+
+def end_of(t: Tables, name: str) -> DataFrame:
+    """The closing record, years after all others of the table; columns that don't tell it are null."""
+    table, ts = t.table(name), TIMES[name]
+    values = {"user_id": CLOSING, "event_type": "end", "event_id": 2**62} if name == "events" else {}
     end = table.agg((F.max(ts) + F.expr("interval 2000 days")).alias("end"))
     columns = [F.col("end") if f.name == ts else F.lit(values.get(f.name)) for f in table.schema]
-    row = end.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, table.schema)])
-    folder = t.scratch(f"closing-{name}")
-    row.write.parquet(folder)
-    return t.spark.readStream.schema(table.schema).parquet(folder)
+    return end.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, table.schema)])
 
 
 def events(t: Tables, delay: str = DELAY, lateness: str | None = None) -> DataFrame:
-    end = closing(t, "events", "ts", user_id=CLOSING, event_type="end", event_id=2**62)
-    both = stream(t, "events").unionByName(end)
-    return with_watermark(both, ts="ts", delay=delay, **({"lateness": lateness} if lateness else {}))
+    return with_watermark(stream(t, "events", close=True), ts="ts", delay=delay, **({"lateness": lateness} if lateness else {}))
 
 
 def typed_stream(t: Tables, kind: str, close: bool = False) -> DataFrame:
-    chosen = stream(t, "events").filter(F.col("event_type") == kind)
-    if close:
-        chosen = chosen.unionByName(closing(t, "events", "ts", user_id=CLOSING, event_type=kind, event_id=2**62))
+    both = stream(t, "events", close=close)
+    chosen = both.filter((F.col("event_type") == kind) | (F.col("user_id") == CLOSING))
     return with_watermark(chosen.select("user_id", "ts", "event_id"), ts="ts", delay=DELAY)
 
 
@@ -120,58 +155,72 @@ def w13(t: Tables) -> DataFrame:
     return local(drain_appended(ranking.stream_top(counts, window="window", key="user_id", by="cnt", n=2)))
 
 
-@query("t4_stream_lateness", tumbled("user_id", "10 hours"))
-def t4(t: Tables) -> DataFrame:
-    counts = windows.tumble(events(t, lateness="1 hour"), ts="ts", size="10 hours", key="user_id")
-    return local(drain_updated(counts, ["user_id", "window_start", "window_end"])).filter(F.col("user_id") != CLOSING)
-
-
 # Events arrive in three lots: nine of ten up to the middle, nine of ten after it, and at last every tenth.
-LOTS = """
+LATE_LOTS = """
     SELECT *, CASE WHEN event_id % 10 = 0 THEN 2 WHEN ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN 0 ELSE 1 END AS lot
     FROM events"""
 SIDES = f"""
-    WITH lots AS ({LOTS}), marks AS (
+    WITH lots AS ({LATE_LOTS}), marks AS (
         SELECT l.lot, (SELECT max(ts) - INTERVAL '2 hours' FROM lots e WHERE e.lot < l.lot) AS mark FROM (VALUES (0), (1), (2)) l(lot))
-    SELECT event_id, user_id, {bucket('1 hour')} AS window_start,
+    SELECT event_id, user_id, lot, {bucket('1 hour')} AS window_start,
            CASE WHEN {bucket('1 hour')} + INTERVAL '2 hours' <= mark THEN 'late' ELSE 'in_time' END AS side
     FROM lots JOIN marks USING (lot)"""
 
 
-def late_split(t: Tables) -> LateSplitter:
-    """Hourly windows that take late rows for another hour, fed with one lot after the other."""
-    folder = t.scratch("late-split")
-    close = F.window("ts", "1 hour")["end"] + F.expr("interval 1 hour")
-    split = LateSplitter(folder, ts="ts", close=close, delay_ms=7_200_000)
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    span = t.events.agg(F.min(us).alias("first"), F.max(us).alias("last")).first()
-    middle = (span["first"] + span["last"]) // 2 if span["first"] is not None else 0
-    lots = t.events.withColumn("lot", F.when(F.col("event_id") % 10 == 0, 2).when(us < middle, 0).otherwise(1))
-    for k in range(3):
-        lots.filter(F.col("lot") == k).drop("lot").write.parquet(f"{folder}/source/lot={k}")
-        timed = t.spark.readStream.schema(t.events.schema).parquet(f"{folder}/source/lot=*")
-        timed = timed.withColumn("ts", F.col("ts").cast("timestamp"))
-        drain(timed.writeStream.foreachBatch(split), f"{folder}/checkpoint")
-    return split
+def late_lots(t: Tables) -> DataFrame:
+    """The stream of the three lots, of which the last comes late."""
+    key = (t.spark.sparkContext.applicationId, t.folder, "late events")
+    if key not in _WRITTEN:
+        folder = t.scratch("late-lots")
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        span = t.events.agg(F.min(us).alias("first"), F.max(us).alias("last")).first()
+        middle = (span["first"] + span["last"]) // 2 if span["first"] is not None else 0
+        lots = t.events.withColumn("lot", F.when(F.col("event_id") % 10 == 0, 2).when(us < middle, 0).otherwise(1))
+        for k in range(3):
+            lots.filter(F.col("lot") == k).drop("lot").coalesce(1).write.mode("append").parquet(folder)
+        _WRITTEN[key] = folder
+    return lots_stream(t.spark, _WRITTEN[key], t.events.schema)
 
 
 @query("t5_stream_late_split", f"SELECT event_id, side FROM ({SIDES})")
 def t5(t: Tables) -> DataFrame:
-    split = late_split(t)
+    """Hourly windows that take late rows for another hour; rows later than that go to a table of their own."""
+    folder = t.scratch("late-split")
+    close = F.window("ts", "1 hour")["end"] + F.expr("interval 1 hour")
+    split = LateSplitter(folder, ts="ts", close=close, delay_ms=DELAY_MS)
+    drain(late_lots(t).writeStream.foreachBatch(split), f"{folder}/checkpoint")
     in_time = split.in_time(t.spark).select("event_id", F.lit("in_time").alias("side"))
     return in_time.unionByName(split.late(t.spark).select("event_id", F.lit("late").alias("side")))
 
 
+def live_counts(t: Tables) -> LiveCounts:
+    folder = t.scratch("live-counts")
+    counts = LiveCounts(
+        t.spark, folder, t.events.schema, key="user_id", ts="ts", size="1 hour", delay_ms=DELAY_MS, lateness_ms=3_600_000
+    )
+    drain(late_lots(t).writeStream.foreachBatch(counts), f"{folder}/checkpoint")
+    return counts
+
+
+@query("t4_stream_lateness", f"""
+    SELECT lot AS batch, user_id, window_start, CAST(sum(n) OVER (PARTITION BY user_id, window_start ORDER BY lot) AS BIGINT) AS cnt
+    FROM (SELECT lot, user_id, window_start, count(*) AS n FROM ({SIDES}) WHERE side = 'in_time' GROUP BY ALL)""")
+def t4(t: Tables) -> DataFrame:
+    """Every update of a window's count, as it stood after the batch that brought it."""
+    updates = live_counts(t).updates(t.spark)
+    return local(updates.select("batch", "user_id", "window_start", "cnt"))
+
+
 @query("t6_stream_late_counts", f"""
     SELECT user_id, window_start, count(*) FILTER (side = 'in_time') AS cnt, count(*) FILTER (side = 'late') AS late_cnt
     FROM ({SIDES}) GROUP BY user_id, window_start""")
 def t6(t: Tables) -> DataFrame:
-    """Updated counts of the windows next to the rows that came too late for them, from one reading of the stream."""
-    split = late_split(t)
-    sides = [df.select("user_id", "ts", F.lit(late).alias("late")) for df, late in ((split.in_time(t.spark), False), (split.late(t.spark), True))]
-    counts = {"cnt": F.count_if(~F.col("late")), "late_cnt": F.count_if(F.col("late"))}
-    found = windows.tumble(sides[0].unionByName(sides[1]), ts="ts", size="1 hour", key="user_id", aggs=[c.alias(n) for n, c in counts.items()])
-    return local(found.drop("window_end"))
+    """Counts that a running stream has updated, next to the number of rows that came too late for their window."""
+    counts = live_counts(t)
+    late = windows.tumble(counts.late(t.spark), ts="ts", size="1 hour", key="user_id").withColumnRenamed("cnt", "late_cnt")
+    both = counts.counts.read().join(late, ["user_id", "window_start", "window_end"], "full")
+    zero = F.lit(0).cast("bigint")
+    return local(both.select("user_id", "window_start", F.coalesce("cnt", zero).alias("cnt"), F.coalesce("late_cnt", zero).alias("late_cnt")))
 
 
 @query("j4_stream_window_join", f"""
@@ -186,7 +235,7 @@ def j4(t: Tables) -> DataFrame:
 
 
 def bills(t: Tables, name: str, key: str, ts: str) -> DataFrame:
-    both = stream(t, name).unionByName(closing(t, name, ts))
+    both = stream(t, name, close=True)
     return with_watermark(both.select(F.col(key).alias("id"), F.col(ts).alias("ts")), ts="ts", delay="1 day")
 
 
@@ -268,46 +317,55 @@ def j6(t: Tables) -> DataFrame:
     return local(drain_appended(pairs))
 
 
-def stepped(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
-    timed = events(t, "0 seconds").withColumn("us", F.unix_micros("ts"))
-    return proc.in_order(timed, key="user_id", ts="ts", seq="event_id", keep=keep, step=step)
+ORDER = ["ts", "event_id"]
 
 
-def ordered(t: Tables, step: proc.Step, keep: list[str]) -> DataFrame:
-    return drain_appended(stepped(t, step, keep)).filter(F.col("user_id") != CLOSING)
+def in_turn(t: Tables, step: Step, keep: Names = (), reach: int = 1, carry: Step | None = None) -> DataFrame:
+    """What a step sends for the events of each user in turn, without the closing record."""
+    events_of = stream(t, "events", close=True).select("user_id", "ts", "event_id", *names(keep))
+    folder = t.scratch("turns")
+    sink = InTurn(
+        t.spark, folder, events_of.schema, key="user_id", ts="ts", seq="event_id", delay_ms=DELAY_MS, step=step, reach=reach, carry=carry
+    )
+    drain(events_of.writeStream.foreachBatch(sink), f"{folder}/checkpoint")
+    return sink.sent(t.spark).filter(F.col("user_id") != CLOSING).drop("batch")
 
 
 @query("st1_stream_prev", f"""
     SELECT user_id, event_id, event_type, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), '-') AS previous
     FROM events""")
 def st1(t: Tables) -> DataFrame:
-    seen = ordered(t, proc.previous_step("event_type"), ["event_type"])
-    return seen.select(
-        "user_id",
-        F.col("seq").alias("event_id"),
-        F.col("current").alias("event_type"),
-        F.coalesce("previous", F.lit("-")).alias("previous"),
-    )
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        seen = state.previous_event(rows, key="user_id", order=ORDER, keep="event_type", slice_rows=turn.slice_rows).filter("_new")
+        return seen.select("user_id", "event_id", "event_type", F.coalesce("prev_event_type", F.lit("-")).alias("previous"))
 
+    return in_turn(t, step, "event_type")
 
-@query("j7_stream_rule_match", matched("('error', 'click'), ('click', 'purchase')"))
+
+@query("j7_stream_rule_match", RULED)
 def j7(t: Tables) -> DataFrame:
-    seen = stepped(t, proc.previous_step("event_type"), ["event_type"])
-    rules = rules_of(t)
-    rules = F.broadcast(rules) if fits_broadcast(rules) else rules
-    on = (F.col("previous") == F.col("action1")) & (F.col("current") == F.col("action2"))
-    hits = seen.join(rules, on).select(
-        F.col("seq").alias("event_id"), "user_id", F.col("current").alias("event_type"), "action1", "action2"
-    )
-    return drain_appended(hits).filter(F.col("user_id") != CLOSING)
+    """Every signup brings a rule that governs all later actions; rules and actions come as one stream each."""
+    folder = t.scratch("rules")
+    waits = F.when(F.col("event_id") % 2 == 0, "click").otherwise("purchase")
+    came = stream(t, "events").filter("event_type = 'signup'").select("event_id", "ts", F.lit("view").alias("action1"), waits.alias("action2"))
+    actions = stream(t, "events", close=True).select("user_id", "ts", "event_id", "event_type")
+    both = rules_and_actions(actions, came, key="user_id")
+    sink = RulesInForce(t.spark, folder, both.schema, key="user_id", ts="ts", seq="event_id", action="event_type", delay_ms=DELAY_MS)
+    drain(both.writeStream.foreachBatch(sink), f"{folder}/checkpoint")
+    return sink.sent(t.spark).select("user_id", "event_id", "event_type", "action1", "action2")
 
 
 @query("st2_stream_history", f"""
     SELECT event_id, user_id, array_to_string(list(event_type) OVER (
         PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ',') AS history FROM events""")
 def st2(t: Tables) -> DataFrame:
-    seen = ordered(t, proc.history_step("event_type", 5), ["event_type"])
-    return seen.select(F.col("seq").alias("event_id"), "user_id", F.concat_ws(",", "history").alias("history"))
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        seen = state.recent_history(
+            rows, key="user_id", order=ORDER, value="event_type", length=5, slice_rows=turn.slice_rows
+        ).filter("_new")
+        return seen.select("event_id", "user_id", F.concat_ws(",", "history").alias("history"))
+
+    return in_turn(t, step, "event_type", reach=4)
 
 
 @query("c1_stream_consecutive", f"""
@@ -317,23 +375,45 @@ def st2(t: Tables) -> DataFrame:
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
     WHERE x = 'error' AND y = 'error' AND z = 'error'""")
 def c1(t: Tables) -> DataFrame:
-    found = ordered(t, proc.consecutive_step("event_type", ["error"] * 3), ["event_type"])
-    return found.select("user_id", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
+    steps = [(name, F.col("event_type") == "error") for name in ("first", "second", "third")]
+
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        found = patterns.strict_sequence(
+            rows, key="user_id", order=ORDER, steps=steps, keep=["event_id", "_new"], slice_rows=turn.slice_rows
+        )
+        ids = [F.col(f"{name}.event_id").cast("string") for name, _ in steps]
+        return found.filter("third._new").select("user_id", F.concat_ws(",", *ids).alias("ids"))
+
+    return in_turn(t, step, "event_type", reach=2)
 
 
 @query("c3_stream_followed", f"""
     SELECT user_id, event_id, epoch_us(start_ts) AS start_us, coalesce(epoch_us(end_ts), -1) AS end_us, status
     FROM ({FOLLOWED})""")
 def c3(t: Tables) -> DataFrame:
-    step = proc.followed_step("event_type", "signup", "purchase", 24 * 3_600_000_000)
-    found = ordered(t, step, ["event_type"])
-    return found.select(
-        "user_id",
-        F.col("seq").alias("event_id"),
-        "start_us",
-        F.coalesce("end_us", F.lit(-1).cast("bigint")).alias("end_us"),
-        "status",
-    )
+    """An open signup is carried from batch to batch until a purchase comes or the watermark ends its wait."""
+    day_us = 24 * 3_600_000_000
+    signup, purchase = F.col("event_type") == "signup", F.col("event_type") == "purchase"
+
+    def decided(rows: DataFrame, turn: Turn) -> DataFrame:
+        return patterns.followed_by_within(
+            rows, key="user_id", order=ORDER, ts="ts", first=signup, second=purchase, within="24 hours",
+            keep=["event_id", "position"], slice_rows=turn.slice_rows,
+        )
+
+    def over(watermark: int) -> Column:
+        return F.unix_micros(F.col("start_ts").cast("timestamp")) + day_us <= F.lit(watermark)
+
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        found = decided(rows, turn).filter((F.col("status") == "matched") | over(turn.watermark))
+        us = [F.unix_micros(F.col(f"{c}_ts").cast("timestamp")).alias(f"{c}_us") for c in ("start", "end")]
+        return found.select("user_id", "event_id", us[0], F.coalesce(us[1], F.lit(-1).cast("bigint")).alias("end_us"), "status")
+
+    def carry(rows: DataFrame, turn: Turn) -> DataFrame:
+        still = decided(rows, turn).filter((F.col("status") == "timeout") & ~over(turn.watermark))
+        return still.select("user_id", F.col("start_ts").alias("ts"), "event_id", F.lit("signup").alias("event_type"), "position")
+
+    return in_turn(t, step, "event_type", carry=carry)
 
 
 @query("a10_stream_count_trigger", f"""
@@ -342,7 +422,11 @@ def c3(t: Tables) -> DataFrame:
         FROM ({POSITIONED}))
     GROUP BY user_id, round HAVING count(*) = 6""")
 def a10(t: Tables) -> DataFrame:
-    return ordered(t, proc.nth_avg_step("us", 5), ["us"])
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        timed = rows.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+        return aggregates.nth_avg_at(timed, key="user_id", position="position", value="us", size=5).drop("round")
+
+    return in_turn(t, step, reach=5)
 
 
 @query("w5_stream_count_window", f"""
@@ -350,14 +434,21 @@ def a10(t: Tables) -> DataFrame:
            CAST(sum(epoch_us(ts)) AS BIGINT) AS total
     FROM ({POSITIONED}) GROUP BY ALL HAVING count(*) = 10""")
 def w5(t: Tables) -> DataFrame:
-    return ordered(t, proc.count_window_step("us", 10), ["us"])
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    aggs = [F.min("event_id").alias("first_seq"), F.max("event_id").alias("last_seq"), F.sum(us).alias("total")]
+    return in_turn(t, lambda rows, _: windows.count_window_at(rows, key="user_id", position="position", size=10, aggs=aggs), reach=9)
 
 
 @query("o1_stream_recent_avg", f"""
     SELECT user_id, event_id AS seq, CAST(sum(epoch_us(ts)) OVER w // count(*) OVER w AS BIGINT) AS recent_avg FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""")
 def o1(t: Tables) -> DataFrame:
-    return ordered(t, proc.recent_avg_step("us", 5), ["us"])
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        seen = aggregates.recent_avg(rows, key="user_id", order=ORDER, value=us, before=5, slice_rows=turn.slice_rows).filter("_new")
+        return seen.select("user_id", F.col("event_id").alias("seq"), "recent_avg")
+
+    return in_turn(t, step, reach=5)
 
 
 @query("a11_stream_total", f"""
@@ -369,29 +460,23 @@ def o1(t: Tables) -> DataFrame:
     SELECT r.user_id, r.reported_us, count(*) AS total FROM r JOIN e ON e.user_id = r.user_id AND e.us <= r.reported_us
     GROUP BY ALL""")
 def a11(t: Tables) -> DataFrame:
-    return ordered(t, proc.running_total_step(3 * 3_600_000_000), ["us"])
-
-
-@query("w19_stream_map_state", f"""
-    SELECT event_type, start_ms, start_ms + 3600000 AS end_ms, count(*) AS cnt
-    FROM (SELECT event_type, epoch_us(ts) // 3600000000 * 3600000 AS start_ms FROM events) GROUP BY ALL""")
-def w19(t: Tables) -> DataFrame:
-    return drain_appended(
-        proc.window_counts_by_state(events(t, "0 seconds"), key="event_type", ts="ts", size_ms=3_600_000)
-    )
+    timed = events(t).withColumn("us", F.unix_micros("ts"))
+    step = proc.running_total_step(3 * 3_600_000_000)
+    found = proc.in_order(timed, key="user_id", ts="ts", seq="event_id", keep=["us"], step=step)
+    return drain_appended(found).filter(F.col("user_id") != CLOSING)
 
 
 @query("t7_stream_timers", f"""
     SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 36000000 AS time_ms FROM events""")
 def t7(t: Tables) -> DataFrame:
-    told = drain_appended(proc.alarms(events(t, "0 seconds"), key="user_id", ts="ts", wait_ms=36_000_000))
+    told = drain_appended(proc.alarms(events(t), key="user_id", ts="ts", wait_ms=36_000_000))
     return told.filter(F.col("kind") == "rang").select("user_id", "time_ms")
 
 
 @query("a4_stream_running_count", f"""
     SELECT user_id, event_id AS seq, count(*) OVER (PARTITION BY user_id ORDER BY event_id) AS cnt FROM events""")
 def a4(t: Tables) -> DataFrame:
-    return ordered(t, proc.running_count_step(), ["us"])
+    return in_turn(t, lambda rows, _: rows.filter("_new").select("user_id", F.col("event_id").alias("seq"), F.col("position").alias("cnt")))
 
 
 @query("w5_stream_count_sliding", f"""
@@ -401,7 +486,15 @@ def a4(t: Tables) -> DataFrame:
                            f AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
     WHERE position % 2 = 0""")
 def w5_sliding(t: Tables) -> DataFrame:
-    return ordered(t, proc.count_window_sliding_step("us", 10, 2), ["us"])
+    def step(rows: DataFrame, turn: Turn) -> DataFrame:
+        frame = {
+            "n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-9, 0)),
+            "total": lambda w: F.sum(F.unix_micros(F.col("ts").cast("timestamp"))).over(w.rowsBetween(-9, 0)),
+        }
+        seen = with_row_frames(rows, keys="user_id", order=ORDER, before=9, columns=frame, slice_rows=turn.slice_rows)
+        return seen.filter(F.col("_new") & (F.col("position") % 2 == 0)).select("user_id", "position", "n", "total")
+
+    return in_turn(t, step, reach=9)
 
 
 @query("a5_stream_leader", """

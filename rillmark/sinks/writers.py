@@ -156,9 +156,9 @@ def write_buffered(df: DataFrame, flush: Callable[[str, pa.Table], None], size:
 
 
 def merge_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink whose effect is once only: a replayed batch replaces itself.
+    """A ``foreachBatch`` sink of appended rows whose effect is once only: a replayed batch replaces itself.
 
-    Each micro-batch owns the partition ``batch=<id>`` of a Parquet table.
+    For rows that replace one another see ``KeyedSink``. Each micro-batch owns the partition ``batch=<id>`` of a Parquet table.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -167,13 +167,6 @@ def merge_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def latest_per_key(merged: DataFrame, key: Names) -> DataFrame:
-    """The current row of each key in a table written by ``merge_batch`` from an update-mode stream."""
-    others = [c for c in merged.columns if c not in [*names(key), "batch"]]
-    newest = F.max_by(F.struct(*others), "batch").alias("_row")
-    return merged.groupBy(*names(key)).agg(newest).select(*names(key), "_row.*")
-
-
 def fan_out(writers: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that sends each ``channel`` of a routed stream to its own writer."""
 

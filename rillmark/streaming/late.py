@@ -29,7 +29,7 @@ class LateSplitter:
         spark = df.sparkSession
         watermark = self.watermark_us(spark, batch_id)
         tagged = df.withColumn(
-            "_late", F.lit(False) if watermark is None else F.unix_micros(self.close) <= F.lit(watermark)
+            "_late", F.lit(False) if watermark is None else F.unix_micros(self.close.cast("timestamp")) <= F.lit(watermark)
         )
         tagged.persist()
         try:
@@ -37,7 +37,7 @@ class LateSplitter:
                 rows = tagged.filter(F.col("_late") == late).drop("_late")
                 rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
             before = None if watermark is None else watermark + self.delay_us
-            mark = tagged.agg(F.greatest(F.max(F.unix_micros(self.ts)), F.lit(before).cast("bigint")).alias("us"))
+            mark = tagged.agg(F.greatest(F.max(F.unix_micros(F.col(self.ts).cast("timestamp"))), F.lit(before).cast("bigint")).alias("us"))
             mark.write.mode("overwrite").parquet(f"{self.folder}/marks/batch={batch_id}")
         finally:
             tagged.unpersist()

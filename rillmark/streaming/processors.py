@@ -1,7 +1,8 @@
 """Keyed state and timers on streams, with ``transformWithState``.
 
-``in_order`` holds the events of a key until the watermark passes them and then feeds
-them, in event-time order, to a small step function. So results do not depend on how
+For answers that are due at a time of their own, which need timers. ``in_order`` holds the events
+of a key until the watermark passes them and then feeds them, in event-time order, to a small step
+function; what needs no timer runs on the batch operators (``turns``). So results do not depend on how
 events were cut into micro-batches, and they equal those of the batch operators. State
 of a key lives in one task; rows wait there no longer than the watermark delay.
 """
@@ -122,138 +123,6 @@ def in_order(df: DataFrame, *, key: Names, ts: str, seq: str, keep: Names, step:
     )
 
 
-# Steps. Each is the streaming form of a batch operator.
-
-
-def previous_step(value: str) -> Step:
-    """The previous event next to the current one."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        before = memory or (None, None)
-        return (e["seq"], e[value]), [(e["seq"], e[value], before[0], before[1])]
-
-    return Step(
-        memory="seq bigint, value string",
-        output="seq bigint, current string, prev_seq bigint, previous string",
-        take=take,
-    )
-
-
-def history_step(value: str, length: int) -> Step:
-    """The last ``length`` values up to each event, oldest first."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        history = [*(memory[0] if memory else []), e[value]][-length:]
-        return (history,), [(e["seq"], history)]
-
-    return Step(memory="history array<string>", output="seq bigint, history array<string>", take=take)
-
-
-def consecutive_step(value: str, wanted: list[str]) -> Step:
-    """Adjacent events whose values are the wanted ones in turn; matches may overlap."""
-    keep = len(wanted) - 1
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        before, ids = memory or ([], [])
-        before, ids = [*before, e[value]], [*ids, e["seq"]]
-        sent = [(ids,)] if before == wanted else []
-        return (before[len(before) - min(keep, len(before)) :], ids[len(ids) - min(keep, len(ids)) :]), sent
-
-    return Step(memory="recent array<string>, ids array<bigint>", output="ids array<bigint>", take=take)
-
-
-def followed_step(value: str, first: str, second: str, within_us: int) -> Step:
-    """Each first event with the next second one less than ``within_us`` later, else a timeout.
-
-    The timeout is sent when the watermark passes the end of the wait.
-    """
-    # An event at the end of the wait is too late, so the wait is over just before it.
-    last = within_us - 1
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        ids, starts = memory or ([], [])
-        if e[value] == second:
-            return None, [(i, start, e["at"], "matched") for i, start in zip(ids, starts)]
-        if e[value] == first:
-            return ([*ids, e["seq"]], [*starts, e["at"]]), []
-        return memory, []
-
-    def fire(memory: tuple, at: int) -> tuple[Memory, list[tuple]]:
-        waiting = list(zip(*memory))
-        over = [(i, start, None, "timeout") for i, start in waiting if start + last <= at]
-        rest = [w for w in waiting if w[1] + last > at]
-        return (([i for i, _ in rest], [start for _, start in rest]) if rest else None), over
-
-    return Step(
-        memory="ids array<bigint>, starts array<bigint>",
-        output="seq bigint, start_us bigint, end_us bigint, status string",
-        take=take,
-        due=lambda memory: memory[1][0] + last if memory[1] else None,
-        fire=fire,
-    )
-
-
-def nth_avg_step(value: str, size: int) -> Step:
-    """Whole-number average of ``size`` events, sent at the event after them, which is dropped."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        total, count = memory or (0, 0)
-        if count == size:
-            return None, [(total // size,)]
-        return (total + e[value], count + 1), []
-
-    return Step(memory="total bigint, n bigint", output="avg_value bigint", take=take)
-
-
-def count_window_step(value: str, size: int) -> Step:
-    """Count, sum and bounds of each ``size`` successive events."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        first, total, count, window = memory or (e["seq"], 0, 0, 0)
-        first = e["seq"] if count == 0 else first
-        total, count = total + e[value], count + 1
-        if count == size:
-            return (e["seq"], 0, 0, window + 1), [(window, first, e["seq"], total)]
-        return (first, total, count, window), []
-
-    return Step(
-        memory="first bigint, total bigint, n bigint, window_no bigint",
-        output="window_no bigint, first_seq bigint, last_seq bigint, total bigint",
-        take=take,
-    )
-
-
-def count_window_sliding_step(value: str, size: int, slide: int) -> Step:
-    """After each ``slide`` events, the number and sum of the last ``size`` events, or fewer at the start."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        recent, count = memory or ([], 0)
-        recent, count = [*recent, e[value]][-size:], count + 1
-        return (recent, count), [(count, len(recent), sum(recent))] if count % slide == 0 else []
-
-    return Step(memory="recent array<bigint>, n bigint", output="position bigint, n bigint, total bigint", take=take)
-
-
-def running_count_step() -> Step:
-    """After each event, how many events its key has had."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        count = (memory[0] if memory else 0) + 1
-        return (count,), [(e["seq"], count)]
-
-    return Step(memory="n bigint", output="seq bigint, cnt bigint", take=take)
-
-
-def recent_avg_step(value: str, before: int) -> Step:
-    """Whole-number average over each event and the ``before`` events ahead of it."""
-
-    def take(memory: Memory, e: Row) -> tuple[Memory, list[tuple]]:
-        recent = [*(memory[0] if memory else []), e[value]][-(before + 1) :]
-        return (recent,), [(e["seq"], sum(recent) // len(recent))]
-
-    return Step(memory="recent array<bigint>", output="seq bigint, recent_avg bigint", take=take)
-
-
 def running_total_step(wait_us: int) -> Step:
     """Count since the beginning, sent ``wait_us`` after the first event since the last report."""
 
@@ -270,48 +139,6 @@ def running_total_step(wait_us: int) -> Step:
     )
 
 
-class WindowCounts(StatefulProcessor):
-    """Counts per fixed window in map state, sent and removed by a timer at the window's end."""
-
-    def __init__(self, size_ms: int) -> None:
-        self.size = size_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getMapState("counts", "start bigint", "n bigint")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        new: dict[int, int] = {}
-        for row in rows:
-            start = row["ms"] - row["ms"] % self.size
-            new[start] = new.get(start, 0) + row["n"]
-        for start, n in new.items():
-            old = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
-            self.counts.updateValue((start,), (old + n,))
-            self.handle.registerTimer(start + self.size - 1)
-        return iter(())
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        start = expiredTimerInfo.getExpiryTimeInMs() - self.size + 1
-        if self.counts.containsKey((start,)):
-            yield Row(key=key[0], start_ms=start, end_ms=start + self.size, cnt=self.counts.getValue((start,))[0])
-            self.counts.removeKey((start,))
-
-    def close(self) -> None:
-        pass
-
-
-def window_counts_by_state(df: DataFrame, *, key: str, ts: str, size_ms: int) -> DataFrame:
-    """Count per key and fixed window with explicit map state; ``windows.tumble`` does it declaratively."""
-    use_state_store(df)
-    kind = df.schema[key].dataType.simpleString()
-    ready = df.select(F.col(key).alias("key"), ts, F.unix_millis(ts).alias("ms"), F.lit(1).cast("bigint").alias("n"))
-    counted = ready.groupBy("key").transformWithState(
-        WindowCounts(size_ms), f"key {kind}, start_ms bigint, end_ms bigint, cnt bigint", "append", "EventTime"
-    )
-    return counted.withColumnRenamed("key", key)
-
-
 class Alarms(StatefulProcessor):
     """Sets a timer for each event and tells when it was set and when it rang."""
 

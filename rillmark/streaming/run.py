@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillmark.session import shared_folder
-from rillmark.sinks.writers import checkpointed, latest_per_key, merge_batch
+from rillmark.sinks.keyed import KeyedSink, KeyedTable
+from rillmark.sinks.writers import checkpointed, merge_batch
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -29,22 +29,28 @@ def drain_appended(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{path}/out")
 
 
-def drain_updated(df: DataFrame, key: list[str]) -> DataFrame:
-    """The current rows of an update-mode stream, merged by key."""
+def drain_updated(df: DataFrame, key: list[str], buckets: int = 8) -> DataFrame:
+    """The current row of each key of an update-mode stream."""
     spark = df.sparkSession
     path = shared_folder(spark, "stream")
-    drain(df.writeStream.outputMode("update").foreachBatch(merge_batch(f"{path}/out")), f"{path}/checkpoint")
-    return latest_per_key(spark.read.parquet(f"{path}/out"), key)
+    table = KeyedTable(spark, f"{path}/rows", df.schema, key, buckets)
+    drain(df.writeStream.outputMode("update").foreachBatch(KeyedSink(table)), f"{path}/checkpoint")
+    return table.read()
 
 
 def drain_complete(df: DataFrame) -> DataFrame:
     """The whole result of a complete-mode stream after its last micro-batch."""
     spark = df.sparkSession
     path = shared_folder(spark, "stream")
-    drain(df.writeStream.outputMode("complete").foreachBatch(merge_batch(f"{path}/out")), f"{path}/checkpoint")
-    written = spark.read.parquet(f"{path}/out")
-    last = written.agg(F.max("batch")).first()[0]
-    return written.filter(F.col("batch") == last).drop("batch")
+    last = -1
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        nonlocal last
+        merge_batch(f"{path}/out")(rows, batch_id)
+        last = batch_id
+
+    drain(df.writeStream.outputMode("complete").foreachBatch(sink), f"{path}/checkpoint")
+    return spark.read.schema(df.schema).parquet(f"{path}/out/batch={last}") if last >= 0 else spark.createDataFrame([], df.schema)
 
 
 def drain_each(df: DataFrame, sink: Callable[[DataFrame, int], None]) -> None:

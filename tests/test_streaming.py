@@ -6,14 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmark.functions.time import event_time
-from rillmark.operators import aggregates, joins, patterns, ranking, state, windows
+from rillmark.operators import aggregates, joins, patterns, ranking, windows
+from rillmark.operators.ordered import with_position, with_row_frames
 from rillmark.session import shared_folder
 from rillmark.sinks import writers
+from rillmark.sinks.keyed import KeyedTable, added, newest
+from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming import processors as proc
 from rillmark.streaming.eventtime import WatermarkLog, current_watermark, with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
 from rillmark.streaming.leader import LeaderSink, counts_with_last, stream_top_overall
+from rillmark.streaming.live import LiveCounts
+from rillmark.streaming.rules import RulesInForce, rules_and_actions
 from rillmark.streaming.run import drain, drain_appended, drain_each, drain_updated
+from rillmark.streaming.turns import InTurn, Turn
 
 FAR = 10_000_000
 
@@ -54,53 +60,176 @@ def table(spark):
     return spark.createDataFrame(data, EVENTS).withColumn("ts", event_time("ms"))
 
 
-def ordered(spark, step, keep):
-    _, stream = play(spark)
-    found = proc.in_order(stream, key="user", ts="ts", seq="seq", keep=keep, step=step)
-    return drain_appended(found).filter(F.col("user") != "end")
+def in_turn(spark, step, reach=1, carry=None, slice_rows=None, delay_ms=5000, play=play):
+    _, stream = play(spark, "0 seconds")
+    sink = InTurn(
+        spark, shared_folder(spark, "turns"), stream.schema, key="user", ts="ts", seq="seq", delay_ms=delay_ms, step=step, reach=reach,
+        carry=carry, slice_rows=slice_rows,
+    )
+    drain_each(stream, sink)
+    assert sink.late(spark).count() == 0
+    return sink.sent(spark).filter("user != 'end' OR user IS NULL")
 
 
-def test_previous_event_equals_batch(spark, table):
-    got = ordered(spark, proc.previous_step("kind"), ["kind"])
-    want = state.previous_event(table, key="user", order=["ms", "seq"], keep=["kind"])
-    none = F.lit("-")
-    assert rows(got, "user", "seq", "current", F.coalesce("previous", none)) == rows(
-        want, "user", "seq", "kind", F.coalesce("prev_kind", none)
-    )
+ORDER = ["ts", "seq"]
+
 
+def hot_play(spark, delay="5 seconds"):
+    """A third of the rows on one key, nulls in value and key, six lots."""
+    data = [("hot" if i % 3 == 0 else None if i % 7 == 1 else f"u{i % 5}", i, 1000 + i * 400, None if i % 4 == 0 else "ab"[i % 2]) for i in range(120)]
+    disordered = sorted(data, key=lambda r: r[2] + (r[1] % 4) * 1100)
+    batches = [disordered[i : i + 20] for i in range(0, 120, 20)] + [[("end", 999, FAR, "end")]]
+    return data, timed(spark, batches, EVENTS, delay)
 
-def test_history_equals_batch(spark, table):
-    got = ordered(spark, proc.history_step("kind", 3), ["kind"])
-    want = state.recent_history(table, key="user", order=["ms", "seq"], value="kind", length=3)
-    assert rows(got, "user", "seq", "history") == rows(want, "user", "seq", "history")
 
+@pytest.fixture(scope="module", params=[None, 4])
+def slices(request):
+    """Rows a task may sort: many, or so few that keys are cut."""
+    return request.param
+
+
+def table_of(spark, data):
+    return spark.createDataFrame(data, EVENTS).withColumn("ts", event_time("ms"))
+
+
+def test_carried_rows_equal_batch(spark, slices):
+    """Previous value, history, sliding average and adjacent events over hot and null keys, in many batches."""
+    data, _ = hot_play(spark)
+    table = table_of(spark, data)
+
+    def step(rows_of, turn):
+        frame = lambda w: w.rowsBetween(-3, 0)
+        seen = with_row_frames(
+            rows_of, keys="user", order=ORDER, before=3, slice_rows=turn.slice_rows,
+            columns={
+                "previous": lambda w: F.lag("kind").over(w),
+                "history": lambda w: F.collect_list("kind").over(frame(w)),
+                "recent": lambda w: F.sum(F.when(F.col("kind") == "a", F.col("ms"))).over(frame(w)),
+            },
+        )
+        return seen.filter("_new").select("user", "seq", "previous", "history", "recent", "position")
+
+    got = in_turn(spark, step, reach=3, slice_rows=slices, play=hot_play)
+    whole = with_position(table, keys="user", order=ORDER)
+    want = step(whole.withColumn("_new", F.lit(True)), Turn(0, None))
+    columns = [F.coalesce("user", F.lit("-")), "seq", F.coalesce("previous", F.lit("-")), "history", F.coalesce("recent", F.lit(-1)), "position"]
+    assert rows(got, *columns) == rows(want, *columns)
+    assert got.count() == 120
 
-def test_consecutive_equals_batch(spark, table):
-    got = ordered(spark, proc.consecutive_step("kind", ["error"] * 2), ["kind"])
-    want = patterns.consecutive_times(
-        table, key="user", order=["ms", "seq"], condition=F.col("kind") == "error", times=2, value="seq"
-    )
-    assert rows(got, "user", "ids") == rows(want, "user", "values") != []
 
+def test_count_windows_in_turn_equal_batch(spark, slices):
+    data, _ = hot_play(spark)
+    table = table_of(spark, data)
+    aggs = [F.min("seq").alias("first"), F.sum("ms").alias("total")]
+    user = F.coalesce("user", F.lit("-"))
+    got = in_turn(spark, lambda r, _: windows.count_window_at(r, key="user", position="position", size=4, aggs=aggs), reach=3, slice_rows=slices, play=hot_play)
+    want = windows.count_window(table, key="user", order=ORDER, size=4, aggs=aggs)
+    assert rows(got, user, "window_no", "first", "total") == rows(want, user, "window_no", "first", "total")
+    got = in_turn(spark, lambda r, _: aggregates.nth_avg_at(r, key="user", position="position", value="ms", size=5), reach=5, slice_rows=slices, play=hot_play)
+    want = aggregates.every_nth_avg(table, key="user", order=ORDER, value=F.col("ms"), size=5)
+    assert rows(got, user, "avg_value") == rows(want, user, "avg_value") != []
 
-def test_followed_by_equals_batch(spark, table):
-    got = ordered(spark, proc.followed_step("kind", "order", "payment", 3_000_000), ["kind"])
+
+def test_open_patterns_are_carried(spark, table):
+    def found(rows_of, turn):
+        return patterns.followed_by_within(
+            rows_of, key="user", order=ORDER, ts="ts", first=F.col("kind") == "order", second=F.col("kind") == "payment",
+            within="3 seconds", keep=["seq", "position"], slice_rows=turn.slice_rows,
+        )
+
+    def over(turn):
+        return F.unix_micros("start_ts") + 3_000_000 <= F.lit(turn.watermark)
+
+    def step(rows_of, turn):
+        return found(rows_of, turn).filter((F.col("status") == "matched") | over(turn))
+
+    def carry(rows_of, turn):
+        still = found(rows_of, turn).filter((F.col("status") != "matched") & ~over(turn))
+        return still.select("user", "seq", F.unix_millis("start_ts").alias("ms"), F.lit("order").alias("kind"), F.col("start_ts").alias("ts"), "position")
+
+    got = in_turn(spark, step, carry=carry)
     want = patterns.followed_by_within(
         table, key="user", order=["ms", "seq"], ts="ts", first=F.col("kind") == "order",
         second=F.col("kind") == "payment", within="3 seconds", keep="seq",
     )
-    found = rows(got, "user", "seq", "status", F.coalesce("end_us", F.lit(-1)))
-    assert found == rows(want, "user", "seq", "status", F.coalesce(F.unix_micros("end_ts"), F.lit(-1)))
-    assert {r[2] for r in found} == {"matched", "timeout"}
+    columns = ("user", "seq", "status", F.coalesce(F.unix_micros("end_ts"), F.lit(-1)))
+    assert rows(got, *columns) == rows(want, *columns)
+    assert {r[2] for r in rows(got, *columns)} == {"matched", "timeout"}
+
+
+def test_a_replayed_turn_changes_nothing(spark):
+    schema = spark.createDataFrame([], EVENTS).withColumn("ts", event_time("ms")).schema
+    sink = InTurn(
+        spark, shared_folder(spark, "replay"), schema, key="user", ts="ts", seq="seq", delay_ms=2000,
+        step=lambda r, _: r.filter("_new").select("user", "seq", "position"),
+    )
+    lots = [[("a", 1, 1000, "x"), ("a", 3, 4500, "x")], [("a", 2, 3000, "x"), ("a", 5, 9000, "x")], [("a", 4, 2000, "x"), ("a", 6, 20_000, "x"), ("b", 7, 30_000, "x")]]
+    for k in (0, 1, 1, 2, 2):
+        sink(table_of(spark, lots[k]), k)
+    assert rows(sink.sent(spark), "seq", "position") == [(1, 1), (2, 2), (3, 3), (5, 4), (6, 5)]
+    assert rows(sink.late(spark), "seq") == [(4,)]
+
+
+def test_rules_change_while_actions_stream(spark):
+    acts = [[("a", 1, 1000, "view"), ("a", 3, 3000, "click")], [("a", 4, 4000, "view"), ("a", 6, 6000, "click"), ("a", 7, 7000, "view")], [("a", 9, 9000, "pay"), ("end", 99, FAR, "x")]]
+    rules = [[(2, 2000, "view", "click")], [(5, 5000, "view", "pay")], []]
+    actions = files(spark, acts, EVENTS).withColumn("ts", event_time("ms")).drop("ms")
+    came = files(spark, rules, "seq bigint, ms bigint, action1 string, action2 string").withColumn("ts", event_time("ms")).drop("ms")
+    both = rules_and_actions(actions, came, key="user")
+    sink = RulesInForce(spark, shared_folder(spark, "rules"), both.schema, key="user", ts="ts", seq="seq", action="kind", delay_ms=2500)
+    drain_each(both, sink)
+    # the second rule comes before the second click, so only what was in force at each action counts
+    assert rows(sink.sent(spark), "seq", "action2") == [(3, "click"), (9, "pay")]
+
+
+def test_keyed_table_keeps_two_versions(spark):
+    from pathlib import Path
+
+    folder = shared_folder(spark, "keyed")
+    schema = spark.createDataFrame([], "k string, n bigint").schema
+    table = KeyedTable(spark, folder, schema, "k", buckets=4)
+    sizes = []
+    for batch in range(6):
+        for _ in range(2):  # each batch is replayed
+            new = spark.createDataFrame([(f"k{i % 5}", batch) for i in range(5)] + [(None, 1)], schema)
+            table.merge(batch, new.distinct(), added("k", "n"))
+        sizes.append(sum(1 for p in Path(folder.removeprefix("file://")).rglob("*.parquet")))
+    assert rows(table.read(), F.coalesce("k", F.lit("-")), "n") == [("-", 6), *[(f"k{i}", 15) for i in range(5)]]
+    assert sizes[-1] == sizes[2]
+    assert table.last_batch() == 5 and table.last_batch(before=5) == 4
+    # an untouched bucket stays where it is
+    before = table.manifest(5)
+    table.merge(6, spark.createDataFrame([("k0", 1)], schema), newest("k"))
+    assert sum(before[b] != at for b, at in table.manifest(6).items()) == 1
+    assert rows(table.read().filter("k = 'k0'"), "n") == [(1,)]
+
+
+def test_live_counts_are_seen_at_once(spark):
+    folder = shared_folder(spark, "live")
+    schema = spark.createDataFrame([], EVENTS).withColumn("ts", event_time("ms")).schema
+    live = LiveCounts(spark, folder, schema, key="user", ts="ts", size="10 seconds", delay_ms=2000, lateness_ms=5000)
+    lots = [[("a", 1, 1000, "x"), ("b", 2, 12_000, "x")], [("a", 3, 9000, "x"), ("a", 4, 30_000, "x")], [("a", 5, 9500, "x"), ("b", 6, 21_000, "x")]]
+    start = F.unix_millis("window_start")
+    live(table_of(spark, lots[0]), 0)
+    assert rows(live.updates(spark), "batch", "user", start, "cnt") == [(0, "a", 0, 1), (0, "b", 10_000, 1)]
+    for k in (1, 1, 2):
+        live(table_of(spark, lots[k]), k)
+    assert rows(live.updates(spark).filter("batch > 0"), "batch", "user", start, "cnt") == [
+        (1, "a", 0, 2), (1, "a", 30_000, 1), (2, "b", 20_000, 1)
+    ]
+    assert rows(live.late(spark), "seq") == [(5,)]
+    assert rows(live.counts.read(), "user", start, "cnt") == [("a", 0, 2), ("a", 30_000, 1), ("b", 10_000, 1), ("b", 20_000, 1)]
 
 
-def test_count_windows_and_averages_equal_batch(spark, table):
-    got = ordered(spark, proc.nth_avg_step("ms", 5), ["ms"])
-    want = aggregates.every_nth_avg(table, key="user", order=["ms", "seq"], value=F.col("ms"), size=5)
-    assert rows(got, "user", "avg_value") == rows(want, "user", "avg_value")
-    got = ordered(spark, proc.recent_avg_step("ms", 5), ["ms"])
-    want = aggregates.recent_avg(table, key="user", order=["ms", "seq"], value=F.col("ms"), before=5)
-    assert rows(got, "user", "seq", "recent_avg") == rows(want, "user", "seq", "recent_avg")
+def test_lots_arrive_in_order(spark):
+    folder = shared_folder(spark, "lots")
+    table = table_of(spark, [("a", i, i * 1000, "x") for i in range(50)] + [("a", 99, None, "x")])
+    write_lots(table, folder, ts="ts", lots=5, delay=(F.col("seq") % 3) * 2_000_000)
+    seen = []
+    drain_each(lots_stream(spark, folder, table.schema), lambda df, k: seen.append((k, sorted(r["seq"] for r in df.collect()))))
+    assert [k for k, _ in seen] == list(range(5))
+    assert sorted(x for _, some in seen for x in some) == [*range(50), 99]
+    assert any(max(a[1]) > min(b[1]) for a, b in zip(seen, seen[1:]))
 
 
 def test_running_total_is_reported_after_the_wait(spark):
@@ -112,15 +241,6 @@ def test_running_total_is_reported_after_the_wait(spark):
     assert found == [(4_000_000, 3), (7_001_000, 4), (12_000_000, 5)]
 
 
-def test_map_state_window_equals_tumble(spark, table):
-    _, stream = play(spark)
-    got = drain_appended(proc.window_counts_by_state(stream, key="user", ts="ts", size_ms=10_000))
-    want = windows.tumble(table, ts="ts", size="10 seconds", key="user")
-    assert rows(got.filter(F.col("user") != "end"), "user", "start_ms", "cnt") == rows(
-        want, "user", F.unix_millis("window_start"), "cnt"
-    )
-
-
 def test_event_time_alarms_ring_once_per_time(spark):
     stream = timed(spark, [[("a", 1, 1000, "x"), ("a", 2, 1000, "x"), ("b", 3, 2000, "x")], [("end", 9, FAR, "x")]], EVENTS)
     told = drain_appended(proc.alarms(stream, key="user", ts="ts", wait_ms=10_000))
@@ -234,9 +354,7 @@ def test_a_replayed_batch_takes_effect_once(spark):
     second = spark.createDataFrame([("a", 2)], "k string, n bigint")
     for df, batch in ((first, 0), (second, 1), (second, 1)):
         sink(df, batch)
-    merged = spark.read.parquet(path)
-    assert merged.count() == 3
-    assert rows(writers.latest_per_key(merged, "k"), "k", "n") == [("a", 2), ("b", 1)]
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_leader_and_top_of_a_stream(spark):
