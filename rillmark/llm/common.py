@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from rillmark.session import shared_folder
 
 SPACES = r"[\x20\x09-\x0D]+"
+ROW_GROUP_BYTES = 16 << 20
+#: Rows of a few numbers or one hash that may be sent to every task: some 100 MB at most.
+NARROW_ROWS = 1_000_000
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -22,10 +25,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     every executor can reach.
     """
     folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    # a writer holds one row group in memory, which long texts make large
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def bounded(narrow: DataFrame) -> DataFrame:
+    """A stored table of a few numbers or a hash per row, sent to every task if it has ``NARROW_ROWS`` rows at most.
+
+    So the texts that it is joined with stay where they are. Beyond that Spark joins by shuffling both sides.
+    """
+    return F.broadcast(narrow) if narrow.count() <= NARROW_ROWS else narrow
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import SPACES, stored, text_or_empty
+from rillmark.llm.common import SPACES, bounded, stored, text_or_empty
 
 
 def normalised(text_col: str) -> Column:
@@ -51,14 +51,14 @@ def exact_dedup(
         left = keys.join(heads, ["_n", "_head"], "left_semi")
         single = keys.join(heads, ["_n", "_head"], "left_anti")
     else:
-        # the full text is hashed only where its length and head recur; Spark broadcasts the heads if their files are small
+        # the full text is hashed only where its length and head recur
         flagged = docs.select(F.col(id_col).alias("_id"), norm.alias("_norm")).select(
             "_id",
             F.length("_norm").alias("_n"),
             F.xxhash64(F.substring("_norm", 1, prefix_chars)).alias("_head"),
             F.col("_norm"),
         )
-        left = flagged.join(heads, ["_n", "_head"], "left_semi").select("_id", F.unhex(F.sha2("_norm", 256)).alias("_full"))
+        left = flagged.join(bounded(heads), ["_n", "_head"], "left_semi").select("_id", F.unhex(F.sha2("_norm", 256)).alias("_full"))
         left = stored(left, "exact-full")
         single = keys.join(heads, ["_n", "_head"], "left_anti").withColumn("_full", F.lit(None).cast("binary"))
     groups = left.groupBy("_full").agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size")).filter("_size > 1")
@@ -82,9 +82,13 @@ def exact_dedup(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, all columns unchanged.
 
-    Rows are dropped by id and full hash together, so an id that is used for two texts loses only the copy.
+    Rows are dropped by id and full hash together, so an id that is used for two texts loses only the copy. Texts are
+    hashed only where their length and head recur, and again where their id is to be dropped. No text is shuffled as long as
+    the rows to drop are no more than ``NARROW_ROWS``. Nulls, empty texts, repeated rows, other columns: see ``exact_dedup``;
+    an empty table stays empty.
     """
-    verdict = exact_dedup(docs, id_col, text_col, digest_all=True).filter(~F.col("kept"))
+    verdict = exact_dedup(docs, id_col, text_col).filter(~F.col("kept"))
     drop = stored(verdict.select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_full")).distinct(), "exact-drop")
-    same = F.col(f"d.{id_col}").eqNullSafe(F.col("x._id")) & (F.unhex(F.sha2(normalised(f"d.{text_col}"), 256)) == F.col("x._full"))
-    return docs.alias("d").join(drop.alias("x"), same, "left_anti")
+    # not an equality to join on, so it is looked at only where the id is one to drop
+    copy = F.coalesce(F.unhex(F.sha2(normalised(f"d.{text_col}"), 256)) == F.col("x._full"), F.lit(False))
+    return docs.alias("d").join(bounded(drop).alias("x"), F.col(f"d.{id_col}").eqNullSafe(F.col("x._id")) & copy, "left_anti")

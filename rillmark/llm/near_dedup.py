@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rillmark.llm.common import map_batches, stored, text_or_empty
+from rillmark.llm.common import bounded, map_batches, stored, text_or_empty
 from rillmark.llm.components import components
 from rillmark.llm.minhash import band_hashes, rows_per_band, set_digest, shingle_set, super_minhash
 
@@ -18,7 +19,7 @@ TURNS = 5
 #: Places in which occurrences of shingles are counted. What counts is how they compare, which doesn't change with size.
 COUNTS = 1 << 18
 #: Shingles whose signatures are made together.
-TOGETHER = 200_000
+TOGETHER = 50_000
 
 
 def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
@@ -59,13 +60,15 @@ def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``id, shingles``: the whole shingle set as sorted 64-bit numbers."""
+    """``id, d1, d2, shingles``: the whole shingle set as sorted 64-bit numbers, and its digest."""
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+        digests = [pa.array(d, pa.int64()) for d in zip(*(set_digest(s) for s in sets))]
+        raw = pa.array([s.tobytes() for s in sets], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), *digests, raw], names=["id", "d1", "d2", "shingles"])
 
-    return map_batches(docs, whole, "id bigint, shingles binary")
+    return map_batches(docs, whole, "id bigint, d1 bigint, d2 bigint, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -118,17 +121,48 @@ def near_dedup(
     * Rows with a null id are reported, linked with nothing and kept. Rows that repeat an id each follow their own text.
     * Ids are whole numbers. Other columns are ignored. An empty table gives an empty result.
     """
+    found, _ = near_components(docs, id_col, text_col, words, percent, signature)
+    return found.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
+def near_components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, signature: int = 192) -> tuple[DataFrame, DataFrame]:
+    """(id, n, d1, d2, component) per document, and the ids that are used for different sets.
+
+    The classes of such an id are nodes of their own, with a number made of id and digest; of all others the id is the node.
+    """
     rows = rows_per_band(signature, percent / 100)
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
     sketched = stored(sketches(source, words, signature, rows), "near-sketch")
     there = sketched.filter("n > 0 AND id IS NOT NULL")
-    classes = there.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    digest = F.struct("d1", "d2")
+    twice = there.groupBy("id").agg(F.min(digest).alias("low"), F.max(digest).alias("high")).filter("low != high").select("id")
+    twice = stored(twice, "near-twice")
+    none_twice = twice.isEmpty()
+
+    def noded(df: DataFrame) -> DataFrame:
+        if none_twice:
+            return df.withColumn("node", F.col("id"))
+        marked = df.join(twice.withColumn("_twice", F.lit(True)), "id", "left")
+        return marked.withColumn("node", F.when(F.col("_twice"), F.xxhash64("id", "d1", "d2")).otherwise(F.col("id"))).drop("_twice")
+
+    classes = noded(there).groupBy("d1", "d2").agg(
+        F.min("node").alias("rep"), F.min("id").alias("least"), F.min_by("id", "node").alias("id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
+    )
     classes = stored(classes, "near-classes")
 
     each = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
     members = shared(each)
-    wanted = stored(members.select(F.col("rep").alias("id")).distinct(), "near-wanted")
-    sets = stored(full_sets(source.join(wanted, "id", "left_semi"), words), "near-sets")
+    wanted = stored(members.select("rep").distinct().join(classes.select("rep", "id"), "rep"), "near-wanted")
+    sets = noded(full_sets(source.join(wanted.select("id").distinct(), "id", "left_semi"), words))
+    if not none_twice:
+        # of an id that is used twice only the set asked for, and that once
+        sets = sets.join(wanted.select(F.col("rep").alias("node")), "node", "left_semi").dropDuplicates(["node"])
+    sets = stored(sets.select(F.col("node").alias("id"), "shingles"), "near-sets")
 
     stars = members.filter("rep != center").filter(alike(percent)).select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = stored(confirmed(stars, sets, percent), "near-links")
@@ -144,15 +178,15 @@ def near_dedup(
     labels = components(links, "a", "b")
 
     belongs = classes.join(labels, classes["rep"] == labels["node"], "left")
-    belongs = stored(belongs.select("d1", "d2", F.coalesce("component", "rep").alias("component")), "near-belongs")
+    belongs = belongs.select("d1", "d2", "least", F.coalesce("component", "rep").alias("component"))
+    if not none_twice:
+        # a component is named after its smallest id, also where a node is no id
+        lowest = belongs.groupBy("component").agg(F.min("least").alias("low"))
+        belongs = belongs.join(lowest, "component").select("d1", "d2", F.col("low").alias("component"))
+    belongs = stored(belongs.select("d1", "d2", "component"), "near-belongs")
     result = sketched.drop("bands").join(belongs, ["d1", "d2"], "left")
     own = F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("id"))
-    return result.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        own.alias("component_id"),
-        F.col("id").eqNullSafe(own).alias("kept"),
-    )
+    return result.withColumn("component", own).select("id", "n", "d1", "d2", "component"), twice
 
 
 def shared(each: DataFrame) -> DataFrame:
@@ -235,7 +269,28 @@ def rare_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay, one of each component, all columns unchanged. Rows without an id stay."""
-    verdict = near_dedup(docs, id_col, text_col, words, percent).filter(~F.col("kept"))
-    drop = stored(verdict.select(F.col(id_col).alias("_id")).distinct(), "near-drop")
-    return docs.alias("d").join(drop.alias("x"), F.col(f"d.{id_col}") == F.col("x._id"), "left_anti")
+    """The documents that stay, one of each component, all columns unchanged.
+
+    Of an id that is used for different texts only the rows whose set of shingles is a copy's go. Rows without an id and
+    texts without words stay, and so do rows that repeat the one that stays. No text is shuffled as long as the ids to drop are
+    no more than ``NARROW_ROWS``. An empty table stays empty; other columns may have any name.
+    """
+    found, twice = near_components(docs, id_col, text_col, words, percent)
+    drop = found.filter("id IS NOT NULL AND id != component").select(F.col("id").alias("_id"), F.col("d1").alias("_d1"), F.col("d2").alias("_d2"))
+    drop = stored(drop.distinct(), "near-drop")
+    same_id = F.col(f"d.{id_col}").cast("bigint") == F.col("x._id")
+    if twice.isEmpty():
+        return docs.alias("d").join(bounded(drop.select("_id")).alias("x"), same_id, "left_anti")
+    several = bounded(twice.select(F.col("id").alias("_id"))).alias("x")
+    single = docs.alias("d").join(several, same_id, "left_anti").alias("d").join(bounded(drop.select("_id")).alias("x"), same_id, "left_anti")
+    place = docs.columns.index(text_col)
+
+    def digested(batch: pa.RecordBatch) -> pa.RecordBatch:
+        digests = [set_digest(shingle_set(t.as_py() or "", words)) for t in batch.column(place)]
+        more = [pa.array(d, pa.int64()) for d in zip(*digests)]
+        return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "_near_d1", "_near_d2"])
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(f"_near_d{k}", T.LongType()) for k in (1, 2))])
+    rest = map_batches(docs.alias("d").join(several, same_id, "left_semi"), digested, schema)
+    copy = same_id & (F.col("d._near_d1") == F.col("x._d1")) & (F.col("d._near_d2") == F.col("x._d2"))
+    return single.unionByName(rest.alias("d").join(bounded(drop).alias("x"), copy, "left_anti").drop("_near_d1", "_near_d2"))

@@ -145,3 +145,16 @@ def test_suffix_dedup_segments_and_empty(spark, tmp_path, monkeypatch):
     assert sorted(repr(tuple(r)) for r in suffix_dedup(docs).collect()) == brute_strings(rows, 200)
     assert suffix_dedup(docs.limit(0)).count() == 0
     assert Segment is own.Segment
+
+
+def test_an_id_used_twice_loses_only_its_own_copy(spark):
+    base, other = prose(41, 150), prose(42, 150)
+    near = base.split(" ")
+    near[70] = "changed"
+    rows = [(1, base), (12, " ".join(near)), (12, other), (12, other), (13, other + " more"), (14, None), (14, ""), (None, base)]
+    kept = drop_near_copies(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(1, base), (12, other), (12, other), (14, ""), (14, ""), (0, base)])
+    found = near_dedup(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == sorted(
+        [(1, 1, True), (12, 1, False), (12, 12, True), (12, 12, True), (13, 12, False), (14, 14, True), (14, 14, True), (0, 0, True)]
+    )
