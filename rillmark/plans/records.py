@@ -322,15 +322,6 @@ def u1_sql(t: Tables) -> DataFrame:
     )
 
 
-@query("u1_string_hash_arrow", HASH_ORACLE)
-def u1_arrow(t: Tables) -> DataFrame:
-    """The same once per distinct text, as a function that had to leave the JVM would be called."""
-    return t.register("events").sql(
-        "SELECT event_type, string_hash(event_type) AS hash, n "
-        "FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)"
-    )
-
-
 # Every third address is made to end in the separator.
 ENDED = "CASE WHEN page_id % 3 = 0 THEN url || '?' ELSE url END"
 PARTS = f"""
@@ -400,18 +391,6 @@ def r4(t: Tables) -> DataFrame:
     return kept(distribute.rescale(distribute.round_robin(t.events, 8), 4, 8))
 
 
-@query("r5_copy_to_all", "SELECT CAST(p AS INTEGER) AS part, count(*) AS n FROM nation, range(4) r(p) GROUP BY 1")
-def r5(t: Tables) -> DataFrame:
-    copies = distribute.copy_to_all(t.table("nation"), 4)
-    return copies.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("r6_to_one_task", "SELECT CAST(0 AS INTEGER) AS part, count(*) AS n FROM nation")
-def r6(t: Tables) -> DataFrame:
-    one = distribute.to_one_task(t.table("nation"), F.count(F.lit(1)).alias("n"))
-    return one.select(F.spark_partition_id().alias("part"), "n")
-
-
 @query("r7_by_rule", "SELECT event_id, CAST(event_id % 2 AS INTEGER) AS part FROM events")
 def r7(t: Tables) -> DataFrame:
     placed = distribute.by_rule(t.events.select("event_id"), 4, F.col("event_id") % 2)

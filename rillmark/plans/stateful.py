@@ -215,15 +215,6 @@ def t7(t: Tables) -> DataFrame:
     return late.timer_firings(t.events, key="user_id", ts="ts", after="10 hours")
 
 
-@query("t9_watermark_trace", f"""
-    SELECT event_id, max(ts) OVER (ORDER BY arrival, event_id) - INTERVAL '2 hours' AS watermark FROM ({ARRIVED})""")
-def t9(t: Tables) -> DataFrame:
-    seen = late.with_watermark_replay(
-        arrived(t), ts="ts", arrival=["arrival", "event_id"], delay="2 hours", before_record=False
-    )
-    return seen.select("event_id", "watermark")
-
-
 # Per-key state.
 
 

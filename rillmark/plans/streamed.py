@@ -257,11 +257,6 @@ def j3(t: Tables) -> DataFrame:
     return checked_bills(t)
 
 
-@query("j3_stream_bill_matches", f"SELECT * FROM ({BILLS}) WHERE status = 'match'")
-def j3_matches(t: Tables) -> DataFrame:
-    return checked_bills(t).filter(F.col("status") == "match")
-
-
 @query("j2_stream_fan_out", """
     SELECT event_id, user_id, CASE event_type WHEN 'click' THEN 'click' WHEN 'view' THEN 'view' ELSE 'other' END AS channel
     FROM events""")

@@ -348,17 +348,16 @@ def test_records_are_parsed_or_rejected(spark):
     assert got(rejected(parsed), "reject") == [("a,b,1,d",), ("a,b,c",), ("broken",)]
 
 
-def test_csv_table_golden_rows(spark):
-    users = ["Catalina", "Josh", "Silvia", "Catalina", "Josh", "Silvia", "Silvia", "Josh"]
-    urls = ["home", "cart", "detail", "cart", "detail", "order", "payment", "order"]
-    path = shared_folder(spark, "clicks")
-    lines = [(f"{u},./{p},{i}000L",) for i, (u, p) in enumerate(zip(users, urls), 1)]
-    spark.createDataFrame(lines, "value string").write.text(path)
-    table = csv_table(spark, path, "user_name string, url string, ts string", view="click_file")
-    found = spark.sql("SELECT user_name, url FROM click_file WHERE user_name = 'Catalina'")
-    assert got(found, "user_name", "url") == [("Catalina", "./cart"), ("Catalina", "./home")]
-    assert got(aggregates.count_by(table, "user_name"), "user_name", "cnt") == [("Catalina", 2), ("Josh", 3), ("Silvia", 3)]
-    assert got(table.select(parse_long("ts").alias("ms")), "ms") == [(i * 1000,) for i in range(1, 9)]
+def test_csv_table_rows_by_name_and_type(spark):
+    """Invented rows: a quoted separator, an empty field, an umlaut and a number that is none."""
+    path = shared_folder(spark, "visits")
+    lines = ['Ines,"/a,b",17L', "Örn,,250L", "Ines,/c,9L", "Örn,/c,none"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    table = csv_table(spark, path, "visitor string, page string, at string", view="visits")
+    found = spark.sql("SELECT page FROM visits WHERE visitor = 'Ines'")
+    assert got(found, "page") == [("/a,b",), ("/c",)]
+    assert got(aggregates.count_by(table, "visitor"), "visitor", "cnt") == [("Ines", 2), ("Örn", 2)]
+    assert got(table.filter("page = '/c'").select(F.coalesce(parse_long("at"), F.lit(-1)).alias("ms")), "ms") == [(-1,), (9,)]
 
 
 def test_table_attributes_and_text(spark):
