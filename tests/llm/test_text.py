@@ -171,6 +171,24 @@ def test_toxicity_held_out():
     assert all(p[0] >= p[1] for p in above) and list(model.thresholds) == sorted(model.thresholds)
 
 
+def test_toxicity_on_held_out_labels():
+    """Half of the given labels teach, the other half are foretold."""
+    import pyarrow.parquet as pq
+
+    from rillmark.llm.toxicity import Scorer, fit_tuned
+
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (pq.read_table(f"{folder}/{n}.parquet").to_pydict() for n in ("documents", "labels"))
+    toxic = dict(zip(labels["doc_id"], labels["toxic"]))
+    rows = [(t, toxic[i]) for i, t in zip(docs["doc_id"], docs["text"]) if toxic.get(i) is not None]
+    taught, held = rows[::2], rows[1::2]
+    model = fit_tuned([np.array(features(t), dtype="<i4") for t, _ in taught], np.array([x for _, x in taught]))
+    scorer = Scorer(model)
+    called = np.array([model.above(scorer.score(t))[0] >= model.cut for t, _ in held])
+    true = np.array([x for _, x in held]) == 1
+    assert called[true].mean() >= 0.87 and (~called[~true]).mean() >= 0.97
+
+
 def test_toxicity_tables(spark):
     rows = labelled(200, 4)
     docs = documents(spark, [(k, t) for k, t, _ in rows] + [(None, None), (900, ""), (900, "vile foul " + prose(1, 30)), (901, prose(2, 30_000))])
