@@ -23,12 +23,23 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Fixed value: how the vocabulary with word ends splits text.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 LATIN = "\xff"
+MARKS = frozenset(".,;:!?")
 #: Characters of text that are cut into chunks at a time.
 SEGMENT = 1 << 20
 #: Longer chunks are encoded but not kept.
 KEEP_CHARS = 64
 
 
+def units_of(part: str) -> tuple[str, ...] | list[str]:
+    """What the splitting makes of a chunk: letters alone, or with one mark after them, are told at once."""
+    low = part.lower()
+    if low.isalpha():
+        return (low,)
+    if low[-1:] in MARKS and low[:-1].isalpha():
+        return (low[:-1], low[-1])
+    return SPLIT.findall(low)
+
+
 def vocabulary_path(name: str) -> str:
     """A path as it is, or the place of a file of the public vocabularies."""
     if os.path.sep in name:
@@ -46,7 +57,7 @@ def encoder_for(vocabulary: str, spaces: str) -> ChunkEncoder:
 class ChunkEncoder:
     """Ids as little-endian unsigned 32-bit bytes.
 
-    ``cache_entries`` bounds the cache. It has two halves: when the new one is full it becomes the old one, from which
+    ``cache_entries`` bounds the cache, and half of it the units of split chunks. The cache has two halves: when the new one is full it becomes the old one, from which
     chunks that are met again move over, so frequent chunks stay.
     """
 
@@ -62,6 +73,7 @@ class ChunkEncoder:
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.border = np.zeros(max(names.values()) + 1, dtype=bool)
         for name, i in names.items():
@@ -92,13 +104,29 @@ class ChunkEncoder:
         if self.lead:
             return self.joined(parts) or self.raw([" " + p for p in parts])
         # the splitting works on lower-cased letters in composed form; for Latin-1 that is known to agree with this
-        split = [SPLIT.findall(p.lower()) if p.isascii() or max(p) <= LATIN else None for p in parts]
-        units = list({u for us in split if us for u in us})
-        made = self.joined(units) if units else []
-        table = dict(zip(units, self.raw(units) if made is None else made))
+        split = [units_of(p) if p.isascii() or max(p) <= LATIN else None for p in parts]
+        table = self.known_units({u for us in split if us for u in us})
         rest = [p for p, us in zip(parts, split) if us is None]
         other = dict(zip(rest, self.raw(rest)))
-        return [other[p] if us is None else b"".join([table[u] for u in us]) for p, us in zip(parts, split)]
+        out = []
+        for p, us in zip(parts, split):
+            if us is None:
+                out.append(other[p])
+            elif len(us) == 1:
+                out.append(table[us[0]])
+            else:
+                out.append(b"".join([table[u] for u in us]))
+        return out
+
+    def known_units(self, units: set[str]) -> dict[str, bytes]:
+        """A dictionary that has the ids of all the units; units come back in chunks of other case and punctuation."""
+        new = [u for u in units if u not in self.units]
+        if len(self.units) + len(new) > self.half:
+            self.units, new = {}, list(units)
+        if new:
+            made = self.joined(new)
+            self.units.update(zip(new, self.raw(new) if made is None else made))
+        return self.units
 
     def known(self, parts: list[str]) -> dict[str, bytes]:
         """A dictionary that has the ids of all the parts."""
@@ -109,8 +137,8 @@ class ChunkEncoder:
         back = [p for p in missing if p in self.old]
         self.cache.update((p, self.old[p]) for p in back)
         new = [p for p in missing if p not in self.old]
-        other = [p for p in new if not self.kept(p)]
         short = [p for p in new if self.kept(p)]
+        other = [p for p in new if not self.kept(p)] if len(short) < len(new) else []
         if short:
             self.cache.update(zip(short, self.encode_parts(short)))
         if not other:
@@ -139,7 +167,7 @@ class ChunkEncoder:
         """Ids of each text. Unknown chunks of all the texts are encoded together."""
         split = [t.split(" ") if len(t) <= SEGMENT else [] for t in texts]
         new = set().union(*(parts[1:] if self.lead else parts for parts in split)).difference(self.cache)
-        if new := [p for p in new if self.kept(p)]:
+        if new := [p for p in new if len(p) <= KEEP_CHARS and (not self.lead or self.kept(p))]:
             self.known(new)
         return [self.fast(parts) or self.careful(text) for text, parts in zip(texts, split)]
 

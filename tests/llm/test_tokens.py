@@ -175,5 +175,5 @@ def test_queries_registered():
     from __spark_entry__ import oracle_sql, queries
 
     found = sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op"))
-    assert found == list(range(1, 11)) and "pipeline" in queries()
-    assert {"op1_exact_dedup", "op3_url_filter"} <= set(oracle_sql())
+    assert found == list(range(1, 14)) and "pipeline" in queries()
+    assert {"op1_exact_dedup", "op3_url_filter", "op12_collocations", "op13_centroids"} <= set(oracle_sql())
