@@ -1,16 +1,20 @@
 """Best-fit packing with a swap-based local search.
 
-Documents become token ids and, where longer than a sequence, pieces. Each task packs the pieces it has made, some
-tens of thousands at a time: a best-fit pass in order of falling length, then exchanges between all underfull bins. No
-text and no piece is shuffled. A set of pieces is finished when the waste is under one sequence, as no packing of it
-has fewer bins then, or when no move of one or two documents and no exchange of one for one, two for one or one for
-two is left that raises the sum of squared fills.
+Documents become token ids and, where longer than a sequence, pieces. Each task packs the pieces it has made: a best-fit
+pass in order of falling length, then exchanges between all underfull bins. A set of pieces is finished when the waste is
+under one sequence, as no packing of it has fewer bins then, or when no move of one or two documents and no exchange of
+one for one, two for one or one for two is left that raises the sum of squared fills.
+
+Bins that are full stay as they are. The pieces of the others, a few numbers each, meet those of other tasks in further
+rounds, in sets of bounded size and of the emptiest bins, until one set holds them all or a round empties no bin any more. So the number of
+sequences hardly depends on how the documents were dealt to tasks. No text is shuffled.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -18,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import text_or_empty
+from rillmark.llm.common import stored, text_or_empty
 from rillmark.llm.tokens import encoder_for
 
 Bin = list[tuple[int, int]]
@@ -212,6 +216,10 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] * bool(first) + [(at, capacity) for at in range(first, n, capacity)]
 
 
+#: Bits for the sequences of a task, and for the tasks of a round, in a sequence number.
+COUNT_BITS, TASK_BITS = 28, 28
+
+
 def pack_documents(
     docs: DataFrame,
     vocabulary: str,
@@ -224,8 +232,8 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: ``id_col, piece, start, length, ids_crc32, sequence_id, offset``.
 
-    A sequence number is made of the task's number and a count, so it is the same if a task runs again.
-    ``pieces_at_once`` bounds what a task packs together; all pieces of a part are packed, set after set.
+    A sequence number is made of the round, the task's number and a count. ``pieces_at_once`` bounds what a task packs
+    together; pieces of underfull sequences are packed again, with those of other sets, as long as that empties any.
 
     * Null and empty texts are a piece of the end id alone. Texts may be of any length; no piece is dropped.
     * Repeated rows and null ids are packed like any other. Other columns are ignored.
@@ -233,51 +241,96 @@ def pack_documents(
     """
     rows = docs.select(F.col(id_col), text_or_empty(text_col))
     id_type = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    kinds = [None, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(vocabulary, spaces)
-        end = end_id.to_bytes(4, "little")
-        number = TaskContext.get().partitionId() << 40
-        waiting: list[tuple] = []
-        id_kind = None
-
-        def batch_of(found: list[tuple]) -> pa.RecordBatch:
-            columns = [pa.array(c, k or id_kind) for c, k in zip(zip(*found), kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=names)
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            nonlocal number
+    names = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "open"]
+    kinds = [None, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+    schema = f"`{id_col}` {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint, open boolean"
+
+    class Task:
+        """Packs what one task has, set after set."""
+
+        def __init__(self, round_no: int, id_kind: pa.DataType) -> None:
+            self.number = (round_no << (COUNT_BITS + TASK_BITS)) | (TaskContext.get().partitionId() << COUNT_BITS)
+            self.id_kind, self.again = id_kind, round_no > 0
+            self.waiting: list[tuple] = []
+            self.whole: list[tuple] = []
+
+        def put(self, row: tuple) -> Iterator[pa.RecordBatch]:
+            if row[3] == capacity:
+                self.whole.append((*row, self.next(), 0, False))
+            else:
+                self.waiting.append(row)
+            if len(self.waiting) >= pieces_at_once:
+                yield from self.packed()
+            if len(self.whole) >= 10_000:
+                yield self.batch(self.whole)
+                self.whole = []
+
+        def next(self) -> int:
+            self.number += 1
+            return self.number - 1
+
+        def packed(self) -> Iterator[pa.RecordBatch]:
             found = []
-            for held in pack([w[3] for w in waiting], capacity):
-                place = 0
+            bins = sorted(pack([w[3] for w in self.waiting], capacity), key=lambda held: sum(n for n, _ in held))
+            rooms = [capacity - sum(n for n, _ in held) for held in bins]
+            # the first time all underfull bins are open, later the emptiest, with half of the room, so sets get fewer
+            wanted = sum(rooms) / 2 if self.again else capacity * len(bins)
+            for held, room in zip(bins, rooms):
+                place, number, left = 0, self.next(), room > 0 and wanted > 0
+                wanted -= room
                 for n, item in held:
-                    found.append((*waiting[item], number, place))
+                    found.append((*self.waiting[item], number, place, left))
                     place += n
-                number += 1
-            waiting.clear()
-            yield batch_of(found)
+            self.waiting = []
+            yield self.batch(found)
 
+        def end(self) -> Iterator[pa.RecordBatch]:
+            if self.waiting:
+                yield from self.packed()
+            if self.whole:
+                yield self.batch(self.whole)
+
+        def batch(self, found: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(c, k or self.id_kind) for c, k in zip(zip(*found), kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_for(vocabulary, spaces)
+        end = end_id.to_bytes(4, "little")
+        task = None
         for batch in batches:
-            id_kind = batch.column(0).type
-            whole = []
+            task = task or Task(0, batch.column(0).type)
             some = (batch.slice(at, 256) for at in range(0, batch.num_rows, 256))
             for name, ids in ((n, i) for b in some for n, i in zip(b.column(0).to_pylist(), encoder.encode_batch(b.column(1).to_pylist()))):
                 ids += end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    row = (name, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]))
-                    if n == capacity:
-                        whole.append((*row, number, 0))
-                        number += 1
-                    else:
-                        waiting.append(row)
-                if len(waiting) >= pieces_at_once:
-                    yield from packed()
-            if whole:
-                yield batch_of(whole)
-        if waiting:
-            yield from packed()
-
-    schema = f"`{id_col}` {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return rows.mapInArrow(each, schema)
+                    yield from task.put((name, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
+        if task:
+            yield from task.end()
+
+    def again(round_no: int):
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            task = None
+            for batch in batches:
+                task = task or Task(round_no, batch.column(0).type)
+                for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                    yield from task.put(row)
+            if task:
+                yield from task.end()
+
+        return each
+
+    done = stored(rows.mapInArrow(first, schema), "packed")
+    parts = [done.filter("NOT open")]
+    left, before, round_no = done.filter("open"), None, 0
+    while True:
+        size = left.agg(F.count(F.lit(1)).alias("pieces"), F.count_distinct("sequence_id").alias("bins")).first()
+        sets = -(-size["pieces"] // pieces_at_once)
+        if not sets or before is not None and (before[0] == 1 or sets >= before[0] and size["bins"] >= before[1]):
+            break
+        before, round_no = (sets, size["bins"]), round_no + 1
+        mixed = left.select(*names[:5]).repartition(sets, F.xxhash64(*names[:5], F.lit(round_no)))
+        found = stored(mixed.mapInArrow(again(round_no), schema), "packed")
+        parts.append(found.filter("NOT open"))
+        left = found.filter("open")
+    return reduce(DataFrame.unionByName, [*parts, left]).drop("open")

@@ -12,7 +12,7 @@ from rillmark.llm.packing import best_fit, cut, local_search, pack, pack_documen
 from rillmark.llm.token_files import TokenFile, from_planes, read_token_files, to_planes, write_token_files
 from rillmark.llm.tokens import ChunkEncoder
 from tests.conftest import SF_DIR
-from tests.llm.cases import awkward, documents
+from tests.llm.cases import awkward, documents, prose
 
 
 @pytest.fixture(scope="module", params=[("word_bpe_49k.json", "drop"), ("byte_bpe_50k.json", "lead")])
@@ -177,3 +177,21 @@ def test_queries_registered():
     found = sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op"))
     assert found == list(range(1, 14)) and "pipeline" in queries()
     assert {"op1_exact_dedup", "op3_url_filter", "op12_collocations", "op13_centroids"} <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("parts", [1, 8, 64])
+@pytest.mark.parametrize("at_once", [65_536, 50])
+def test_sequences_do_not_depend_on_how_texts_are_dealt(spark, parts, at_once):
+    rows = [(k, prose(k, 20)) for k in range(200)]
+    docs = documents(spark, rows).repartition(parts)
+    found = pack_documents(docs, "byte_bpe_50k.json", pieces_at_once=at_once).collect()
+    total = sum(r.length for r in found)
+    # sets of fifty pieces, which are under three sequences each, may cost a little
+    least = -(-total // 1024)
+    assert len(found) == 200 and least <= len({r.sequence_id for r in found}) <= least + 2 * (at_once == 50)
+    by_sequence = {}
+    for r in found:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in by_sequence.values():
+        held.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(held, held[1:])) and held[0][0] == 0 and sum(held[-1]) <= 1024
