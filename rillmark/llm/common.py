@@ -14,16 +14,25 @@ from rillmark.session import shared_folder
 
 SPACES = r"[\x20\x09-\x0D]+"
 ROW_GROUP_BYTES = 16 << 20
+BATCH_CONF, BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 #: Rows of a few numbers or one hash that may be sent to every task: some 100 MB at most.
 NARROW_ROWS = 1_000_000
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Hand rows to Python a thousand at a time, unless the session says otherwise: ten thousand texts are some 50 MB,
+    which the executor and the worker both hold more than once."""
+    if spark.conf.get(BATCH_CONF, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, "1000")
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a step as Parquet under the shared folder and read it back.
 
     This cuts the lineage: later steps, and tasks repeated after a lost executor, read files that
     every executor can reach.
     """
+    short_batches(df.sparkSession)
     folder = shared_folder(df.sparkSession, purpose)
     # a writer holds one row group in memory, which long texts make large
     df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
@@ -57,6 +66,8 @@ def kept(name: tuple, make: Callable[[], object]) -> object:
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 1024) -> DataFrame:
     """Apply a function to Arrow batches, so many rows at a time. What other operators have kept goes first."""
 
+    short_batches(df.sparkSession)
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _KEPT.clear()
         for batch in batches:

@@ -169,6 +169,8 @@ def near_components(docs: DataFrame, id_col: str, text_col: str, words: int, per
     labels = components(links, "a", "b")
     apart = unresolved(members, labels)
     for turn in range(TURNS):
+        if apart.isEmpty():
+            break
         links = stored(links.unionByName(confirmed(star_pairs(apart, turn, percent), sets, percent)), "near-links")
         labels = components(links, "a", "b")
         apart = unresolved(apart.drop("component"), labels)
