@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from rillmark.operators.ordered import (
     with_position,
     with_row_frames,
     with_running,
+    written,
 )
+from rillmark.operators.windows import interval
 
 
 def count_by(df: DataFrame, key: Names, name: str = "cnt") -> DataFrame:
@@ -129,6 +133,61 @@ def cumulative_count(
     )
 
 
+def report_totals(
+    df: DataFrame, *, key: Names, ts: str, seq: str, wait: str, slice_rows: int | None = None
+) -> DataFrame:
+    """Count since the beginning per key, reported ``wait`` after the first record since the last report.
+
+    Gives the key, ``reported_at`` and ``total``. Each record knows where the next report would start if
+    one started with it: at the first record later than its time and the wait. Which records do start
+    one is found by pointer jumping: in round k those known so far jump 2^k reports ahead. So the number
+    of rounds grows with the logarithm of a key's reports, joins are on (key, position) and therefore
+    even, and a key may have any number of records. ``seq`` orders records of the same time; neither is null.
+    """
+    keys = names(key)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    wait_us = F.unix_micros(F.timestamp_seconds(F.lit(0)) + interval(wait))
+    rows = df.select(*keys, us.alias("_us"), F.col(seq).cast("bigint").alias("_seq"))
+    placed = with_position(rows, keys=keys, order=["_us", "_seq"], name="_pos", slice_rows=slice_rows)
+    records = placed.withColumn("_ask", F.lit(0))
+    asks = placed.withColumns({"_us": F.col("_us") + wait_us, "_ask": F.lit(1)})
+    # records of the very time of the report still count
+    counted = with_running(
+        records.unionByName(asks),
+        keys=keys,
+        order=["_us", "_ask", "_seq"],
+        measures={"_total": Running("sum", (1 - F.col("_ask")).cast("bigint"))},
+        slice_rows=slice_rows,
+    )
+    found = counted.filter("_ask = 1").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_pos", "_us", "_total")
+    group = [f"_k{i}" for i in range(len(keys))]
+    nodes = written(found, "reports")
+    # a pointer beyond the last record finds nothing
+    jumps = nodes.select(*group, "_pos", (F.col("_total") + 1).alias("_to"))
+    reached = nodes.filter("_pos = 1").select(*group, "_pos")
+    while True:
+        at = jumps.alias("j")
+        ahead = reached.alias("r").join(at, _equal("r", "j", group) & (F.col("r._pos") == F.col("j._pos")))
+        ahead = ahead.select(*[F.col(f"r.{g}").alias(g) for g in group], F.col("j._to").alias("_pos"))
+        ahead = written(ahead.join(nodes.alias("n"), _equal(None, "n", group, ahead) & (ahead["_pos"] == F.col("n._pos")), "left_semi"), "reports")
+        if ahead.isEmpty():
+            break
+        reached = written(reached.unionByName(ahead), "reports")
+        far = jumps.alias("j").join(jumps.alias("k"), _equal("j", "k", group) & (F.col("j._to") == F.col("k._pos")))
+        jumps = written(far.select(*[F.col(f"j.{g}").alias(g) for g in group], F.col("j._pos").alias("_pos"), F.col("k._to").alias("_to")), "reports")
+    started = nodes.alias("n").join(reached.alias("r"), _equal("n", "r", group) & (F.col("n._pos") == F.col("r._pos")), "left_semi")
+    at = F.timestamp_micros("_us")
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        at = at.cast("timestamp_ntz")
+    return started.select(*[F.col(g).alias(c) for g, c in zip(group, keys)], at.alias("reported_at"), F.col("_total").alias("total"))
+
+
+def _equal(left: str | None, right: str, group: list[str], of: DataFrame | None = None) -> Column:
+    """Null-safe equality of key columns."""
+    pairs = [(of[g] if of is not None else F.col(f"{left}.{g}")).eqNullSafe(F.col(f"{right}.{g}")) for g in group]
+    return reduce(lambda a, b: a & b, pairs, F.lit(True))
+
+
 def recent_avg(
     df: DataFrame, *, key: Names, order: Names, value: Column, before: int = 5, slice_rows: int | None = None
 ) -> DataFrame:

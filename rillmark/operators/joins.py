@@ -144,7 +144,7 @@ def reconcile(app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str)
     Gives ``match``, ``third_missing`` or ``app_missing`` as ``status``, told by which side is there, so a bill without
     a time is missing its partner whatever its side. Ids are meant to be unique per source; where one repeats, each
     fitting pair is a match. A batch join equates a time bucket as long as the wait next to the id, so an id that
-    repeats very often is split by time; a bill without a partner is found by what no pair holds.
+    repeats very often is split by time. One join gives pairs and bills without a partner; each side is shuffled once.
     """
     span = F.expr(f"interval {wait}")
     a = app.select(F.col(key).alias("app_id"), F.col(ts).alias("app_ts"), F.lit(True).alias("_app"))
@@ -159,21 +159,17 @@ def reconcile(app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str)
         def bucket(at: str) -> Column:
             return F.floor(F.unix_micros(F.col(at).cast("timestamp")) / width)
 
-        def spread(side: DataFrame, at: str, reach: int) -> DataFrame:
-            buckets = F.array(bucket(at), bucket(at) + reach) if reach else F.array(bucket(at))
-            return side.withColumn("_bucket", F.explode(buckets))
-
-        # The third party's bucket is that of the app bill or the next one, whichever side is spread.
-        near = [F.col("x._bucket") == F.col("y._bucket"), on]
-        app_one, app_two = spread(a, "app_ts", 0).alias("x"), spread(a, "app_ts", 1).alias("x")
-        third_one, third_two = spread(b, "third_ts", 0).alias("y"), spread(b, "third_ts", -1).alias("y")
-        pairs = app_two.join(third_one, near).drop("_bucket")
-        alone = app_one.join(third_two, near, "left_anti").drop("_bucket")
-        left = third_one.join(app_two, near, "left_anti").drop("_bucket")
-        # a bill without a time has no bucket and no partner
-        alone = alone.filter("app_ts IS NOT NULL").unionByName(a.filter("app_ts IS NULL"))
-        left = left.filter("third_ts IS NOT NULL").unionByName(b.filter("third_ts IS NULL"))
-        both = pairs.unionByName(alone, allowMissingColumns=True).unionByName(left, allowMissingColumns=True)
+        # The third party's bucket is that of the app bill or the next one, so an app bill stands in both.
+        twice = a.withColumn("_row", F.monotonically_increasing_id())
+        twice = twice.withColumn("_bucket", F.explode(F.array(bucket("app_ts"), bucket("app_ts") + 1))).alias("x")
+        once = b.withColumn("_bucket", bucket("third_ts")).alias("y")
+        joined = twice.join(once, [F.col("x._bucket") == F.col("y._bucket"), on], "full").drop("_bucket")
+        # a bill of the third party came once, so what it found is final; an app bill is alone if neither of its two found any
+        found = joined.filter("_third").drop("_row")
+        none = joined.filter("_third IS NULL").groupBy("_row").agg(
+            F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in ("app_id", "app_ts", "_app")]
+        )
+        both = found.unionByName(none.filter("_n = 2").drop("_row", "_n"), allowMissingColumns=True)
     status = F.when(F.col("_third").isNull(), "third_missing").when(F.col("_app").isNull(), "app_missing").otherwise("match")
     return both.select(F.coalesce("app_id", "third_id").alias(key), "app_ts", "third_ts", status.alias("status"))
 

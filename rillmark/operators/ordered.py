@@ -44,6 +44,13 @@ class Slices:
     count: int
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """A step as a table in the shared folder, so that what follows, or runs again, doesn't compute it anew."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def slice_rows_of(df: DataFrame, slice_rows: int | None) -> int:
     if slice_rows is not None:
         return slice_rows
@@ -110,9 +117,7 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
                 break
             total += cells
             # Written once, so that later rounds don't count anew; its size decides how it is joined.
-            folder = shared_folder(df.sparkSession, "grids")
-            grids.write.parquet(folder)
-            grids = df.sparkSession.read.schema(grids.schema).parquet(folder)
+            grids = written(grids, "grids")
             df = _with_cell(df, grids, group, places, name)
         else:
             # No key: one grid, and a lower limit from here on, so that every task gets a share.

@@ -18,7 +18,7 @@ from rillmark.operators.ordered import with_row_frames
 from rillmark.plans.catalog import Tables, bucket, query
 from rillmark.plans.records import WORDS, lines
 from rillmark.plans.stateful import FOLLOWED, RULED, typed
-from rillmark.plans.windowed import POSITIONED, cumulated, hopped, ranked, tumbled
+from rillmark.plans.windowed import POSITIONED, REPORTS, cumulated, hopped, ranked, tumbled
 from rillmark.streaming import processors as proc
 from rillmark.sinks.writers import fan_out, merge_batch, to_text_files
 from rillmark.sources import readers
@@ -234,6 +234,18 @@ def j4(t: Tables) -> DataFrame:
     return local(drain_appended(pairs))
 
 
+@query("j1_stream_union", f"""
+    SELECT user_id, {bucket('1 hour')} AS window_start, {bucket('1 hour')} + INTERVAL '1 hour' AS window_end, count(*) AS cnt
+    FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL""")
+def j1(t: Tables) -> DataFrame:
+    """Two streams of different bounds as one: the slower watermark rules, so a row within its side's bound is never late."""
+    sides = [
+        with_watermark(stream(t, "events", close=True).filter(F.col("event_type").isin(kind, "end")), ts="ts", delay=delay)
+        for kind, delay in (("click", DELAY), ("view", "5 hours"))
+    ]
+    return local(drain_appended(windows.tumble(joins.union_all(*sides), ts="ts", size="1 hour", key="user_id")))
+
+
 def bills(t: Tables, name: str, key: str, ts: str) -> DataFrame:
     both = stream(t, name, close=True)
     return with_watermark(both.select(F.col(key).alias("id"), F.col(ts).alias("ts")), ts="ts", delay="1 day")
@@ -446,14 +458,7 @@ def o1(t: Tables) -> DataFrame:
     return in_turn(t, step, reach=5)
 
 
-@query("a11_stream_total", f"""
-    WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM events),
-    r AS (SELECT user_id, min(us) + 10800000000 AS reported_us FROM e GROUP BY user_id
-          UNION ALL
-          SELECT r.user_id, min(e.us) + 10800000000 FROM r JOIN e ON e.user_id = r.user_id AND e.us > r.reported_us
-          GROUP BY r.user_id, r.reported_us)
-    SELECT r.user_id, r.reported_us, count(*) AS total FROM r JOIN e ON e.user_id = r.user_id AND e.us <= r.reported_us
-    GROUP BY ALL""")
+@query("a11_stream_total", REPORTS)
 def a11(t: Tables) -> DataFrame:
     timed = events(t).withColumn("us", F.unix_micros("ts"))
     step = proc.running_total_step(3 * 3_600_000_000)

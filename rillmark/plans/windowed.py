@@ -113,6 +113,22 @@ def a11(t: Tables) -> DataFrame:
     return aggregates.cumulative_count(t.events, key="user_id", ts="ts", every="3 hours")
 
 
+REPORTS = """
+    WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM events),
+    r AS (SELECT user_id, min(us) + 10800000000 AS reported_us FROM e GROUP BY user_id
+          UNION ALL
+          SELECT r.user_id, min(e.us) + 10800000000 FROM r JOIN e ON e.user_id = r.user_id AND e.us > r.reported_us
+          GROUP BY r.user_id, r.reported_us)
+    SELECT r.user_id, r.reported_us, count(*) AS total FROM r JOIN e ON e.user_id = r.user_id AND e.us <= r.reported_us
+    GROUP BY ALL"""
+
+
+@query("a11_report_totals", REPORTS)
+def a11_reports(t: Tables) -> DataFrame:
+    found = aggregates.report_totals(t.events, key="user_id", ts="ts", seq="event_id", wait="3 hours")
+    return found.select("user_id", F.unix_micros(F.col("reported_at").cast("timestamp")).alias("reported_us"), "total")
+
+
 # Time and count windows.
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rillmark.operators import ordered
+from rillmark.operators import aggregates, ordered
 from rillmark.operators.ordered import Running, cut, with_position, with_row_frames, with_running
 from rillmark.session import shared_folder
 
@@ -127,3 +127,24 @@ def test_leader_with_a_hot_key(spark):
     events = spark.range(300).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("key"), F.col("id").alias("t"))
     plain = running_leader(events, key="key", order="t", slice_rows=100_000)
     assert rows(running_leader(events, key="key", order="t", slice_rows=20)) == rows(plain)
+
+
+@pytest.mark.parametrize("slice_rows", [None, 7])
+def test_report_totals(spark, slice_rows):
+    """Reports per key by hand, with ties, a hot key and a null key."""
+    import random
+
+    rnd = random.Random(9)
+    data = [(k, i, rnd.randint(0, 400) * 1000) for i, k in enumerate(["hot"] * 80 + ["a", "b", None] * 15 + ["one"])]
+    want = []
+    for k in {d[0] for d in data}:
+        times = sorted(d[2] for d in data if d[0] == k)
+        at = None
+        for t in times:
+            if at is None or t > at:
+                at = t + 20_000
+                want.append((k or "-", at, sum(x <= at for x in times)))
+    table = spark.createDataFrame(data, "k string, i bigint, ms bigint").withColumn("ts", F.timestamp_millis("ms"))
+    found = aggregates.report_totals(table, key="k", ts="ts", seq="i", wait="20 seconds", slice_rows=slice_rows)
+    assert sorted((r.k or "-", r.ms, r.total) for r in found.select("k", F.unix_millis("reported_at").alias("ms"), "total").collect()) == sorted(want)
+    assert aggregates.report_totals(table.limit(0), key="k", ts="ts", seq="i", wait="1 second").count() == 0
