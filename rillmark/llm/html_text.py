@@ -3,9 +3,11 @@
 Parser events give a line per block of the page, with its characters of text, its tags and the elements around it.
 The ratios of text to tags are smoothed with a Gaussian along the page and parted into two clusters by a threshold.
 The region is the element that holds the lines of the upper cluster: from the body downward as long as one child
-holds most of them, ending at an article. All lines of the region count, short ones too, except those in menus,
-forms, adverts and the like. A form or a name such as "sidebar" only tells what an element is if the element does not
-hold most of the upper cluster itself; an article starts afresh, whatever is around it, unless these are comments.
+holds most of them; an article or main element with text wins at any share. All lines of the region count, short ones
+too, except those in menus, forms, notices, adverts and the like, which never count. A form, or a name in parts such as
+"layout-sidebar", tells nothing if the element is around the page's own frame: a header, a menu, a footer or the like; a
+name of its own, such as "overlay", only if the page's title, main element, sidebar or comments are in it. How much text
+an element holds tells nothing. All steps are linear in the page.
 """
 
 from __future__ import annotations
@@ -36,12 +38,16 @@ OUTSIDE_NAMES = frozenset(
     "notification overlay pagination popup promo promotion recommended related replies reply respond responses share sharing sidebar "
     "signup skyscraper social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+FRAME_NAMES = frozenset("masthead sidebar".split())
 COMMENT_NAMES = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
-#: First words of names that tell what is around or not: has-sidebar, no-comments, with-ads. Last words that tell a state: share-enabled.
+#: Words of names that tell what is around or not: has-sidebar, no-comments, with-ads. Last words that tell a state: share-enabled.
 ABOUT = frozenset("has have no non with without".split())
 STATES = frozenset("allowed closed disabled enabled hidden off on open shown".split())
-#: What marks an element as outside: by its kind for good, readers' comments, a name of its own, or as part of a name or a form.
-FIRM, COMMENTS, NAMED, LOOSE = range(4)
+#: What marks an element as outside: readers' comments, its kind for good, a name of its own, a name in parts or a form.
+COMMENTS, FIRM, NAMED, LOOSE = range(4)
+#: Elements of a page's own frame: what holds one is around the page, not a part of it. A name of its own is only overruled by the latter.
+FRAME = frozenset("article aside footer header nav".split())
+HEART = frozenset("h1 main".split())
 CONTAINERS = frozenset("article body center div main section table tbody td".split())
 #: Elements that an opening block closes if they are still open.
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
@@ -52,9 +58,25 @@ NAME = re.compile(r"[a-z]+")
 class Line:
     text: str
     tags: int
-    region: tuple[int, ...]
-    #: (element, kind) of all elements around it that are marked as outside
-    marks: tuple[tuple[int, int], ...]
+    #: the innermost container, and the innermost element around it that is marked as outside; 0 for none
+    region: int
+    mark: int
+
+
+@dataclass
+class Open:
+    """An open element, with what holds inside it, so that nothing has to walk up the stack."""
+
+    tag: str
+    region: int
+    hidden: bool
+    mark: int
+    #: within an article; within an article or main
+    article: bool
+    content: bool
+    #: places in the stack of the innermost paragraph or heading that a block closes, and of the innermost block; -1 for none
+    para: int
+    block: int
 
 
 class PageLines(HTMLParser):
@@ -63,80 +85,110 @@ class PageLines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool, tuple[tuple[int, int], ...]]] = []
-        self.kinds: list[str] = ["page"]
+        self.open = [Open("", 0, False, 0, False, False, -1, -1)]
+        self.places: dict[str, list[int]] = {}
+        #: by number of container: tag, the container around it, and whether an article is around it
+        self.kinds, self.parents, self.inner = ["page"], [0], [False]
+        #: by number of mark: kind, the mark around it, and whether it is around the page's frame
+        self.marks: list[int] = [FIRM]
+        self.around: list[int] = [0]
+        self.frames: list[bool] = [False]
+        #: places in the stack of loosely marked and of named elements that hold no part of the frame yet
+        self.loose: list[int] = []
+        self.named: list[int] = []
+        self.frame_named = False
         self.parts: list[str] = []
         self.tags = 0
-        self.marked = 0
-
-    def state(self) -> tuple[bool, tuple[tuple[int, int], ...]]:
-        """Whether text here is left out as no text, and what marks it as outside of the article."""
-        return (self.open[-1][2], self.open[-1][3]) if self.open else (False, ())
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            region = tuple(k for _, k, _, _ in self.open if k)
-            self.lines.append(Line(text, self.tags, region, self.state()[1]))
+            top = self.open[-1]
+            self.lines.append(Line(text, self.tags, top.region, top.mark))
             self.tags = 0
         self.parts.clear()
 
-    def mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int | None:
+    def kind(self, tag: str, attrs: list[tuple[str, str | None]], content: bool) -> int | None:
         """How the element is marked as outside, if it is."""
-        within = any(t in ("article", "main") for t, *_ in self.open)
-        if tag in OUTSIDE or tag == "header" and not within:
+        if tag in OUTSIDE or tag == "header" and not content:
             return LOOSE if tag == "form" else FIRM
         if tag in ("html", "body", "article", "main"):
             return None
-        marks = set()
+        found = set()
         for name, value in attrs:
             value = (value or "").lower()
             for token in value.split() if name in ("class", "id") else ():
                 words = NAME.findall(token)
-                if not OUTSIDE_NAMES.isdisjoint(words) and words[0] not in ABOUT:
-                    comments = not COMMENT_NAMES.isdisjoint(words) and words[-1] not in STATES
-                    marks.add(COMMENTS if comments else LOOSE if len(words) > 1 else NAMED)
+                if not OUTSIDE_NAMES.isdisjoint(words) and ABOUT.isdisjoint(words) and words[-1] not in STATES:
+                    whole = OUTSIDE_NAMES.issuperset(words)
+                    self.frame_named |= not FRAME_NAMES.isdisjoint(words)
+                    found.add(COMMENTS if not COMMENT_NAMES.isdisjoint(words) else NAMED if whole else LOOSE)
             if name == "role" and value in OUTSIDE_ROLES or name == "hidden":
-                marks.add(FIRM)
+                found.add(FIRM)
             if name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-                marks.add(FIRM)
-        return min(marks, default=None)
-
-    def marks_within(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[tuple[int, int], ...]:
-        """The marks around and of the element; an article or main that is in no article only keeps those of comments.
-
-        In a menu, an aside or a block with a name of its own it may be a teaser, so there its text must be most of the page's.
-        """
-        marks = self.state()[1]
-        self.marked += 1
-        if tag in ("article", "main") and marks and all(t != "article" for t, *_ in self.open):
-            teaser = any(kind in (FIRM, NAMED) for _, kind in marks)
-            marks = (*(m for m in marks if m[1] == COMMENTS), *([(self.marked, LOOSE)] if teaser else []))
-        kind = self.mark(tag, attrs)
-        return marks if kind is None else (*marks, (self.marked, kind))
+                found.add(FIRM)
+        return min(found, default=None)
+
+    def marked(self, kind: int, around: int) -> int:
+        self.marks.append(kind)
+        self.around.append(around)
+        self.frames.append(False)
+        return len(self.marks) - 1
+
+    def frame_found(self, waiting: list[int]) -> None:
+        """All of these elements that are open are around the page's frame; each is told so once."""
+        for k in waiting:
+            self.frames[self.open[k].mark] = True
+        waiting.clear()
+
+    def pop_to(self, place: int) -> None:
+        for gone in self.open[place:]:
+            self.places[gone.tag].pop()
+        for waiting in (self.loose, self.named):
+            while waiting and waiting[-1] >= place:
+                waiting.pop()
+        del self.open[place:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_line()
-            while self.open and self.open[-1][0] in CLOSED_BY_BLOCK:
-                self.open.pop()
             # an open inline element doesn't keep a paragraph from being closed
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] in CLOSED_BY_BLOCK:
-                    del self.open[k:]
-                elif self.open[k][0] in BLOCKS or self.open[k][0] in CONTAINERS:
-                    break
+            while self.open[-1].para >= 0:
+                self.pop_to(self.open[-1].para)
         elif tag in ("br", "td", "th"):
             self.parts.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        hidden = self.state()[0]
-        number = 0
+        up, place = self.open[-1], len(self.open)
+        if tag in FRAME:
+            self.frame_found(self.loose)
+        elif tag in HEART:
+            self.frame_found(self.loose)
+            self.frame_found(self.named)
+        region, mark = up.region, up.mark
         if tag in CONTAINERS:
-            number = len(self.kinds)
+            region = len(self.kinds)
             self.kinds.append(tag)
-        self.open.append((tag, number, hidden or tag in NO_TEXT, self.marks_within(tag, attrs)))
+            self.parents.append(up.region)
+            self.inner.append(up.article)
+        if tag in ("article", "main") and mark and not up.article and self.marks[mark] == LOOSE:
+            # it starts afresh; in a menu, an aside or the like it may be a teaser
+            mark = 0
+        self.frame_named = False
+        if (kind := self.kind(tag, attrs, up.content)) is not None:
+            if kind == COMMENTS or self.frame_named:
+                self.frame_found(self.loose)
+                self.frame_found(self.named)
+            mark = self.marked(kind, mark)
+            if kind in (NAMED, LOOSE):
+                (self.loose if kind == LOOSE else self.named).append(place)
+        para = place if tag in CLOSED_BY_BLOCK else -1 if tag in BLOCKS or tag in CONTAINERS else up.para
+        self.open.append(
+            Open(tag, region, up.hidden or tag in NO_TEXT, mark, up.article or tag == "article", up.content or tag in ("article", "main"),
+                 para, place if tag in BLOCKS else up.block)
+        )
+        self.places.setdefault(tag, []).append(place)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # only void elements close themselves
@@ -146,24 +198,29 @@ class PageLines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         self.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                break
-            if tag not in BLOCKS and self.open[k][0] in BLOCKS:
-                break
+        places = self.places.get(tag)
+        # an inline element isn't closed across a block
+        if places and (tag in BLOCKS or places[-1] > self.open[-1].block):
+            self.pop_to(places[-1])
 
     def handle_data(self, data: str) -> None:
-        if not self.state()[0]:
+        if not self.open[-1].hidden:
             self.parts.append(data)
 
+    def outside(self) -> list[bool]:
+        """For each mark whether text within it is outside: it, or a mark around it, tells so."""
+        out = [False]
+        for k in range(1, len(self.marks)):
+            out.append(out[self.around[k]] or self.marks[k] < NAMED or not self.frames[k])
+        return out
 
-def page_lines(html: str) -> tuple[list[Line], list[str]]:
+
+def read_page(html: str) -> PageLines:
     parser = PageLines()
     parser.feed(html)
     parser.close()
     parser.end_line()
-    return parser.lines, parser.kinds
+    return parser
 
 
 def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -187,73 +244,57 @@ def threshold(values: np.ndarray) -> float:
     return border
 
 
-def released(lines: list[Line], weight: list[int], in_article: list[bool], most: float) -> set[int]:
-    """The marked elements that hold too much of the text of the upper cluster and articles to be outside, outer ones first.
-
-    A form, or a name in parts, is overruled by ``most`` of the text; a name of its own, or if an article is elsewhere,
-    by nine tenths. Readers' comments don't count, and are taken only if there is no other text.
-    """
-    told = [(x, w, a) for x, w, a in zip(lines, weight, in_article) if all(kind != FIRM for _, kind in x.marks)]
-    rest = [(x, w, a) for x, w, a in told if all(kind != COMMENTS for _, kind in x.marks)]
-    if not rest:
-        return {m[0] for x, _, _ in told for m in x.marks}
-    text = [(x.marks, w, a) for x, w, a in rest if w] or [(x.marks, len(x.text), a) for x, _, a in rest]
-    total = sum(w for _, w, _ in text)
-    mass: dict[tuple[int, int], int] = {}
-    around: dict[tuple[int, int], set[int]] = {}
-    for marks, w, _ in text:
-        for k, m in enumerate(marks):
-            mass[m] = mass.get(m, 0) + w
-            if m not in around:
-                around[m] = {outer for outer, _ in marks[:k]}
-    free: set[int] = set()
-    for m in sorted(m for m in mass if mass[m] >= most * total):
-        elsewhere = any(article and m not in marks and all(k in free for k, _ in marks) for marks, _, article in text)
-        if around[m] <= free and mass[m] >= (max(most, 0.9) if m[1] == NAMED or elsewhere else most) * total:
-            free.add(m[0])
-    return free
+def within(parents: list[int], of: list[int]) -> list[int]:
+    """Sums over each container and all in it; inner ones have larger numbers."""
+    total = list(of)
+    for k in range(len(total) - 1, 0, -1):
+        total[parents[k]] += total[k]
+    return total
 
 
 def main_text(html: str, sigma: float = 1.5, most: float = 0.6) -> str:
     """The article's blocks in page order, joined by line ends; empty if there is none."""
-    lines, kinds = page_lines(html)
+    page = read_page(html)
+    lines = page.lines
     if not lines:
         return ""
     ratios = smoothed(np.array([len(x.text) / (x.tags + 1) for x in lines]), sigma)
     upper = ratios >= threshold(ratios)
-    in_article = [any(kinds[k] in ("article", "main") for k in x.region) for x in lines]
-    sizes = [len(x.text) for x in lines]
-    free: set[int] = set()
-    if any(x.marks for x in lines):
-        free = released(lines, [n * bool(u or a) for n, u, a in zip(sizes, upper, in_article)], in_article, most)
-    outside = [any(m[0] not in free for m in x.marks) for x in lines]
-    weight = [n if not o else 0 for n, o in zip(sizes, outside)]
-    mass: dict[int, int] = {}
-    parents: dict[int, int] = {}
-    for chosen in ([w * bool(u) for w, u in zip(weight, upper)], weight):
-        mass.clear()
-        for x, w in zip(lines, chosen):
-            if w:
-                for k, inner in zip((0, *x.region), (*x.region, -1)):
-                    mass[k] = mass.get(k, 0) + w
-                    if inner > 0:
-                        parents[inner] = k
-        if mass:
-            break
-    if not mass:
+    marks = page.outside()
+    outside = [marks[x.mark] for x in lines]
+    if all(outside):
         return ""
-    articles = [k for k in mass if kinds[k] == "article"] or [k for k in mass if kinds[k] == "main"]
-    region = 0
-    if articles and mass[best := max(articles, key=lambda k: (mass[k], -k))] >= most / 2 * mass[0]:
-        region = best
-    else:
+    own: list[list[int]] = [[0] * len(page.kinds) for _ in range(2)]
+    for x, o, u in zip(lines, outside, upper):
+        if not o:
+            own[0][x.region] += len(x.text) * bool(u)
+            own[1][x.region] += len(x.text)
+    mass, whole = within(page.parents, own[0]), within(page.parents, own[1])
+    if not mass[0]:
+        mass = whole
+    region = article_of(page, whole)
+    if not region:
         children: dict[int, list[int]] = {}
-        for child, parent in parents.items():
-            if child in mass:
-                children.setdefault(parent, []).append(child)
+        for k in range(1, len(page.kinds)):
+            if mass[k]:
+                children.setdefault(page.parents[k], []).append(k)
         while inner := [k for k in children.get(region, ()) if mass[k] >= most * mass[region]]:
             region = inner[0]
-    return "\n".join(x.text for x, o in zip(lines, outside) if not o and (not region or region in x.region))
+    inside = [k == region for k in range(len(page.kinds))]
+    for k in range(1, len(inside)):
+        inside[k] = inside[k] or inside[page.parents[k]]
+    return "\n".join(x.text for x, o in zip(lines, outside) if not o and (not region or inside[x.region]))
+
+
+def article_of(page: PageLines, whole: list[int]) -> int:
+    """The article with most of the text of all outermost articles, else the main element with most text; 0 if there is none."""
+    articles = [k for k, tag in enumerate(page.kinds) if tag == "article" and whole[k] and not page.inner[k]]
+    best = max(articles, key=lambda k: (whole[k], -k), default=0)
+    mains = [k for k, tag in enumerate(page.kinds) if tag == "main" and whole[k]]
+    main = max(mains, key=lambda k: (whole[k], -k), default=0)
+    if best and (not main or 2 * whole[best] >= sum(whole[k] for k in articles)):
+        return best
+    return main
 
 
 def extract_text(

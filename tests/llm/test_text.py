@@ -258,3 +258,32 @@ def test_decontaminate_tables(spark):
         left = drop_contaminated(docs, items, block_chars=size)
         assert left.columns == docs.columns and left.count() == len(rows) - 1
     assert decontaminate(docs, items.limit(0)).count() == 0 and decontaminate(docs.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<body><div class="comments"><p>I like it a lot and more</p></div></body>', ""),
+        ('<div class="cookie-notice"><p>We use cookies here</p></div>', ""),
+        ("<form><p>Your name please, and more</p></form>", ""),
+        ('<body><div class="left-sidebar">' + "<p>side line of many words here</p>" * 6 + "</div><article><h1>Title</h1><p>One short.</p></article>", "Title\nOne short."),
+        ('<form><header>Top</header><div class="x"><p>Body text of the page.</p></div><footer>f</footer></form>', "Body text of the page."),
+        ('<div class="layout-sidebar"><nav>Menu</nav><div><p>Body text of the page.</p></div></div>', "Body text of the page."),
+        ('<div class="comment-list"><article><p>I agree with the author.</p></article></div>', ""),
+    ],
+)
+def test_what_never_comes_back(html, text):
+    assert main_text(html) == text
+
+
+@pytest.mark.parametrize("piece", ["<font><p>word word</p>", "<div>x ", "<b></i>y ", '<div class="ad">q ', "<span><li>a"])
+def test_pages_are_read_in_linear_time(piece):
+    import time
+
+    def cost(n):
+        start = time.process_time()
+        main_text("<html><body>" + piece * n)
+        return time.process_time() - start
+
+    cost(1000)
+    assert cost(40_000) < 30 * max(cost(4000), 0.02)
