@@ -51,8 +51,3 @@ def partials(measures: dict[str, Mergeable]) -> list[Column]:
 
 def merged(measures: dict[str, Mergeable]) -> list[Column]:
     return [m.merged(n).alias(n) for n, m in measures.items()]
-
-
-def top_n(n: int, *by: Column, ascending: bool = False) -> Column:
-    """The n first structs by their fields; for groups already reduced to few rows."""
-    return F.slice(F.sort_array(F.collect_list(F.struct(*by)), ascending), 1, n)

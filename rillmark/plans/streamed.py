@@ -13,20 +13,20 @@ from pyspark.sql import functions as F
 
 from rillmark.columns import Names, names
 from rillmark.functions.aggregate import Mergeable
-from rillmark.operators import aggregates, joins, patterns, project, ranking, state, windows
+from rillmark.operators import aggregates, joins, patterns, project, state, windows
 from rillmark.operators.ordered import with_row_frames
 from rillmark.plans.catalog import Tables, bucket, query
 from rillmark.plans.records import WORDS, lines
 from rillmark.plans.stateful import FOLLOWED, RULED, typed
 from rillmark.plans.windowed import POSITIONED, REPORTS, cumulated, hopped, ranked, tumbled
 from rillmark.streaming import processors as proc
-from rillmark.sinks.writers import fan_out, merge_batch, to_text_files
+from rillmark.sinks.writers import append_stream, fan_out, merge_batch, to_text_files
 from rillmark.sources import readers
 from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.eventtime import with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
 from rillmark.streaming.live import LiveCounts
-from rillmark.streaming.leader import LeaderSink, counts_with_last, stream_top_overall
+from rillmark.streaming.leader import LeaderSink, TopOfWindows, counts_with_last, stream_top_overall
 from rillmark.streaming.rules import RulesInForce, rules_and_actions
 from rillmark.streaming.turns import InTurn, Step, Turn
 from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_each, drain_updated
@@ -150,9 +150,11 @@ def w7(t: Tables) -> DataFrame:
 
 @query("w13_stream_topn", ranked(hopped("user_id", 10, 5), "cnt DESC, user_id", 2))
 def w13(t: Tables) -> DataFrame:
-    w = F.window("ts", "10 hours", "5 hours").alias("window")
-    counts = events(t).groupBy("user_id", w).agg(F.count(F.lit(1)).alias("cnt"))
-    return local(drain_appended(ranking.stream_top(counts, window="window", key="user_id", by="cnt", n=2)))
+    folder = t.scratch("window-top")
+    top = TopOfWindows(f"{folder}/out", by="cnt", tie="user_id", n=2)
+    counts = windows.hop(events(t), ts="ts", size="10 hours", slide="5 hours", key="user_id", panes=False)
+    drain(append_stream(counts).foreachBatch(top), f"{folder}/checkpoint")
+    return local(top.ranked(t.spark))
 
 
 # Events arrive in three lots: nine of ten up to the middle, nine of ten after it, and at last every tenth.

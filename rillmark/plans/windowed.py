@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.functions.aggregate import Mergeable
-from rillmark.functions.text import window_text
+from rillmark.functions.text import tokens, window_text
 from rillmark.functions.time import epoch_ms, event_time, window_start_ms
 from rillmark.operators import aggregates, project, ranking, windows
 from rillmark.plans.catalog import MS, Tables, bucket, query
-from rillmark.plans.records import WORDS, lines
+from rillmark.plans.records import TRIMMED, WORDS, lines
 from rillmark.sinks.writers import kafka_records
 from rillmark.sources import readers
 
@@ -49,6 +49,17 @@ def a2(t: Tables) -> DataFrame:
     return aggregates.running_count(t.events.select("event_id", "event_type"), key="event_type", order="event_id")
 
 
+@query("a2_running_word_count", f"""
+    SELECT doc_id, place, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, place) AS cnt FROM (
+        SELECT doc_id, unnest(parts) AS word, unnest(range(len(parts))) AS place FROM (
+            SELECT doc_id, string_split({TRIMMED}, ' ') AS parts FROM documents WHERE NOT (text <> '' AND {TRIMMED} = '')))""")
+def a2_words(t: Tables) -> DataFrame:
+    """After each word of the documents, in their order, how often it has come so far."""
+    words = t.table("documents").select("doc_id", F.posexplode(tokens("text")).alias("place", "word"))
+    words = words.withColumn("place", F.col("place").cast("bigint"))
+    return aggregates.running_count(words, key="word", order=["doc_id", "place"])
+
+
 @query("a4_running_reduce", running("user_id"))
 def a4(t: Tables) -> DataFrame:
     return aggregates.running_count(t.events.select("event_id", "user_id"), key="user_id", order="event_id")

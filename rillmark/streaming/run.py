@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from rillmark.session import shared_folder
 from rillmark.sinks.keyed import KeyedSink, KeyedTable
-from rillmark.sinks.writers import checkpointed, merge_batch
+from rillmark.sinks.writers import append_stream, changelog_stream, checkpointed, merge_batch
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -25,7 +25,7 @@ def drain_appended(df: DataFrame) -> DataFrame:
     """The final rows of an append-mode stream, by way of Parquet files."""
     spark = df.sparkSession
     path = shared_folder(spark, "stream")
-    drain(df.writeStream.outputMode("append").format("parquet").option("path", f"{path}/out"), f"{path}/checkpoint")
+    drain(append_stream(df).format("parquet").option("path", f"{path}/out"), f"{path}/checkpoint")
     return spark.read.schema(df.schema).parquet(f"{path}/out")
 
 
@@ -34,7 +34,7 @@ def drain_updated(df: DataFrame, key: list[str], buckets: int = 8) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, "stream")
     table = KeyedTable(spark, f"{path}/rows", df.schema, key, buckets)
-    drain(df.writeStream.outputMode("update").foreachBatch(KeyedSink(table)), f"{path}/checkpoint")
+    drain(changelog_stream(df).foreachBatch(KeyedSink(table)), f"{path}/checkpoint")
     return table.read()
 
 

@@ -15,7 +15,7 @@ from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming import processors as proc
 from rillmark.streaming.eventtime import WatermarkLog, current_watermark, with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
-from rillmark.streaming.leader import LeaderSink, counts_with_last, stream_top_overall
+from rillmark.streaming.leader import LeaderSink, TopOfWindows, counts_with_last, stream_top_overall
 from rillmark.streaming.live import LiveCounts
 from rillmark.streaming.rules import RulesInForce, rules_and_actions
 from rillmark.streaming.run import drain, drain_appended, drain_each, drain_updated
@@ -372,9 +372,9 @@ def test_leader_and_top_of_a_stream(spark):
 
 def test_stream_top_per_window_equals_batch(spark, table):
     _, stream = play(spark)
-    counts = stream.groupBy(F.window("ts", "10 seconds").alias("window"), "kind").agg(F.count(F.lit(1)).alias("cnt"))
-    got = drain_appended(ranking.stream_top(counts, window="window", key="kind", by="cnt", n=2))
-    got = got.filter(F.col("kind") != "end")
+    top = TopOfWindows(shared_folder(spark, "top"), by="cnt", tie="kind", n=2)
+    drain_each(windows.tumble(stream, ts="ts", size="10 seconds", key="kind"), top)
+    got = top.ranked(spark).filter(F.col("kind") != "end")
     batch = windows.tumble(table, ts="ts", size="10 seconds", key="kind")
     want = ranking.rank_within(batch, group=["window_start", "window_end"], by="cnt", tie="kind", n=2)
     columns = (F.unix_millis("window_start"), "kind", "cnt", "rank")
