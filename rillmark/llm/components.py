@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from rillmark.llm.common import stored
 
 
+#: Links that one task may join: a bound on its memory, not on the links, which stars join beyond it.
+FEW_LINKS = 100_000
+
+
 def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one part: each node with the smallest node it is joined to."""
     parent: dict[int, int] = {}
@@ -38,7 +42,8 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``(node, component)`` for each node that isn't the smallest of its component.
 
-    Links of a part are first contracted by union-find; then large and small stars alternate across parts until
+    Links of a part are first contracted by union-find. If no more than ``FEW_LINKS`` pairs of numbers are left, some
+    megabytes, one task joins them the same way; else large and small stars alternate across parts until
     nothing changes, each round written to the shared folder. Minima are pre-aggregated, joins may be split where a
     node is hot, and only a count and a checksum per round come to the driver.
     """
@@ -49,6 +54,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        if mark[0] <= FEW_LINKS:
+            edges = stored(edges.repartition(1).mapInArrow(forest, "u bigint, v bigint"), "links")
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = mark
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))

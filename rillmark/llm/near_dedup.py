@@ -166,18 +166,16 @@ def near_components(docs: DataFrame, id_col: str, text_col: str, words: int, per
 
     stars = members.filter("rep != center").filter(alike(percent)).select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = stored(confirmed(stars, sets, percent), "near-links")
-    labels = components(links, "a", "b")
+    labels = stored(components(links, "a", "b"), "near-labels")
     apart = unresolved(members, labels)
     for turn in range(TURNS):
         if apart.isEmpty():
             break
-        links = stored(links.unionByName(confirmed(star_pairs(apart, turn, percent), sets, percent)), "near-links")
-        labels = components(links, "a", "b")
+        labels = relabelled(labels, confirmed(star_pairs(apart, turn, percent), sets, percent))
         apart = unresolved(apart.drop("component"), labels)
     alone = stored(apart.select(F.col("rep").alias("id"), "n", "component").distinct(), "near-alone")
-    found = confirmed(rare_pairs(alone, sets, percent), sets, percent)
-    links = links.unionByName(found)
-    labels = components(links, "a", "b")
+    if not alone.isEmpty():
+        labels = relabelled(labels, confirmed(rare_pairs(alone, sets, percent), sets, percent))
 
     belongs = classes.join(labels, classes["rep"] == labels["node"], "left")
     belongs = belongs.select("d1", "d2", "least", F.coalesce("component", "rep").alias("component"))
@@ -191,6 +189,18 @@ def near_components(docs: DataFrame, id_col: str, text_col: str, words: int, per
     return result.withColumn("component", own).select("id", "n", "d1", "d2", "component"), twice
 
 
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after some more links: only these are joined, between the components that there are."""
+    links = stored(links, "near-links")
+    one, two = (labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of")) for c in "ab")
+    between = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("a_of", "a").alias("a"), F.coalesce("b_of", "b").alias("b"))
+    joined = components(between.filter("a != b"), "a", "b")
+    top = joined.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    moved = labels.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    # a component's own name is a node as well once it has joined another
+    return stored(moved.unionByName(joined).distinct(), "near-labels")
+
+
 def shared(each: DataFrame) -> DataFrame:
     """Members of the buckets with several classes, each with the smallest: ``rep, n, band, key, center, cn``."""
     several = each.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c"), F.count(F.lit(1)).alias("size")).filter("size > 1")

@@ -158,3 +158,24 @@ def test_an_id_used_twice_loses_only_its_own_copy(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == sorted(
         [(1, 1, True), (12, 1, False), (12, 12, True), (12, 12, True), (13, 12, False), (14, 14, True), (14, 14, True), (0, 0, True)]
     )
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_by_stars_and_in_one_task(spark, monkeypatch, few):
+    import random
+
+    from rillmark.llm import components as comp
+
+    monkeypatch.setattr(comp, "FEW_LINKS", few)
+    rnd = random.Random(3)
+    links = [(rnd.randint(-500, 500), rnd.randint(-500, 500)) for _ in range(450)] + [(600, 600 + k) for k in range(200)]
+    low = {x: x for pair in links for x in pair}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            least = min(low[a], low[b])
+            changed |= (low[a], low[b]) != (least, least)
+            low[a] = low[b] = least
+    found = comp.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(5), "a", "b")
+    assert {r.node: r.component for r in found.collect()} == {x: c for x, c in low.items() if x != c}
