@@ -1,6 +1,6 @@
 """Streaming forms, fed with the given tables as files that arrive one after the other, and drained to their end.
 
-Each table comes in six lots of arrival time, one per micro-batch, with events out of order by up to 72 minutes. So
+Each table comes in five lots of arrival time, one per micro-batch, with events out of order by up to 72 minutes. So
 watermarks, state and lateness pass from batch to batch. An append-mode stream sends a window once the watermark has
 passed it. As input that ends closes everything still open, a closing record far in the future comes as the last lot:
 it moves the watermark past every window, pair and timer, and is left out of the result.
@@ -39,7 +39,7 @@ CLOSING = -1
 
 #: Times of the tables that come as lots.
 TIMES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
-LOTS = 6
+LOTS = 5
 #: Folders of lots that are there already, by application, folder and table.
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 

@@ -75,14 +75,14 @@ ORDER = ["ts", "seq"]
 
 
 def hot_play(spark, delay="5 seconds"):
-    """A third of the rows on one key, nulls in value and key, six lots."""
-    data = [("hot" if i % 3 == 0 else None if i % 7 == 1 else f"u{i % 5}", i, 1000 + i * 400, None if i % 4 == 0 else "ab"[i % 2]) for i in range(120)]
+    """A third of the rows on one key, nulls in value and key, four lots."""
+    data = [("hot" if i % 3 == 0 else None if i % 7 == 1 else f"u{i % 5}", i, 1000 + i * 400, None if i % 4 == 0 else "ab"[i % 2]) for i in range(72)]
     disordered = sorted(data, key=lambda r: r[2] + (r[1] % 4) * 1100)
-    batches = [disordered[i : i + 20] for i in range(0, 120, 20)] + [[("end", 999, FAR, "end")]]
+    batches = [disordered[i : i + 18] for i in range(0, 72, 18)] + [[("end", 999, FAR, "end")]]
     return data, timed(spark, batches, EVENTS, delay)
 
 
-@pytest.fixture(scope="module", params=[None, 4])
+@pytest.fixture(scope="module", params=[None, 6])
 def slices(request):
     """Rows a task may sort: many, or so few that keys are cut."""
     return request.param
@@ -114,7 +114,7 @@ def test_carried_rows_equal_batch(spark, slices):
     want = step(whole.withColumn("_new", F.lit(True)), Turn(0, None))
     columns = [F.coalesce("user", F.lit("-")), "seq", F.coalesce("previous", F.lit("-")), "history", F.coalesce("recent", F.lit(-1)), "position"]
     assert rows(got, *columns) == rows(want, *columns)
-    assert got.count() == 120
+    assert got.count() == 72
 
 
 def test_count_windows_in_turn_equal_batch(spark, slices):
