@@ -20,9 +20,12 @@ def labelled(df: DataFrame, label: str | None) -> DataFrame:
     return df if label is None else df.select(F.lit(label).alias("label"), "*")
 
 
-def to_console(df: DataFrame, label: str | None = None, mode: str = "append") -> DataStreamWriter | None:
-    """Show rows, each under an optional label. For a stream, gives the writer to start."""
-    out = labelled(df, label)
+def to_console(df: DataFrame, label: str | None = None, mode: str = "append", columns: Names | None = None) -> DataStreamWriter | None:
+    """Show rows, each under an optional label. For a stream, gives the writer to start.
+
+    ``columns`` are those of the table that is shown; rows are mapped to them by name, whatever their own order.
+    """
+    out = labelled(df.select(*names(columns)) if columns else df, label)
     if df.isStreaming:
         return out.writeStream.format("console").outputMode(mode)
     out.show(truncate=False)

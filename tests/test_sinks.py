@@ -65,3 +65,9 @@ def test_jdbc_writer_picks_columns(spark):
     df = spark.createDataFrame([("u", "v", 1)], "user string, url string, ms bigint")
     writer = writers.to_jdbc(df, "jdbc:none", "clicks", ["user", "url"])
     assert writer._df.columns == ["user", "url"]
+
+
+def test_console_rows_are_mapped_by_name(spark, capsys):
+    writers.to_console(spark.createDataFrame([("u", 1, "x")], "b string, a int, c string"), "out", columns=["a", "b"])
+    shown = [line.replace(" ", "") for line in capsys.readouterr().out.splitlines()]
+    assert "|label|a|b|" in shown and "|out|1|u|" in shown
