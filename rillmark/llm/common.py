@@ -75,6 +75,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 out = fn(batch.slice(at, rows))
                 if out is not None and out.num_rows:
                     yield out
+        # the worker lives on; what its task no longer uses goes back
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(each, schema)
 
