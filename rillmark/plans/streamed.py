@@ -39,9 +39,13 @@ CLOSING = -1
 
 #: Times of the tables that come as lots.
 TIMES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+#: Columns that their streams use, where those are few of many.
+COLUMNS = {"orders": ["o_orderkey", "o_orderdate"], "lineitem": ["l_orderkey", "l_shipdate"]}
 LOTS = 5
+#: Rows of a lot that one file, and so one task, is to hold, and the most files of a lot.
+FILE_ROWS, LOT_FILES = 100_000, 64
 #: Folders of lots that are there already, by application, folder and table.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[str, int]] = {}
 
 
 def disorder(name: str) -> Column:
@@ -49,6 +53,11 @@ def disorder(name: str) -> Column:
     return (F.col("event_id") % 7) * 720_000_000 if name == "events" else F.lit(0)
 
 
+def lot_files(rows: int) -> int:
+    """How many files each lot of a table is to have, so that its micro-batch is read in parallel."""
+    return max(1, min(LOT_FILES, rows // (LOTS * FILE_ROWS)))
+
+
 def bill_span(t: Tables) -> tuple[int, int]:
     """First and last time of orders and line items, which are to arrive side by side."""
     ends = [t.table(n).agg(F.min(c).alias("a"), F.max(c).alias("b")) for n, c in TIMES.items() if n != "events"]
@@ -59,18 +68,19 @@ def bill_span(t: Tables) -> tuple[int, int]:
 
 def stream(t: Tables, name: str, close: bool = False) -> DataFrame:
     """A table as a stream of lots by its time, the closing record last; one without a time as a stream of its files."""
-    schema = t.table(name).schema
+    table = t.table(name).select(*COLUMNS.get(name, ["*"]))
     if name not in TIMES:
         # as a pattern the path may name a single file as well as a folder of files; a plain path must be a folder
         return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{t.folder}/{name}.parque[t]")
     key = (t.spark.sparkContext.applicationId, t.folder, name)
     if key not in _WRITTEN:
-        folder = t.scratch(f"lots-{name}")
+        folder, files = t.scratch(f"lots-{name}"), lot_files(table.count())
         span = None if name == "events" else bill_span(t)
-        write_lots(t.table(name), folder, ts=TIMES[name], lots=LOTS, delay=disorder(name), width_us=span)
-        end_of(t, name).write.mode("append").parquet(folder)
-        _WRITTEN[key] = folder
-    lots = lots_stream(t.spark, _WRITTEN[key], schema)
+        write_lots(table, folder, ts=TIMES[name], lots=LOTS, delay=disorder(name), width_us=span, files=files)
+        end_of(t, name).select(*table.columns).write.mode("append").parquet(folder)
+        _WRITTEN[key] = folder, files
+    folder, files = _WRITTEN[key]
+    lots = lots_stream(t.spark, folder, table.schema, files)
     return lots if close else lots.filter(~is_end(name))
 
 
@@ -180,8 +190,8 @@ def late_lots(t: Tables) -> DataFrame:
         lots = t.events.withColumn("lot", F.when(F.col("event_id") % 10 == 0, 2).when(us < middle, 0).otherwise(1))
         for k in range(3):
             lots.filter(F.col("lot") == k).drop("lot").coalesce(1).write.mode("append").parquet(folder)
-        _WRITTEN[key] = folder
-    return lots_stream(t.spark, _WRITTEN[key], t.events.schema)
+        _WRITTEN[key] = folder, 1
+    return lots_stream(t.spark, _WRITTEN[key][0], t.events.schema)
 
 
 @query("t5_stream_late_split", f"SELECT event_id, side FROM ({SIDES})")
