@@ -69,13 +69,18 @@ class KeyedTable:
         """
         before = self.last_batch(before=batch)
         held = self.manifest(before)
-        # as many numbers as there are buckets at most
-        touched = {r["b"] for r in new.select(self.bucket().alias("b")).distinct().collect()}
         version = f"v{batch}"
-        old = self.read(before, touched)
-        after = combine(old, new).select(*self.schema.fieldNames()).withColumn("_bucket", self.bucket())
         target = f"{self.folder}/{version}"
-        after.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
+        # used several times below; a micro-batch would be computed as often
+        new = new.persist()
+        try:
+            # as many numbers as there are buckets at most
+            touched = {r["b"] for r in new.select(self.bucket().alias("b")).distinct().collect()}
+            old = self.read(before, touched)
+            after = combine(old, new).select(*self.schema.fieldNames()).withColumn("_bucket", self.bucket())
+            after.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
+        finally:
+            new.unpersist()
         wrote = self.fs.get_file_info(pafs.FileSelector(f"{self.path}/{version}"))
         here = {int(i.base_name.split("=")[1]): f"{version}/{i.base_name}" for i in wrote if i.base_name.startswith("_bucket=")}
         # a touched bucket without rows is gone

@@ -2,6 +2,7 @@
 
 from rillmark.functions.time import event_time
 from rillmark.session import shared_folder
+from rillmark.sinks.keyed import KeyedTable, newest
 from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.run import drain_each
 
@@ -25,3 +26,18 @@ def test_every_lot_has_the_same_number_of_files(spark):
     seen = []
     drain_each(lots_stream(spark, folder, table.schema, 3), lambda df, k: seen.append(sorted(r["seq"] for r in df.collect())))
     assert seen == [list(range(40)), [50], list(range(81, 120))]
+
+
+def test_a_merge_computes_new_rows_once(spark):
+    table = KeyedTable(spark, shared_folder(spark, "keyed"), timed(spark, []).schema, "user", buckets=2)
+    seen = spark.sparkContext.accumulator(0)
+    source = timed(spark, [("a", 1, 0), ("b", 2, 0)])
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    table.merge(0, source.mapInArrow(count, source.schema), newest("user"))
+    assert seen.value == 2
+    assert rows(table.read(), "user", "seq") == [("a", 1), ("b", 2)]
