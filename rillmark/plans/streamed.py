@@ -23,6 +23,7 @@ from rillmark.streaming import processors as proc
 from rillmark.sinks.writers import append_stream, fan_out, merge_batch, to_text_files
 from rillmark.sources import readers
 from rillmark.sources.lots import lots_stream, write_lots
+from rillmark.streaming.alarms import AlarmSink
 from rillmark.streaming.eventtime import with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
 from rillmark.streaming.live import LiveCounts
@@ -481,8 +482,10 @@ def a11(t: Tables) -> DataFrame:
 @query("t7_stream_timers", f"""
     SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 36000000 AS time_ms FROM events""")
 def t7(t: Tables) -> DataFrame:
-    told = drain_appended(proc.alarms(events(t), key="user_id", ts="ts", wait_ms=36_000_000))
-    return told.filter(F.col("kind") == "rang").select("user_id", "time_ms")
+    folder = t.scratch("alarms")
+    sink = AlarmSink(folder, key="user_id", ts="ts", wait_ms=36_000_000, delay_ms=DELAY_MS)
+    drain(stream(t, "events", close=True).select("user_id", "ts").writeStream.foreachBatch(sink), f"{folder}/checkpoint")
+    return sink.told(t.spark).filter(F.col("kind") == "rang").select("user_id", "time_ms")
 
 
 @query("a4_stream_running_count", f"""

@@ -4,6 +4,7 @@ from rillmark.functions.time import event_time
 from rillmark.session import shared_folder
 from rillmark.sinks.keyed import KeyedTable, newest
 from rillmark.sources.lots import lots_stream, write_lots
+from rillmark.streaming.alarms import AlarmSink
 from rillmark.streaming.run import drain_each
 
 EVENTS = "user string, seq bigint, ms bigint"
@@ -41,3 +42,24 @@ def test_a_merge_computes_new_rows_once(spark):
     table.merge(0, source.mapInArrow(count, source.schema), newest("user"))
     assert seen.value == 2
     assert rows(table.read(), "user", "seq") == [("a", 1), ("b", 2)]
+
+
+def test_alarms_tell_when_they_were_set_and_rang(spark):
+    sink = AlarmSink(shared_folder(spark, "alarms"), key="user", ts="ts", wait_ms=10_000, delay_ms=2000)
+    lots = [
+        [("a", 1, 1000), ("a", 2, 1000), (None, 3, 2000)],
+        # the first comes too late, as the watermark of the batch before is 0; the second again asks for a time that waits
+        [("b", 4, 0), ("a", 5, 1000), ("b", 6, 13_000)],
+        [("b", 7, 14_500), ("b", 8, 4_000_000)],
+    ]
+    for k in (0, 1, 1, 2):
+        sink(timed(spark, lots[k]), k)
+    told = sink.told(spark)
+    assert rows(told.filter("kind = 'rang'"), "user", "time_ms", "clock_ms") == [
+        ("a", 11_000, 11_000), ("b", 23_000, 3_998_000), ("b", 24_500, 3_998_000), (None, 12_000, 3_998_000)
+    ]
+    assert rows(told.filter("kind = 'set'"), "user", "time_ms", "clock_ms") == [
+        ("a", 1000, 0), ("a", 1000, None), ("a", 1000, None), ("b", 13_000, 0),
+        ("b", 14_500, 11_000), ("b", 4_000_000, 11_000), (None, 2000, None),
+    ]
+    assert rows(sink.late(spark), "user") == [("b",)]
