@@ -19,7 +19,6 @@ from rillmark.plans.catalog import Tables, bucket, query
 from rillmark.plans.records import WORDS, lines
 from rillmark.plans.stateful import FOLLOWED, RULED, typed
 from rillmark.plans.windowed import POSITIONED, REPORTS, cumulated, hopped, ranked, tumbled
-from rillmark.streaming import processors as proc
 from rillmark.sinks.writers import append_stream, fan_out, merge_batch, to_text_files
 from rillmark.sources import readers
 from rillmark.sources.lots import lots_stream, write_lots
@@ -29,6 +28,7 @@ from rillmark.streaming.late import LateSplitter
 from rillmark.streaming.live import LiveCounts
 from rillmark.streaming.leader import LeaderSink, TopOfWindows, counts_with_last, stream_top_overall
 from rillmark.streaming.rules import RulesInForce, rules_and_actions
+from rillmark.streaming.totals import TotalsInTurn
 from rillmark.streaming.turns import InTurn, Step, Turn
 from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_each, drain_updated
 
@@ -473,10 +473,13 @@ def o1(t: Tables) -> DataFrame:
 
 @query("a11_stream_total", REPORTS)
 def a11(t: Tables) -> DataFrame:
-    timed = events(t).withColumn("us", F.unix_micros("ts"))
-    step = proc.running_total_step(3 * 3_600_000_000)
-    found = proc.in_order(timed, key="user_id", ts="ts", seq="event_id", keep=["us"], step=step)
-    return drain_appended(found).filter(F.col("user_id") != CLOSING)
+    events_of = stream(t, "events", close=True).select("user_id", "ts", "event_id")
+    folder = t.scratch("totals")
+    sink = TotalsInTurn(
+        t.spark, folder, events_of.schema, key="user_id", ts="ts", seq="event_id", wait_us=3 * 3_600_000_000, delay_ms=DELAY_MS
+    )
+    drain(events_of.writeStream.foreachBatch(sink), f"{folder}/checkpoint")
+    return sink.sent(t.spark).filter(F.col("user_id") != CLOSING).drop("batch")
 
 
 @query("t7_stream_timers", f"""

@@ -6,6 +6,7 @@ from rillmark.sinks.keyed import KeyedTable, newest
 from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.alarms import AlarmSink
 from rillmark.streaming.run import drain_each
+from rillmark.streaming.totals import TotalsInTurn
 
 EVENTS = "user string, seq bigint, ms bigint"
 BILLS = "id bigint, ms bigint, is_app boolean"
@@ -63,3 +64,18 @@ def test_alarms_tell_when_they_were_set_and_rang(spark):
         ("b", 14_500, 11_000), ("b", 4_000_000, 11_000), (None, 2000, None),
     ]
     assert rows(sink.late(spark), "user") == [("b",)]
+
+
+def test_totals_are_reported_across_batches(spark):
+    data = [("a", 1, 1000), ("b", 2, 1200), ("a", 3, 4000), ("a", 4, 4001), (None, 5, 4500), ("a", 6, 9000)]
+    schema = timed(spark, data).select("user", "ts", "seq").schema
+    sink = TotalsInTurn(spark, shared_folder(spark, "totals"), schema, key="user", ts="ts", seq="seq", wait_us=3_000_000, delay_ms=500)
+    for k, lot in enumerate([data[2:3] + data[:2], data[3:5], data[3:5], data[5:], [("end", 9, 9_000_000)]]):
+        # the second batch comes twice
+        sink(timed(spark, lot), k - (k > 1))
+    got = sink.sent(spark).filter("user IS NULL OR user <> 'end'")
+    assert rows(got, "user", "reported_us", "total") == [
+        ("a", 4_000_000, 2), ("a", 7_001_000, 3), ("a", 12_000_000, 4), ("b", 4_200_000, 1), (None, 7_500_000, 1)
+    ]
+    # b has no event later than its report, which the watermark alone brought about
+    assert rows(got.filter("user = 'b'"), "batch") == [(2,)]
