@@ -138,17 +138,19 @@ def interval_join(
     return pairs.drop("_bucket", "_low", "_high", "_at")
 
 
-def reconcile(app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str) -> DataFrame:
+def reconcile(app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str, keep: Names = ()) -> DataFrame:
     """Match bills of two sources by id; the third party may follow the app by up to ``wait``.
 
     Gives ``match``, ``third_missing`` or ``app_missing`` as ``status``, told by which side is there, so a bill without
     a time is missing its partner whatever its side. Ids are meant to be unique per source; where one repeats, each
     fitting pair is a match. A batch join equates a time bucket as long as the wait next to the id, so an id that
     repeats very often is split by time. One join gives pairs and bills without a partner; each side is shuffled once.
+    Columns to ``keep`` come back as ``app_*`` and ``third_*``.
     """
     span = F.expr(f"interval {wait}")
-    a = app.select(F.col(key).alias("app_id"), F.col(ts).alias("app_ts"), F.lit(True).alias("_app"))
-    b = third.select(F.col(key).alias("third_id"), F.col(ts).alias("third_ts"), F.lit(True).alias("_third"))
+    kept = {s: [F.col(c).alias(f"{s}_{c}") for c in names(keep)] for s in ("app", "third")}
+    a = app.select(F.col(key).alias("app_id"), F.col(ts).alias("app_ts"), *kept["app"], F.lit(True).alias("_app"))
+    b = third.select(F.col(key).alias("third_id"), F.col(ts).alias("third_ts"), *kept["third"], F.lit(True).alias("_third"))
     in_time = (F.col("third_ts") >= F.col("app_ts")) & (F.col("third_ts") <= F.col("app_ts") + span)
     on = (F.col("app_id") == F.col("third_id")) & in_time
     if app.isStreaming or third.isStreaming:
@@ -167,11 +169,12 @@ def reconcile(app: DataFrame, third: DataFrame, *, key: str, ts: str, wait: str)
         # a bill of the third party came once, so what it found is final; an app bill is alone if neither of its two found any
         found = joined.filter("_third").drop("_row")
         none = joined.filter("_third IS NULL").groupBy("_row").agg(
-            F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in ("app_id", "app_ts", "_app")]
+            F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in a.columns]
         )
         both = found.unionByName(none.filter("_n = 2").drop("_row", "_n"), allowMissingColumns=True)
     status = F.when(F.col("_third").isNull(), "third_missing").when(F.col("_app").isNull(), "app_missing").otherwise("match")
-    return both.select(F.coalesce("app_id", "third_id").alias(key), "app_ts", "third_ts", status.alias("status"))
+    more = [f"{s}_{c}" for s in ("app", "third") for c in names(keep)]
+    return both.select(F.coalesce("app_id", "third_id").alias(key), "app_ts", "third_ts", status.alias("status"), *more)
 
 
 def latest_rule(rules: DataFrame, order: str) -> DataFrame:

@@ -23,6 +23,7 @@ from rillmark.sinks.writers import append_stream, fan_out, merge_batch, to_text_
 from rillmark.sources import readers
 from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.alarms import AlarmSink
+from rillmark.streaming.bills import BillCheck, both_sides
 from rillmark.streaming.eventtime import with_event_time, with_watermark
 from rillmark.streaming.late import LateSplitter
 from rillmark.streaming.live import LiveCounts
@@ -34,6 +35,7 @@ from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_
 
 DELAY = "2 hours"
 DELAY_MS = 7_200_000
+DAY_MS = 86_400_000
 #: Key of the closing record.
 CLOSING = -1
 
@@ -260,8 +262,7 @@ def j1(t: Tables) -> DataFrame:
 
 
 def bills(t: Tables, name: str, key: str, ts: str) -> DataFrame:
-    both = stream(t, name, close=True)
-    return with_watermark(both.select(F.col(key).alias("id"), F.col(ts).alias("ts")), ts="ts", delay="1 day")
+    return stream(t, name, close=True).select(F.col(key).alias("id"), F.col(ts).cast("timestamp").alias("ts"))
 
 
 BILLS = """
@@ -274,7 +275,11 @@ BILLS = """
 def checked_bills(t: Tables) -> DataFrame:
     """Bills without a partner follow as the watermark passes them; the closing records, without an id, are no bills."""
     app, third = bills(t, "orders", "o_orderkey", "o_orderdate"), bills(t, "lineitem", "l_orderkey", "l_shipdate")
-    return local(drain_appended(joins.reconcile(app, third, key="id", ts="ts", wait="30 days"))).filter("id IS NOT NULL")
+    both = both_sides(app, third)
+    folder = t.scratch("bills")
+    check = BillCheck(folder, both.schema, key="id", ts="ts", wait="30 days", delay_ms=DAY_MS)
+    drain(both.writeStream.foreachBatch(check), f"{folder}/checkpoint")
+    return local(check.sent(t.spark)).filter("id IS NOT NULL")
 
 
 @query("j3_stream_bill_check", BILLS)

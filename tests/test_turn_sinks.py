@@ -1,10 +1,15 @@
 """Sinks that keep waiting rows in tables: alarms, totals, bills, and lots of several files."""
 
+import pytest
+
+from rillmark.columns import micros
 from rillmark.functions.time import event_time
+from rillmark.operators import joins
 from rillmark.session import shared_folder
 from rillmark.sinks.keyed import KeyedTable, newest
 from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.alarms import AlarmSink
+from rillmark.streaming.bills import BillCheck
 from rillmark.streaming.run import drain_each
 from rillmark.streaming.totals import TotalsInTurn
 
@@ -79,3 +84,44 @@ def test_totals_are_reported_across_batches(spark):
     ]
     # b has no event later than its report, which the watermark alone brought about
     assert rows(got.filter("user = 'b'"), "batch") == [(2,)]
+
+
+@pytest.mark.parametrize("size", [2, 3, 20])
+def test_bills_are_told_as_in_batch(spark, size):
+    data = []
+    for i in range(20):
+        data.append((i, 1000 * i, True))
+        if i % 3:
+            data.append((i, 1000 * i + (i % 5) * 1500, False))
+        if i % 7 == 0:
+            data.append((i, 1000 * i + 5000, False))
+            data.append((100 + i, 1000 * i, False))
+    data = sorted(data, key=lambda r: r[1] + (r[0] % 3) * 400) + [(None, 9_000_000, True), (None, 9_000_000, False)]
+    table = timed(spark, data, BILLS)
+    check = BillCheck(shared_folder(spark, "bills"), table.schema, key="id", ts="ts", wait="4 seconds", delay_ms=1000)
+    step = -(-len(data) // size)
+    for k in range(size):
+        check(timed(spark, data[k * step : (k + 1) * step], BILLS), k)
+    sides = [table.filter(c).select("id", "ts") for c in ("is_app", "NOT is_app")]
+    want = joins.reconcile(*sides, key="id", ts="ts", wait="4 seconds").filter("id IS NOT NULL")
+    columns = ["id", "app_ts", "third_ts", "status"]
+    assert rows(check.sent(spark).filter("id IS NOT NULL"), *columns) == rows(want, *columns)
+
+
+def test_bills_too_late_or_without_time(spark):
+    schema = timed(spark, [], BILLS).schema
+    check = BillCheck(shared_folder(spark, "bills"), schema, key="id", ts="ts", wait="4 seconds", delay_ms=1000)
+    lots = [
+        [(1, 1000, True), (2, None, True), (2, None, False), (3, 20_000, True)],
+        [(1, 5000, False), (4, 30_000, False)],
+        # the watermark is 19 s
+        [(5, 18_000, False), (3, 23_000, False), (6, 60_000, True), (6, 60_000, False)],
+    ]
+    for k in (0, 1, 1, 2, 2):
+        check(timed(spark, lots[k], BILLS), k)
+    sent = check.sent(spark).withColumns({c: micros(check.sent(spark), c) / 1_000_000 for c in ("app_ts", "third_ts")})
+    assert rows(sent, "id", "app_ts", "third_ts", "status") == [
+        (1, 1.0, 5.0, "match"), (2, None, None, "app_missing"), (2, None, None, "third_missing"),
+        (3, 20.0, 23.0, "match"), (4, None, 30.0, "app_missing"), (6, 60.0, 60.0, "match"),
+    ]
+    assert rows(check.late(spark), "id") == [(5,)]
