@@ -31,7 +31,7 @@ from rillmark.streaming.leader import LeaderSink, TopOfWindows, counts_with_last
 from rillmark.streaming.rules import RulesInForce, rules_and_actions
 from rillmark.streaming.totals import TotalsInTurn
 from rillmark.streaming.turns import InTurn, Step, Turn
-from rillmark.streaming.run import drain, drain_appended, drain_complete, drain_each, drain_updated
+from rillmark.streaming.run import drain, drain_added, drain_appended, drain_complete, drain_each, drain_updated
 
 DELAY = "2 hours"
 DELAY_MS = 7_200_000
@@ -74,7 +74,8 @@ def stream(t: Tables, name: str, close: bool = False) -> DataFrame:
     table = t.table(name).select(*COLUMNS.get(name, ["*"]))
     if name not in TIMES:
         # as a pattern the path may name a single file as well as a folder of files; a plain path must be a folder
-        return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{t.folder}/{name}.parque[t]")
+        files = -(-len(table.inputFiles()) // LOTS)
+        return t.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, files)).parquet(f"{t.folder}/{name}.parque[t]")
     key = (t.spark.sparkContext.applicationId, t.folder, name)
     if key not in _WRITTEN:
         folder, files = t.scratch(f"lots-{name}"), lot_files(table.count())
@@ -119,7 +120,7 @@ def local(df: DataFrame) -> DataFrame:
 @query("a3_stream_word_count", f"SELECT word, count(*) AS n FROM ({WORDS}) GROUP BY word")
 def a3(t: Tables) -> DataFrame:
     words = project.tokenize(stream(t, "documents"), "text")
-    return drain_updated(aggregates.count_by(words, "word", "n"), ["word"])
+    return drain_added(words, lambda rows: aggregates.count_by(rows, "word", "n"), ["word"], ["n"], buckets=32)
 
 
 @query("w11_stream_tumble", tumbled("event_type", "1 hour"))

@@ -65,7 +65,7 @@ class KeyedTable:
 
         ``old`` has the rows of those buckets only and also keys that are not in ``new``, which
         ``combine`` has to hand on. Gives the rows that were written. A replay of the last batch sees
-        the version before it again.
+        the version before it again. Rows that ``combine`` has dealt by ``_bucket`` and gives with that column aren't dealt again.
         """
         before = self.last_batch(before=batch)
         held = self.manifest(before)
@@ -77,8 +77,10 @@ class KeyedTable:
             # as many numbers as there are buckets at most
             touched = {r["b"] for r in new.select(self.bucket().alias("b")).distinct().collect()}
             old = self.read(before, touched)
-            after = combine(old, new).select(*self.schema.fieldNames()).withColumn("_bucket", self.bucket())
-            after.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
+            after = combine(old, new)
+            if "_bucket" not in after.columns:
+                after = after.select(*self.schema.fieldNames()).withColumn("_bucket", self.bucket()).repartition("_bucket")
+            after.write.mode("overwrite").partitionBy("_bucket").parquet(target)
         finally:
             new.unpersist()
         wrote = self.fs.get_file_info(pafs.FileSelector(f"{self.path}/{version}"))
@@ -132,6 +134,24 @@ def added(key: Names, sums: Names) -> Callable[[DataFrame, DataFrame], DataFrame
     return combine
 
 
+class AddingSink:
+    """A ``foreachBatch`` sink that adds up rows per key over the whole stream, each micro-batch by one aggregate.
+
+    ``new`` gives the sums of one micro-batch; keys that it does not bring are not looked up one by one. A replayed batch changes nothing.
+    """
+
+    def __init__(self, table: KeyedTable, new: Callable[[DataFrame], DataFrame], sums: Names) -> None:
+        self.table, self.new, self.sums = table, new, names(sums)
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        self.table.merge(batch_id, self.new(df), self._added)
+
+    def _added(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        dealt = old.unionByName(new).withColumn("_bucket", self.table.bucket()).repartition("_bucket")
+        # rows of a bucket lie together, so this takes no second shuffle
+        return dealt.groupBy(*self.table.key, "_bucket").agg(*[F.sum(c).alias(c) for c in self.sums])
+
+
 class KeyedSink:
     """A ``foreachBatch`` sink that keeps the current row of each key of an update-mode stream."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillmark.session import shared_folder
-from rillmark.sinks.keyed import KeyedSink, KeyedTable
+from rillmark.sinks.keyed import AddingSink, KeyedSink, KeyedTable
 from rillmark.sinks.writers import append_stream, changelog_stream, checkpointed, merge_batch
 
 
@@ -38,6 +38,15 @@ def drain_updated(df: DataFrame, key: list[str], buckets: int = 8) -> DataFrame:
     return table.read()
 
 
+def drain_added(df: DataFrame, new: Callable[[DataFrame], DataFrame], key: list[str], sums: list[str], buckets: int = 8) -> DataFrame:
+    """Sums per key of a whole stream, of which ``new`` gives those of a micro-batch."""
+    spark = df.sparkSession
+    path = shared_folder(spark, "stream")
+    table = KeyedTable(spark, f"{path}/rows", new(df).schema, key, buckets)
+    drain(df.writeStream.foreachBatch(AddingSink(table, new, sums)), f"{path}/checkpoint")
+    return table.read()
+
+
 def drain_complete(df: DataFrame) -> DataFrame:
     """The whole result of a complete-mode stream after its last micro-batch."""
     spark = df.sparkSession

@@ -4,9 +4,9 @@ import pytest
 
 from rillmark.columns import micros
 from rillmark.functions.time import event_time
-from rillmark.operators import joins
+from rillmark.operators import aggregates, joins
 from rillmark.session import shared_folder
-from rillmark.sinks.keyed import KeyedTable, newest
+from rillmark.sinks.keyed import AddingSink, KeyedTable, newest
 from rillmark.sources.lots import lots_stream, write_lots
 from rillmark.streaming.alarms import AlarmSink
 from rillmark.streaming.bills import BillCheck
@@ -50,6 +50,15 @@ def test_a_merge_computes_new_rows_once(spark):
     assert rows(table.read(), "user", "seq") == [("a", 1), ("b", 2)]
 
 
+def test_sums_of_a_stream_are_added_once(spark):
+    table = KeyedTable(spark, shared_folder(spark, "sums"), aggregates.count_by(timed(spark, []), "user", "n").schema, "user", buckets=4)
+    sink = AddingSink(table, lambda df: aggregates.count_by(df, "user", "n"), "n")
+    lots = [[("a", 1, 0), ("a", 2, 0), (None, 3, 0)], [("a", 4, 0), ("b", 5, 0)], [(None, 6, 0)]]
+    for k in (0, 1, 1, 2):
+        sink(timed(spark, lots[k]), k)
+    assert rows(table.read(), "user", "n") == [("a", 3), ("b", 1), (None, 2)]
+
+
 def test_alarms_tell_when_they_were_set_and_rang(spark):
     sink = AlarmSink(shared_folder(spark, "alarms"), key="user", ts="ts", wait_ms=10_000, delay_ms=2000)
     lots = [
