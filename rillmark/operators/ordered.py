@@ -31,17 +31,23 @@ SLICE_ROWS_CONF = "spark.rillmark.sliceRows"
 SLICE_ROWS = 4_000_000
 # Passed as ``slice_rows`` where the keys are known to be small: no count is made.
 KNOWN_SMALL = sys.maxsize
+# Hash buckets that tell which keys may be large, and how many large ones a condition names.
+KEY_BUCKETS, NAMED_BUCKETS = 65_536, 1000
 # A table of at most this many rows is small enough to be copied to every executor.
 BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
 class Slices:
-    """A DataFrame with slice columns, and a bound on the number of slices of cut keys."""
+    """A DataFrame with slice columns, and a bound on the number of slices of cut keys.
+
+    ``where`` holds for the rows of all keys that were cut, and few others; None stands for all rows.
+    """
 
     df: DataFrame
     columns: list[str]
     count: int
+    where: Column | None = None
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
@@ -65,10 +71,27 @@ def check_keys(df: DataFrame, keys: Names, slice_rows: int | None = None) -> int
     limit = slice_rows_of(df, slice_rows)
     if limit == KNOWN_SMALL:
         return limit
-    large = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    where = may_be_large(df, keys, limit)
+    if where is None:
+        return KNOWN_SMALL
+    large = df.filter(where).groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     return KNOWN_SMALL if large.isEmpty() else limit
 
 
+def may_be_large(df: DataFrame, keys: Names, limit: int) -> Column | None:
+    """A condition that holds for all rows of keys with more than ``limit`` rows; None if there is no such key.
+
+    Rows are counted per hash bucket, so tasks hand on a bounded number of counts, however many keys there are. A key
+    is no larger than its bucket; only keys of large buckets have to be counted by themselves.
+    """
+    bucket = F.pmod(F.xxhash64(*names(keys)), F.lit(KEY_BUCKETS))
+    sizes = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    large = [r["_b"] for r in sizes.limit(NAMED_BUCKETS + 1).collect()]
+    if not large:
+        return None
+    return F.lit(True) if len(large) > NAMED_BUCKETS else bucket.isin(large)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether a side table is short enough to copy everywhere; reads no further than the bound."""
     return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -105,13 +128,16 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
     places = [micros(df, c) for c in order]
     slices: list[str] = []
     total = 0
+    where = may_be_large(df, keys, limit) if keys else F.lit(True)
+    if where is None:
+        # the usual case, and the only count there is
+        return Slices(df, [], 0)
     while True:
         group = keys + slices
-        grids = _grids(df, group, places, limit)
+        grids = _grids(df.filter(where), group, places, limit)
         taken = {c.lower() for c in df.columns}
         name = next(n for i in count() if (n := f"_slice{i}") not in taken)
         if group:
-            # Where no key is large, which is the usual case, this one count is all there is.
             cells = grids.agg(F.sum("_cells")).first()[0]
             if not cells:
                 break
@@ -128,7 +154,7 @@ def cut(df: DataFrame, keys: Names | None, order: Names, slice_rows: int | None
             limit = one["_limit"]
             df = df.withColumn(name, F.call_function("div", _wide(places[one["_by"]]) - F.lit(one["_lo"]), F.lit(one["_step"])))
         slices.append(name)
-    return Slices(df, slices, total)
+    return Slices(df, slices, total, where if keys else None)
 
 
 def _wide(place: Column) -> Column:
@@ -290,7 +316,9 @@ def with_running(
             w = Window.partitionBy(F.lit(0)).orderBy(*_sorted(order, reverse)).rowsBetween(Window.unboundedPreceding, end)
         return df.withColumns({n: m.local().over(w) for n, m in measures.items()})
     group = keys + sliced.columns
-    totals = sliced.df.groupBy(*group).agg(
+    # a key that was not cut has nothing to carry
+    summed = sliced.df if sliced.where is None else sliced.df.filter(sliced.where)
+    totals = summed.groupBy(*group).agg(
         *[m.total(order, reverse).alias(f"_t_{n}") for n, m in measures.items()]
     )
     # One row per slice: the order over slices is short, also where there is no key.

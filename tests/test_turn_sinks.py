@@ -5,6 +5,7 @@ import pytest
 from rillmark.columns import micros
 from rillmark.functions.time import event_time
 from rillmark.operators import aggregates, joins
+from rillmark.operators.ordered import KNOWN_SMALL, cut, may_be_large, with_position
 from rillmark.session import shared_folder
 from rillmark.sinks.keyed import AddingSink, KeyedTable, newest
 from rillmark.sources.lots import lots_stream, write_lots
@@ -134,3 +135,14 @@ def test_bills_too_late_or_without_time(spark):
         (3, 20.0, 23.0, "match"), (4, None, 30.0, "app_missing"), (6, 60.0, 60.0, "match"),
     ]
     assert rows(check.late(spark), "id") == [(5,)]
+
+
+def test_only_large_buckets_are_counted_by_key(spark):
+    many = timed(spark, [(f"u{i % 50}", i, i) for i in range(200)] + [("hot", i, i) for i in range(200, 260)] + [(None, i, i) for i in range(300, 340)])
+    assert may_be_large(many, "user", 60) is None
+    where = may_be_large(many, "user", 30)
+    assert {r["user"] for r in many.filter(where).select("user").distinct().collect()} == {"hot", None}
+    sliced = cut(many, "user", "seq", 30)
+    assert sliced.columns and sliced.df.filter(sliced.where).count() == 100
+    got = with_position(many, keys="user", order="seq", slice_rows=30)
+    assert rows(got, "user", "seq", "position") == rows(with_position(many, keys="user", order="seq", slice_rows=KNOWN_SMALL), "user", "seq", "position")
