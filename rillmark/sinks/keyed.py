@@ -72,17 +72,15 @@ class KeyedTable:
         version = f"v{batch}"
         target = f"{self.folder}/{version}"
         # used several times below; a micro-batch would be computed as often
-        new = new.persist()
-        try:
-            # as many numbers as there are buckets at most
-            touched = {r["b"] for r in new.select(self.bucket().alias("b")).distinct().collect()}
-            old = self.read(before, touched)
-            after = combine(old, new)
-            if "_bucket" not in after.columns:
-                after = after.select(*self.schema.fieldNames()).withColumn("_bucket", self.bucket()).repartition("_bucket")
-            after.write.mode("overwrite").partitionBy("_bucket").parquet(target)
-        finally:
-            new.unpersist()
+        new.write.mode("overwrite").parquet(f"{self.folder}/came")
+        new = self.spark.read.schema(new.schema).parquet(f"{self.folder}/came")
+        # as many numbers as there are buckets at most
+        touched = {r["b"] for r in new.select(self.bucket().alias("b")).distinct().collect()}
+        old = self.read(before, touched)
+        after = combine(old, new)
+        if "_bucket" not in after.columns:
+            after = after.select(*self.schema.fieldNames()).withColumn("_bucket", self.bucket()).repartition("_bucket")
+        after.write.mode("overwrite").partitionBy("_bucket").parquet(target)
         wrote = self.fs.get_file_info(pafs.FileSelector(f"{self.path}/{version}"))
         here = {int(i.base_name.split("=")[1]): f"{version}/{i.base_name}" for i in wrote if i.base_name.startswith("_bucket=")}
         # a touched bucket without rows is gone
