@@ -1,7 +1,9 @@
-"""Token ids of texts with a public vocabulary, by way of cached chunks.
+"""Token ids of texts with a public vocabulary, by way of cached units.
 
-The tokenizers library encodes each chunk of a text once; ids of repeated chunks come from a cache. Texts are cut
-only where the tokenizer's own splitting must cut as well, so the ids equal those of the whole text:
+The tokenizers library encodes each unit of its own splitting once; ids of repeated units come from a cache. Texts of
+Latin-1 characters are split into units by a pattern that cuts them as the vocabulary's own does. Texts that hold other
+characters or a special token are first cut into chunks, but only where that splitting must cut as well, so the ids
+equal those of the whole text:
 
 * ``drop`` (white space is dropped before merging): at every space;
 * ``lead`` (a space belongs to the word after it): before a single space between two characters that aren't white
@@ -12,32 +14,32 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import regex
 
 from rillmark.llm.common import kept
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Fixed value: how the vocabulary with word ends splits text.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-LATIN = "\xff"
-MARKS = frozenset(".,;:!?")
-#: Characters of text that are cut into chunks at a time.
+#: The letters, numbers and white space of Latin-1.
+L, N, S = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+ENDINGS = "'(?:[stmd]|re|ve|ll)"
+#: How the vocabulary with word ends (lower-cased text) and that with leading spaces split text.
+SPLITS = {
+    "drop": re.compile(rf"[{L}]+|{ENDINGS}|[{N}]|[^{S}{L}{N}]+"),
+    "lead": re.compile(rf" ?[{L}]+|{ENDINGS}| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"),
+}
+#: Characters of text that are cut at a time.
 SEGMENT = 1 << 20
-#: Longer chunks are encoded but not kept.
+#: Longer units and chunks are encoded but not kept.
 KEEP_CHARS = 64
 
 
-def units_of(part: str) -> tuple[str, ...] | list[str]:
-    """What the splitting makes of a chunk: letters alone, or with one mark after them, are told at once."""
-    low = part.lower()
-    if low.isalpha():
-        return (low,)
-    if low[-1:] in MARKS and low[:-1].isalpha():
-        return (low[:-1], low[-1])
-    return SPLIT.findall(low)
+def is_latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 def vocabulary_path(name: str) -> str:
@@ -54,11 +56,37 @@ def encoder_for(vocabulary: str, spaces: str) -> ChunkEncoder:
     return kept(("tokens", vocabulary, spaces), lambda: ChunkEncoder(vocabulary, spaces))
 
 
+class Recent:
+    """Ids of strings met lately, in two halves: when the new one is full it becomes the old one, from which strings that
+    are met again move over, so frequent strings stay.
+    """
+
+    def __init__(self, entries: int, encode: Callable[[list[str]], list[bytes]]) -> None:
+        self.half, self.encode = max(1, entries // 2), encode
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def known(self, wanted: set[str]) -> dict[str, bytes]:
+        """A dictionary that has the ids of all these strings."""
+        missing = wanted.difference(self.new)
+        if len(self.new) + len(missing) > self.half:
+            self.old, self.new = self.new, {}
+            missing = wanted
+        fresh = missing.difference(self.old)
+        self.new.update([(p, self.old[p]) for p in missing.difference(fresh)])
+        short = [p for p in fresh if len(p) <= KEEP_CHARS]
+        if short:
+            self.new.update(zip(short, self.encode(short)))
+        if len(short) == len(fresh):
+            return self.new
+        other = [p for p in fresh if len(p) > KEEP_CHARS]
+        return {p: self.new[p] for p in wanted if len(p) <= KEEP_CHARS} | dict(zip(other, self.encode(other)))
+
+
 class ChunkEncoder:
     """Ids as little-endian unsigned 32-bit bytes.
 
-    ``cache_entries`` bounds the cache, and half of it the units of split chunks. The cache has two halves: when the new one is full it becomes the old one, from which
-    chunks that are met again move over, so frequent chunks stay.
+    ``cache_entries`` bounds the cache of units, and half of it that of chunks.
     """
 
     def __init__(self, vocabulary: str, spaces: str, cache_entries: int = 1_200_000) -> None:
@@ -69,15 +97,14 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.lead = spaces == "lead"
-        self.half = max(1, cache_entries // 2)
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.starts: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.split = SPLITS[spaces].findall
+        self.units = Recent(cache_entries, self.encode_units)
+        self.chunks = Recent(cache_entries // 2, self.encode_chunks)
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.border = np.zeros(max(names.values()) + 1, dtype=bool)
         for name, i in names.items():
-            self.border[i] = name.startswith("\u0120") if self.lead else name.endswith("</w>")
+            self.border[i] = name.startswith("Ġ") if self.lead else name.endswith("</w>")
 
     def raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -99,109 +126,61 @@ class ChunkEncoder:
         raw = ids.tobytes()
         return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of each of many chunks."""
-        if self.lead:
-            return self.joined(parts) or self.raw([" " + p for p in parts])
-        # the splitting works on lower-cased letters in composed form; for Latin-1 that is known to agree with this
-        split = [units_of(p) if p.isascii() or max(p) <= LATIN else None for p in parts]
-        table = self.known_units({u for us in split if us for u in us})
-        rest = [p for p, us in zip(parts, split) if us is None]
-        other = dict(zip(rest, self.raw(rest)))
-        out = []
-        for p, us in zip(parts, split):
-            if us is None:
-                out.append(other[p])
-            elif len(us) == 1:
-                out.append(table[us[0]])
-            else:
-                out.append(b"".join([table[u] for u in us]))
-        return out
-
-    def known_units(self, units: set[str]) -> dict[str, bytes]:
-        """A dictionary that has the ids of all the units; units come back in chunks of other case and punctuation."""
-        new = [u for u in units if u not in self.units]
-        if len(self.units) + len(new) > self.half:
-            self.units, new = {}, list(units)
-        if new:
-            made = self.joined(new)
-            self.units.update(zip(new, self.raw(new) if made is None else made))
-        return self.units
-
-    def known(self, parts: list[str]) -> dict[str, bytes]:
-        """A dictionary that has the ids of all the parts."""
-        missing = {p for p in parts if p not in self.cache}
-        if len(self.cache) + len(missing) > self.half:
-            self.old, self.cache = self.cache, {}
-            missing = set(parts)
-        back = [p for p in missing if p in self.old]
-        self.cache.update((p, self.old[p]) for p in back)
-        new = [p for p in missing if p not in self.old]
-        short = [p for p in new if self.kept(p)]
-        other = [p for p in new if not self.kept(p)] if len(short) < len(new) else []
-        if short:
-            self.cache.update(zip(short, self.encode_parts(short)))
-        if not other:
-            return self.cache
-        ids = self.raw([" " + p for p in other] if self.lead else other)
-        return {p: self.cache[p] for p in parts if p in self.cache} | dict(zip(other, ids))
-
-    def kept(self, part: str) -> bool:
-        """Whether a chunk may stand in the cache: not too long, and with ``lead`` without white space at its ends."""
-        if len(part) > KEEP_CHARS:
-            return False
-        return not self.lead or bool(part) and not part[0].isspace() and not part[-1].isspace()
-
-    def segments(self, text: str) -> list[str]:
-        """The text in pieces of about ``SEGMENT`` characters, parted at cuts; the space at a cut is left out."""
-        if len(text) <= SEGMENT:
-            return [text]
-        out, at = [], 0
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of each of many units; with ``lead``, those after a space are joined."""
+        if not self.lead:
+            return self.joined(units) or self.raw(units)
+        words = [u for u in units if u[0] == " " and not u.isspace()]
+        made = dict(zip(words, self.joined([u[1:] for u in words]) or self.raw(words))) if words else {}
+        other = [u for u in units if u not in made]
+        made.update(zip(other, self.raw(other) if other else []))
+        return [made[u] for u in units]
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of many chunks, by their units where the pattern tells them."""
+        before = " " if self.lead else ""
+        split, get = self.units_of([before + p for p in chunks])
+        other = [p for p, units in zip(chunks, split) if units is None]
+        found = self.joined(other) if self.lead and other else None
+        made = iter(found or self.raw([before + p for p in other]))
+        return [next(made) if units is None else b"".join(map(get, units)) for units in split]
+
+    def units_of(self, texts: list[str]) -> tuple[list[list[str] | None], Callable[[str], bytes]]:
+        """The units of each text, None where the pattern isn't known to cut as the tokenizer does, and their ids."""
+        # all letters of Latin-1 are in composed form, and stay so when they are lower-cased
+        split = [
+            None if not is_latin(t) or any(name in t for name in self.special) else self.split(t if self.lead else t.lower())
+            for t in texts
+        ]
+        return split, self.units.known(set().union(*(units for units in split if units))).__getitem__
+
+    def by_chunks(self, texts: list[str]) -> list[bytes]:
+        """Ids of each of any texts, cut where that is right."""
+        split = [CUT.split(t) if self.lead else t.split(" ") for t in texts]
+        # the chunk at the start of a text has no space before it
+        starts = self.raw([parts.pop(0) for parts in split]) if self.lead else [b""] * len(texts)
+        get = self.chunks.known(set().union(*split)).__getitem__
+        return [start + b"".join(map(get, parts)) for start, parts in zip(starts, split)]
+
+    def segments(self, text: str) -> Iterator[str]:
+        """The text in pieces of about ``SEGMENT`` characters, parted at cuts; with ``lead`` the space is the next piece's."""
+        at = 0
         while cut := CUT.search(text, at + SEGMENT):
-            out.append(text[at : cut.start()])
-            at = cut.end()
-        out.append(text[at:])
-        return out
+            yield text[at : cut.start()]
+            at = cut.start() if self.lead else cut.end()
+        yield text[at:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. Unknown chunks of all the texts are encoded together."""
-        split = [t.split(" ") if len(t) <= SEGMENT else [] for t in texts]
-        new = set().union(*(parts[1:] if self.lead else parts for parts in split)).difference(self.cache)
-        if new := [p for p in new if len(p) <= KEEP_CHARS and (not self.lead or self.kept(p))]:
-            self.known(new)
-        return [self.fast(parts) or self.careful(text) for text, parts in zip(texts, split)]
-
-    def fast(self, parts: list[str]) -> bytes | None:
-        """Ids of a text cut at every space, if all chunks are in the cache; they are only if such cuts are right."""
-        get = self.cache.__getitem__
-        try:
-            if not self.lead:
-                return b"".join(map(get, parts))
-            if parts and self.kept(parts[0]):
-                return self.first(parts[0]) + b"".join(map(get, parts[1:]))
-        except KeyError:
-            pass
-        return None
-
-    def first(self, part: str) -> bytes:
-        """Ids of the chunk at the start of a text, which has no space before it."""
-        ids = self.starts.get(part)
-        if ids is None:
-            if len(self.starts) >= self.half // 8:
-                self.starts = {}
-            ids = self.starts[part] = self.raw([part])[0]
-        return ids
-
-    def careful(self, text: str) -> bytes:
-        """Ids of any text, cut where that is right, segment by segment."""
-        pieces: list[bytes] = []
-        for k, segment in enumerate(self.segments(text)):
-            parts = CUT.split(segment) if self.lead else segment.split(" ")
-            if self.lead and not k:
-                pieces += self.raw(parts[:1])
-                parts = parts[1:]
-            pieces += map(self.known(parts).__getitem__, parts)
-        return b"".join(pieces)
+        """Ids of each text. Unknown units of all the texts are encoded together; long texts go segment by segment."""
+        if max(map(len, texts), default=0) > SEGMENT:
+            return [b"".join(ids for s in self.segments(t) for ids in self.encode_segments([s])) for t in texts]
+        return self.encode_segments(texts)
+
+    def encode_segments(self, texts: list[str]) -> list[bytes]:
+        split, get = self.units_of(texts)
+        other = [t for t, units in zip(texts, split) if units is None]
+        made = iter(self.by_chunks(other) if other else [])
+        return [next(made) if units is None else b"".join(map(get, units)) for units in split]
 
     def encode_batch(self, texts: list[str], at_once: int = 256) -> Iterator[bytes]:
         """Ids of many texts, some at a time."""

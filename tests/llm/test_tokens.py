@@ -26,6 +26,57 @@ def test_chunks_give_the_ids_of_the_whole(encoder, texts):
     assert list(encoder.encode_batch(texts)) == encoder.raw(texts)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=255), st.sampled_from("aS  \n'12.")), max_size=60), max_size=4))
+def test_units_of_latin_give_the_ids_of_the_whole(encoder, texts):
+    assert list(encoder.encode_batch(texts)) == encoder.raw(texts)
+
+
+def test_all_pairs_of_latin_characters(encoder):
+    chars = [chr(k) for k in range(256)]
+    texts = ["".join(f"x{a}{b}y {a}{b}" for b in chars) for a in chars] + [f"{a} {b}'s{a}" for a in chars for b in "a1'. \n\xa0"]
+    assert list(encoder.encode_batch(texts)) == encoder.raw(texts)
+
+
+def test_special_tokens_in_texts(encoder, monkeypatch):
+    import rillmark.llm.tokens as own
+
+    names = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof"]
+    texts = [t.replace("{}", n) for n in names for t in ("{}", "One {} two", "one{}two, ß three", " {}  \n{}", "Ω {} Two {}x Σ", "{} ")]
+    assert encoder.encode(texts) == encoder.raw(texts)
+    monkeypatch.setattr(own, "SEGMENT", 10)
+    assert encoder.encode(texts) == encoder.raw(texts)
+
+
+def test_known_words_in_other_forms_are_not_encoded_again(encoder, monkeypatch):
+    words = prose(6, 50).split(" ")
+    texts = ["x " + " ".join(words) + ", x .!\nx"]
+    encoder.encode(texts)
+    texts += ["x " + end.join(f" {w}" for w in words).lstrip() + end for end in (",", ".", "\nx", " x,")]
+    texts = [t.replace("x ", "x, ", 1) for t in texts]
+    want = encoder.raw(texts)
+    calls = []
+    monkeypatch.setattr(encoder, "joined", lambda units: calls.append(units))
+    monkeypatch.setattr(encoder, "raw", lambda units: calls.append(units) or [b""] * len(units))
+    got = encoder.encode(texts)
+    assert not any(calls)
+    assert got == want
+
+
+@pytest.mark.parametrize("words", [["слово", "Ёлка"], ["word", "“Word”", "été"], ["日本語", "x", "ﬁn", "İs", "ΑΣ"]])
+def test_other_scripts(encoder, words):
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice([*words, *words, " ", " ", "  ", ", ", "\n", "'s ", " 12", "\u3000"]) for _ in range(300)) for _ in range(20)]
+    assert list(encoder.encode_batch(texts)) == encoder.raw(texts)
+
+
+def test_small_cache_and_long_words():
+    for vocabulary in (("word_bpe_49k.json", "drop"), ("byte_bpe_50k.json", "lead")):
+        small = ChunkEncoder(*vocabulary, cache_entries=40)
+        texts = [prose(k % 5, 30) + " " + "ab" * 50 + ("Ω" * (k % 3)) + " end." for k in range(40)]
+        assert list(small.encode_batch(texts, at_once=3)) == small.raw(texts)
+
+
 def test_long_text_in_segments(encoder, monkeypatch):
     import rillmark.llm.tokens as own
 
